@@ -138,9 +138,7 @@ def _gain(spark, sf_dir):
 @query(
     "select_features",
     f"""{IMPORTANCE_SQL} SELECT feature, round(importance, 6) AS importance FROM importance
-    ORDER BY importances.importance DESC, feature LIMIT (SELECT CAST(floor(0.4::DOUBLE * count(*)) AS BIGINT) FROM importance)""".replace(
-        "importances.importance", "importance.importance"
-    ),
+    ORDER BY importance.importance DESC, feature LIMIT (SELECT CAST(floor(0.4::DOUBLE * count(*)) AS BIGINT) FROM importance)""",
 )
 def _select(spark, sf_dir):
     return rounded(W.select_features(mean_fold_importance(fold_importance(spark, sf_dir)), "n_features", 0.4))
