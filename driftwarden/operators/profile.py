@@ -256,6 +256,13 @@ def data_distribution_mart(df: DataFrame, spec: ModelSpec, k: int = 10) -> DataF
 # ------------------------------------------------------------------- associations
 
 
+def pearson(a: Column, b: Column) -> Column:
+    """Correlation over the rows where both are present; NULL when one of them is constant."""
+    x, y = a.cast("double"), b.cast("double")
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair below the diagonal, in one aggregation."""
     pairs = [(a, b) for i, a in enumerate(features) for b in features[:i]]
@@ -263,7 +270,7 @@ def correlation_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
         F.struct(
             F.lit(a).alias("feature"),
             F.lit(b).alias("other_feature"),
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("value"),
+            pearson(F.col(a), F.col(b)).alias("value"),
         )
         for a, b in pairs
     ]
@@ -277,7 +284,7 @@ def linear_association(df: DataFrame, spec: ModelSpec, features: Sequence[str],
         F.struct(
             F.lit(f).alias("feature"),
             F.lit(name).alias("name_classes"),
-            F.abs(F.corr(F.col(f).cast("double"), F.col(c).cast("double"))).alias("value"),
+            F.abs(pearson(F.col(f), F.col(c))).alias("value"),
         )
         for f in features
         for c, name in against
