@@ -226,7 +226,7 @@ def _evaluate_job(spark, sf_dir):
 @query("monitor_job")
 def _monitor_job(spark, sf_dir):
     rows = modelling_table(spark, sf_dir)
-    border = F.lit("2001-06-01").cast("date")
+    border = F.lit("2001-07-01").cast("date")
     training, production = rows.where(F.col("periodo") < border), rows.where(F.col("periodo") >= border)
     trained = jobs.train_job(training, JOB_SPEC, STEPS)
     root = scratch_path(spark, "marts")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwarden.common import melt, melt_text, ratio, union_all
+from driftwarden.common import melt, melt_text, ratio, union_all, written
 from driftwarden.functions.scalars import band_number
 from driftwarden.operators.encode import LabelEncode, null_category
 from driftwarden.operators.profile import data_distribution_mart, data_quality_delta, data_quality_profile
@@ -158,11 +158,18 @@ def feature_drift_test(
     cont_features: Sequence[str],
     set_column: str = "set_data",
     confidence: float = 0.95,
+    distances: DataFrame | None = None,
 ) -> DataFrame:
-    """Statistic and p-value per feature: Kolmogorov-Smirnov for numbers, chi-square for categories."""
+    """Statistic and p-value per feature: Kolmogorov-Smirnov for numbers, chi-square for categories.
+
+    ``distances`` are the results of :func:`ks_drift`, if they are already known.
+    """
     parts = []
     if cont_features:
-        ks = ks_drift(df, cont_features, set_column)
+        if distances is None:
+            ks = ks_drift(df, cont_features, set_column)
+        else:
+            ks = distances.where(F.col("feature").isin(*cont_features))
         parts.append(
             ks.select(
                 "feature",
@@ -263,13 +270,23 @@ def specific_drift_mart(
     cont_features: Sequence[str],
     set_column: str = "set_data",
     confidence: float = 0.95,
+    tests: DataFrame | None = None,
+    distances: DataFrame | None = None,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
-    """Every drift number of every feature as ``feature, metric, value, type_metric``."""
+    """Every drift number of every feature as ``feature, metric, value, type_metric``.
+
+    Test results, distances and encoded rows may be handed in when they exist.
+    """
     features = [*cat_features, *cont_features]
-    codes = encoded(df, cat_features, set_column)
-    tests = feature_drift_test(df, cat_features, cont_features, set_column, confidence)
+    if codes is None:
+        codes = written(encoded(df, cat_features, set_column).select(set_column, *features), "codes")
+    if distances is None:
+        distances = written(ks_drift(codes, features, set_column), "distances")
+    if tests is None:
+        tests = feature_drift_test(df, cat_features, cont_features, set_column, confidence, distances)
     deltas = data_quality_delta(data_quality_profile(df, cat_features, cont_features, set_column), set_column)
-    merged = merge_drift_tables(tests.drop("feature_type", "statistic"), ks_drift(codes, features, set_column), deltas)
+    merged = merge_drift_tables(tests.drop("feature_type", "statistic"), distances, deltas)
     indicators = melt(merged, ["feature"], [c for c in merged.columns if c != "feature"])
     bins = explode_hist_bins(histogram_arrays(feature_histograms(codes, features, set_column), set_column), set_column)
     return indicators.withColumn("type_metric", F.lit("drift_indicator")).unionByName(bins)
@@ -296,13 +313,22 @@ def as_reference_and_current(df: DataFrame, set_column: str = "set_data") -> Dat
 
 
 def feature_drift_job(df: DataFrame, spec: ModelSpec) -> dict[str, DataFrame]:
-    """Distribution, general and specific drift tables of one scored frame."""
+    """Distribution, general and specific drift tables of one scored frame.
+
+    The encoded rows are kept as a table, as are the one-line-per-feature
+    results that more than one mart reads.
+    """
+    cat, cont = spec.cat_features, spec.cont_features
+    features = [*cat, *cont]
     sides = as_reference_and_current(df)
-    tests = feature_drift_test(sides, spec.cat_features, spec.cont_features)
+    codes = written(encoded(sides, cat).select("set_data", *features), "codes")
+    distances = written(ks_drift(codes, features), "distances")
+    tests = written(feature_drift_test(sides, cat, cont, distances=distances), "drift-tests")
+    labels = written(target_prediction_drift(sides, spec), "label-drift")
     return {
         "feature__distribution": data_distribution_mart(df, spec),
-        "drift__general": drift_summary(tests, target_prediction_drift(sides, spec)),
-        "drift__specific": specific_drift_mart(sides, spec.cat_features, spec.cont_features),
+        "drift__general": drift_summary(tests, labels),
+        "drift__specific": specific_drift_mart(sides, cat, cont, tests=tests, distances=distances, codes=codes),
     }
 
 
@@ -318,11 +344,14 @@ def period_drift_job(
     """Data-only drift between a month and the next, on encoded categories."""
     filled = pair.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in cat_features})
     fitted = LabelEncode(cat_features).fit(filled)
-    codes = fitted.transform(filled)
     features = [*cont_features, *cat_features]
+    codes = written(fitted.transform(filled).select(set_column, *features), "codes")
+    distances = written(ks_drift(codes, features, set_column), "distances")
     reference = codes.where(F.col(set_column) == "reference")
     return {
-        "drift__specific": specific_drift_mart(codes, cat_features, cont_features, set_column),
-        "drift__distance": ks_drift(codes, features, set_column),
+        "drift__specific": specific_drift_mart(
+            codes, cat_features, cont_features, set_column, distances=distances, codes=codes
+        ),
+        "drift__distance": distances,
         "bin_features": binary_features(reference, features),
     }

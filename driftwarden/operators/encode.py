@@ -240,7 +240,7 @@ class LabelEncode(_Stage):
         self.unseen = unseen
 
     def _fit(self, df: DataFrame) -> LabelEncodeModel:
-        counts = level_counts(df, self.columns)
+        counts = written(level_counts(df, self.columns), "level-counts")  # the one pass over the rows
         common = modes(counts)
         levels = written(level_codes(counts), "codes")
         listed = [F.col("feature").eqNullSafe(c) & F.col("value").eqNullSafe(v) for c, v in common.items()]
@@ -305,8 +305,8 @@ class CategoryType(_Stage):
     """Keep training levels; anything else becomes the most frequent training level."""
 
     def _fit(self, df: DataFrame) -> CategoryTypeModel:
-        counts = level_counts(df, self.columns)
-        return CategoryTypeModel(self.columns, {"mode": modes(counts)}, written(counts.select("feature", "value"), "levels"))
+        counts = written(level_counts(df, self.columns), "level-counts")
+        return CategoryTypeModel(self.columns, {"mode": modes(counts)}, counts.select("feature", "value"))
 
 
 def percentiles_of(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float]]:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwarden.common import conform, melt, melt_text, ratio
+from driftwarden.common import conform, melt, melt_text, ratio, written
 from driftwarden.functions.scalars import equal_width_bands
 from driftwarden.operators.metrics import reported_as
 from driftwarden.operators.quantiles import exact_percentiles
@@ -232,6 +232,7 @@ def data_distribution_mart(df: DataFrame, spec: ModelSpec, k: int = 10) -> DataF
         largest = sizes.withColumn("rn", rank).where(F.col("rn") <= k).select("feature", "group_feature")
         kept = counts.join(F.broadcast(largest), ["feature", "group_feature"], "left_semi")  # k rows per feature
         counts = kept.unionByName(counts.where(F.col("feature").isin(*spec.cont_features)))
+    counts = written(counts, "group-counts")  # read once per label and class; no longer depends on the row count
     codes = dict(enumerate(spec.sub_cols))
     parts = []
     for flag, label in (("name_target", "__k0"), ("name_prediction", "__k1")):

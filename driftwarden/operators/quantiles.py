@@ -101,8 +101,9 @@ def value_cuts(values: DataFrame, groups: Sequence[str], value: str) -> DataFram
     One row per group, so ``groups`` must be feature- or class-like.
     """
     steps = _FAN * _FAN
-    probs = [i / steps for i in range(1, steps)]
-    cuts = values.groupBy(*groups).agg(F.percentile_approx(value, probs, ACCURACY).alias("__cuts"))
+    # As SQL text: a thousand Column literals would take seconds to build.
+    probs = ", ".join(f"{i / steps}D" for i in range(1, steps))
+    cuts = values.groupBy(*groups).agg(F.expr(f"percentile_approx(`{value}`, array({probs}), {ACCURACY})").alias("__cuts"))
     coarse = F.transform(F.sequence(F.lit(_FAN), F.lit(steps - _FAN), F.lit(_FAN)), lambda i: F.get("__cuts", i - 1))
     fine = F.transform(
         F.sequence(F.lit(0), F.lit(_FAN - 1)), lambda g: F.slice(F.col("__cuts"), g * _FAN + 1, F.lit(_FAN - 1))

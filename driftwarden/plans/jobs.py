@@ -123,9 +123,10 @@ def governance_marts(
     """
     predict = scored.where(F.col("set_analysis") == "predict")
     values = M.segment_values(predict, spec)
-    performance = M.general_metric_mart(scored, spec, values)
+    # The marts are small; those the leaderboard reads again are kept as tables.
+    performance = written(M.general_metric_mart(scored, spec, values), "performance")
     association = P.linear_association(predict if coded is None else coded, spec, numeric_features, values)
-    explainer = E.explainer_mart(E.shap_summary(shap, spec, values), association, importance, spec)
+    explainer = written(E.explainer_mart(E.shap_summary(shap, spec, values), association, importance, spec), "explainer")
     marts = {
         "perf__general_metrics": performance,
         "feature__explainer_general": explainer,
