@@ -10,7 +10,7 @@ from driftwarden.operators import columns as C
 from driftwarden.operators import drift as D
 from driftwarden.operators import profile as P
 from driftwarden.plans.scored import ORDERS_SPEC as SPEC
-from driftwarden.plans.scored import read, scored_frame
+from driftwarden.plans.scored import read, stored_scored
 
 SIDES = f"""{SCORED}, sides AS (SELECT *,
   CASE WHEN set_analysis = 'training' THEN 'reference' ELSE 'current' END AS set_data FROM scored)"""
@@ -58,7 +58,7 @@ tests AS (SELECT feature, 'num' AS feature_type, distance AS statistic, p_val_di
 
 
 def sides(spark, sf_dir):
-    return D.as_reference_and_current(scored_frame(spark, sf_dir))
+    return D.as_reference_and_current(stored_scored(spark, sf_dir))
 
 
 LINE_SQL = """WITH sides AS (SELECT *, CASE WHEN l_shipdate < TIMESTAMP '1998-07-01' THEN 'reference' ELSE 'current' END
@@ -190,7 +190,7 @@ def _merge(spark, sf_dir):
     UNION ALL SELECT 'feature__distribution', feature, metric, round(value, 6) FROM ({DISTRIBUTION})""",
 )
 def _job(spark, sf_dir):
-    parts = D.feature_drift_job(scored_frame(spark, sf_dir), SPEC)
+    parts = D.feature_drift_job(stored_scored(spark, sf_dir), SPEC)
     columns = ["feature", "metric", "value"]
     lines = [
         parts[m].select(F.lit(m).alias("mart"), *columns) for m in ("drift__specific", "feature__distribution")

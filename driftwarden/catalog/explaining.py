@@ -10,7 +10,7 @@ from driftwarden.operators import explain as E
 from driftwarden.operators import metrics as M
 from driftwarden.operators import profile as P
 from driftwarden.plans.scored import ORDERS_SPEC as SPEC
-from driftwarden.plans.scored import scored_frame
+from driftwarden.plans.scored import stored_scored
 
 WEIGHTS = {
     "p0": {"o_totalprice": 1e-4, "c_acctbal": -2e-4},
@@ -24,7 +24,7 @@ SHAP = f"""{PREDICT}, shap AS ({' UNION ALL '.join(
 
 
 def linear(spark, sf_dir):
-    rows = scored_frame(spark, sf_dir).where("set_analysis = 'predict'")
+    rows = stored_scored(spark, sf_dir).where("set_analysis = 'predict'")
     return rows, E.linear_shap(rows, "row_id", WEIGHTS, ["segment"])
 
 

@@ -11,14 +11,14 @@ from driftwarden.catalog.modelling import SMALL
 from driftwarden.catalog.performance import MART, MART_CTE
 from driftwarden.catalog.profiling import CORR, DISTRIBUTION, GROUPED_SQL, LINEAR
 from driftwarden.catalog.registry import PREDICT, SCORED, query, rounded
-from driftwarden.common import scratch_path, written
+from driftwarden.common import scratch_path
 from driftwarden.operators import drift as D
 from driftwarden.operators import explain as E
 from driftwarden.operators import metrics as M
 from driftwarden.operators import training as T
 from driftwarden.plans import jobs
 from driftwarden.plans.scored import ORDERS_SPEC as SPEC
-from driftwarden.plans.scored import read, scored_frame
+from driftwarden.plans.scored import read, scored_frame, stored_scored
 from driftwarden.sources import resource_log
 from driftwarden.streaming.monitor import monitor_stream
 
@@ -57,7 +57,7 @@ BOARD_COLUMNS = """round(log_loss, 6) AS log_loss, round(accuracy, 6) AS accurac
 
 
 def fixture_marts(spark, sf_dir):
-    rows = written(scored_frame(spark, sf_dir), "scored")
+    rows = stored_scored(spark, sf_dir)
     predict = rows.where("set_analysis = 'predict'")
     shap = E.linear_shap(predict, "row_id", WEIGHTS, ["segment"])
     costs = resource_log.resource_cost_mart(resource_log.parse_resource_log(spark, event_log(spark, sf_dir)))
@@ -176,7 +176,7 @@ w AS (SELECT a.feature, a.class, a.periodo, any_value(a.value) AS value, avg(b.v
     FROM w""",
 )
 def _timeseries(spark, sf_dir):
-    rows = written(scored_frame(spark, sf_dir), "scored")
+    rows = stored_scored(spark, sf_dir)
     return rounded(jobs.eda_tables(rows, SPEC, "target")["timeseries"], 4)
 
 
@@ -251,7 +251,7 @@ def _predict_job(spark, sf_dir):
     f"{MART_CTE} SELECT * REPLACE (round(value, 3) AS value, round(cutoff, 6) AS cutoff) FROM ({MART})",
 )
 def _stream(spark, sf_dir):
-    rows = written(scored_frame(spark, sf_dir), "scored")
+    rows = stored_scored(spark, sf_dir)
     arriving_path = scratch_path(spark, "arriving")
     rows.where("set_analysis = 'predict'").coalesce(1).write.parquet(arriving_path)
     arriving = spark.readStream.schema(rows.schema).parquet(arriving_path)

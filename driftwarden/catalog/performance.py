@@ -8,7 +8,7 @@ from driftwarden.catalog.registry import PER_CLASS, PREDICT, SCORED, melt_sql, q
 from driftwarden.operators import columns as C
 from driftwarden.operators import metrics as M
 from driftwarden.plans.scored import ORDERS_SPEC as SPEC
-from driftwarden.plans.scored import build_scored, probability_frame, scored_frame
+from driftwarden.plans.scored import build_scored, probability_frame, scored_frame, stored_scored
 
 AUC_PER_CLASS = """ranked AS (
   SELECT {by}, name_classes, y,
@@ -33,7 +33,7 @@ HIT = "CASE WHEN target = prediction THEN 1.0::DOUBLE ELSE 0 END"
 
 
 def predicted(spark, sf_dir):
-    return scored_frame(spark, sf_dir).where("set_analysis = 'predict'")
+    return stored_scored(spark, sf_dir).where("set_analysis = 'predict'")
 
 
 @query("scored_frame", f"{SCORED} SELECT * FROM scored")
@@ -119,7 +119,7 @@ BY_SET = f"""{SCORED}, by_set AS (
 
 @query("metric_auc", f"{BY_SET} SELECT set_analysis, round(roc_auc_score, 6) AS roc_auc_score FROM auc_all")
 def _auc(spark, sf_dir):
-    return rounded(M.metric_auc(scored_frame(spark, sf_dir), SPEC, ["set_analysis"]))
+    return rounded(M.metric_auc(stored_scored(spark, sf_dir), SPEC, ["set_analysis"]))
 
 
 @query(
@@ -128,7 +128,7 @@ def _auc(spark, sf_dir):
     CAST(n AS DOUBLE) AS n FROM auc""",
 )
 def _class_auc(spark, sf_dir):
-    return rounded(M.class_auc(scored_frame(spark, sf_dir), SPEC, ["set_analysis"]))
+    return rounded(M.class_auc(stored_scored(spark, sf_dir), SPEC, ["set_analysis"]))
 
 
 @query(
@@ -137,7 +137,7 @@ def _class_auc(spark, sf_dir):
     round(2 * roc_auc_score - 1, 6) AS gini FROM auc_all""",
 )
 def _gini(spark, sf_dir):
-    return rounded(M.metric_gini(scored_frame(spark, sf_dir), SPEC, ["set_analysis"]))
+    return rounded(M.metric_gini(stored_scored(spark, sf_dir), SPEC, ["set_analysis"]))
 
 
 def tagged_sql(kind: str, source: str, classes: str = "name_classes", percentil: str = "'all'", cutoff: str = "NULL"):
@@ -268,7 +268,7 @@ def _capture(spark, sf_dir):
     f"{MART_CTE} SELECT * REPLACE (round(value, 3) AS value, round(cutoff, 6) AS cutoff) FROM ({MART})",
 )
 def general_metric_mart(spark, sf_dir):
-    mart = M.general_metric_mart(scored_frame(spark, sf_dir), SPEC)
+    mart = M.general_metric_mart(stored_scored(spark, sf_dir), SPEC)
     return rounded(rounded(mart, 3, ["value"]), 6, ["cutoff"])
 
 

@@ -9,7 +9,7 @@ from driftwarden.common import melt_text
 from driftwarden.operators import metrics as M
 from driftwarden.operators import profile as P
 from driftwarden.plans.scored import ORDERS_SPEC as SPEC
-from driftwarden.plans.scored import read, scored_frame
+from driftwarden.plans.scored import read, scored_frame, stored_scored
 
 # Line items in two sets by ship date, with gaps, infinities and a month level that differs between the sets.
 SIDES_SQL = """WITH sides AS (
@@ -204,7 +204,7 @@ UNION ALL SELECT feature, group_feature, name_classes, flag, metric, value, 'rep
     f"{GROUPED_SQL} SELECT * REPLACE (round(value, 6) AS value) FROM ({DISTRIBUTION})",
 )
 def _distribution(spark, sf_dir):
-    return rounded(P.data_distribution_mart(scored_frame(spark, sf_dir), SPEC))
+    return rounded(P.data_distribution_mart(stored_scored(spark, sf_dir), SPEC))
 
 
 # ------------------------------------------------------------- series, association
@@ -235,7 +235,7 @@ LINEAR = " UNION ALL ".join(
 
 @query("linear_association", f"{PREDICT} SELECT * REPLACE (round(value, 6) AS value) FROM ({LINEAR})")
 def _linear(spark, sf_dir):
-    rows = scored_frame(spark, sf_dir).where("set_analysis = 'predict'")
+    rows = stored_scored(spark, sf_dir).where("set_analysis = 'predict'")
     return rounded(P.linear_association(rows, SPEC, SPEC.cont_features, M.segment_values(rows, SPEC)))
 
 

@@ -10,6 +10,7 @@ import pyspark
 from pyspark.sql import functions as F
 
 from driftwarden.catalog.registry import query, rounded
+from driftwarden.common import spread
 from driftwarden.functions import text as X
 from driftwarden.operators import text_features as TF
 from driftwarden.plans.scored import read
@@ -20,7 +21,8 @@ Q = "'" + NOISE.replace("'", "''") + "' || text"
 
 
 def noisy(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit(NOISE), F.col("text")).alias("text"))
+    documents = spread(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return documents.select("doc_id", F.concat(F.lit(NOISE), F.col("text")).alias("text"))
 
 
 def blank_sql(expression: str, *patterns: str) -> str:

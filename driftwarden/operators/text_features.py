@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftwarden.common import spread
 from driftwarden.functions.scalars import recode_values
 from driftwarden.functions.text import clean_text
 from driftwarden.operators.windows import keep_first, row_surrogate_id
@@ -18,7 +19,8 @@ TOKEN = r"[\p{L}\p{N}_]{2,}"
 def token_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
     """``doc, token, tf``. A document sits in one task, so partial counts leave one row per token to shuffle."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    return df.select(doc, F.explode(tokens).alias("token")).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
+    texts = spread(df.select(doc, text), doc)
+    return texts.select(doc, F.explode(tokens).alias("token")).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(counts: DataFrame, min_df: int = 1) -> DataFrame:
@@ -55,7 +57,7 @@ def review_table(
     df: DataFrame, key: str, text: str, score: str, score_map: Mapping, words: Sequence[str], exact: bool = False
 ) -> DataFrame:
     """Distinct cleaned texts with a dense row id and the recoded score; empty texts are dropped."""
-    cleaned = df.withColumns(
+    cleaned = spread(df, key).withColumns(
         {text: clean_text(F.col(text), words, exact), score: recode_values(F.col(score), score_map)}
     ).where(F.col(text).isNotNull() & (F.col(text) != ""))
     return row_surrogate_id(keep_first(cleaned, [text], [key]), [key], "id_review")

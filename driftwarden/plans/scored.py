@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftwarden.common import written
 from driftwarden.functions.scalars import argmax_label, equal_width_bands
 from driftwarden.operators.columns import class_indicators, project_scored, tag_sets
 from driftwarden.spec import ModelSpec
@@ -63,6 +64,11 @@ def scored_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equal_width_bands(labelled, ORDERS_SPEC.sub_cols)
 
 
+def stored_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored frame kept as a table, as a monitoring job does before it builds several marts from it."""
+    return written(scored_frame(spark, sf_dir), "scored")
+
+
 def build_scored(training: DataFrame, predict: DataFrame, spec: ModelSpec) -> DataFrame:
     """Stack two frames that hold class probabilities and derive everything the marts read."""
     rows = tag_sets(training, predict).withColumn(spec.name_prediction, argmax_label(spec.sub_cols))
