@@ -65,15 +65,19 @@ def exact_percentiles(
         )
     )
     joined = numeric.join(F.broadcast(brackets), groups)
+    # Three zones: below, inside and above the bracket. Only inside are values told apart; the zones beside it keep
+    # their nearest value, which is all that interpolation can need of them.
+    value_ = F.col("__v")
+    zone = F.when(value_ < F.col("__lo"), 0).when(value_ <= F.col("__hi"), 1).otherwise(2)
     counted = (
-        joined.where(F.col("__v") <= F.col("__hi"))
-        .withColumn("__kept", F.when(F.col("__v") >= F.col("__lo"), F.col("__v")))
-        .groupBy(*groups, "p", "__n", "__kept")
-        .agg(F.count(F.lit(1)).alias("__c"))
+        joined.withColumn("__zone", zone)
+        .withColumn("__kept", F.when(F.col("__zone") == 1, value_))
+        .groupBy(*groups, "p", "__n", "__zone", "__kept")
+        .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__first"), F.max("__v").alias("__last"))
     )
     running = (
         Window.partitionBy(*groups, "p")
-        .orderBy(F.col("__kept").asc_nulls_first())
+        .orderBy("__zone", "__kept")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     rank = (F.col("__n") - 1) * F.col("p")
@@ -84,7 +88,9 @@ def exact_percentiles(
     )
 
     def at(position: Column) -> Column:
-        return F.max(F.when((F.col("__start") <= position) & (position < F.col("__end")), F.col("__kept")))
+        inside = (F.col("__zone") == 1) & (F.col("__start") <= position) & (position < F.col("__end"))
+        first, last = position == F.col("__start"), position == F.col("__end") - 1
+        return F.max(F.when(inside | first, F.col("__first")).when(last, F.col("__last")))
 
     found = spans.groupBy(*groups, "p").agg(
         at(F.floor("__rank")).alias("__below"),
