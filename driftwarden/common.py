@@ -39,12 +39,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder; partitions and row order stay as they are."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def written(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back."""
     path = scratch_path(df.sparkSession, label)

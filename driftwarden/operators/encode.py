@@ -62,7 +62,8 @@ def cumulative_share(counts: DataFrame) -> DataFrame:
         F.sum(rows).over(Window.partitionBy("feature")).alias("__total"),
     )
     running = F.col("__before") + (F.col("__rank") - F.col("__start") + 1) * F.col("n")
-    return ordered.join(blocks, ["feature", "n"]).select(
+    # At most sqrt(2 * rows) different frequencies per feature: small enough to broadcast at any table size.
+    return ordered.join(F.broadcast(blocks), ["feature", "n"]).select(
         "feature", "value", "n", (running / F.col("__total")).alias("cumulative_share")
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwarden.common import cut_lineage
+from driftwarden.common import written
 
 # monotonically_increasing_id() keeps the partition in the upper bits and the
 # position inside the partition in the lower 33 bits.
@@ -20,13 +20,13 @@ _HASH_PREFIX = 3
 def global_row_number(df: DataFrame, order: Sequence, name: str = "row_number") -> DataFrame:
     """Number the rows 1..n in ``order``, which has to end in a unique key.
 
-    The rows are range-partitioned by the sort, kept in the shared folder, and
-    numbered as partition offset + position in the partition. Only one count
-    per partition travels, so no task ever sees the whole table. The sorted
-    table is kept because a second run of a range sort may place its borders
-    differently.
+    The rows are range-partitioned by the sort and written to the shared folder
+    with their partition and position; the number is partition offset +
+    position. Only one count per partition travels, so no task ever sees the
+    whole table. Places are written, not derived again, because a second run of
+    a range sort may put its borders elsewhere.
     """
-    placed = cut_lineage(df.orderBy(*order)).withColumn("__slot", F.monotonically_increasing_id())
+    placed = written(df.orderBy(*order).withColumn("__slot", F.monotonically_increasing_id()), "ordered")
     partition = F.shiftright("__slot", _POSITION_BITS)
     position = F.col("__slot") - F.shiftleft(partition, _POSITION_BITS)
     sizes = placed.groupBy(partition.alias("__part")).agg(F.count(F.lit(1)).alias("__size"))
