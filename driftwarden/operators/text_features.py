@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwarden.common import spread
+from driftwarden.common import spread, written
 from driftwarden.functions.scalars import recode_values
 from driftwarden.functions.text import clean_text
 from driftwarden.operators.windows import keep_first, row_surrogate_id
@@ -30,6 +30,9 @@ def vocabulary(counts: DataFrame, min_df: int = 1) -> DataFrame:
 
 def bag_of_words(df: DataFrame, doc: str, text: str, min_df: int = 1) -> DataFrame:
     counts = token_counts(df, doc, text)
+    if min_df <= 1:
+        return counts
+    counts = written(counts, "token-counts")  # split the texts once, not once per use
     return counts.join(vocabulary(counts, min_df).select("token"), "token", "left_semi").select(doc, "token", "tf")
 
 
@@ -44,13 +47,13 @@ def tfidf(
 ) -> DataFrame:
     """``doc, token, weight``: 1+ln(tf) or tf, times ln((1+n)/(1+df))+1, rows scaled to length one."""
     total = float(df.count() if n_docs is None else n_docs)
-    counts = token_counts(df, doc, text)
+    counts = written(token_counts(df, doc, text), "token-counts")  # split the texts once, not once per use
     terms = counts.join(vocabulary(counts, min_df), "token")
     tf = F.lit(1.0) + F.ln(F.col("tf").cast("double")) if sublinear else F.col("tf").cast("double")
     idf = F.ln(F.lit(1.0 + total) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0) if use_idf else F.lit(1.0)
     raw = terms.select(doc, "token", (tf * idf).alias("raw"))
-    length = raw.groupBy(doc).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    return raw.join(length, doc).select(doc, "token", (F.col("raw") / F.col("length")).alias("weight"))
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
+    return raw.select(doc, "token", (F.col("raw") / length).alias("weight"))
 
 
 def review_table(
