@@ -155,9 +155,11 @@ def _density(spark, sf_dir):
     return rounded(jobs.kernel_density(read(spark, sf_dir, "lineitem"), "l_discount", "l_returnflag"))
 
 
+# Amounts in cents: sums of integers are the same in both engines, so rounding meets the same numbers.
 SERIES_SQL = f"""{SCORED}, s AS (
-  SELECT 'o_totalprice' AS feature, CAST(target AS VARCHAR) AS class, periodo, avg(o_totalprice) AS value FROM scored GROUP BY ALL
-  UNION ALL SELECT 'c_acctbal', CAST(target AS VARCHAR), periodo, avg(c_acctbal) FROM scored GROUP BY ALL
+  SELECT 'o_totalprice' AS feature, CAST(target AS VARCHAR) AS class, periodo,
+    avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS value FROM scored GROUP BY ALL
+  UNION ALL SELECT 'c_acctbal', CAST(target AS VARCHAR), periodo, avg(CAST(round(c_acctbal * 100) AS BIGINT)) FROM scored GROUP BY ALL
   UNION ALL SELECT 'o_orderpriority', CAST(target AS VARCHAR), periodo, count(*) FROM scored WHERE o_orderpriority =
     (SELECT o_orderpriority FROM scored GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) GROUP BY ALL
   UNION ALL SELECT 'c_mktsegment', CAST(target AS VARCHAR), periodo, count(*) FROM scored WHERE c_mktsegment =
@@ -171,13 +173,15 @@ w AS (SELECT a.feature, a.class, a.periodo, any_value(a.value) AS value, avg(b.v
 
 @query(
     "eda_timeseries",
-    f"""{SERIES_SQL} SELECT feature, class, periodo, round(value, 4) AS value, round(m + 2.5::DOUBLE * d, 4) AS upper,
-    round(m - 2.5::DOUBLE * d, 4) AS lower, coalesce(value > m + 2.5::DOUBLE * d OR value < m - 2.5::DOUBLE * d, false) AS anomaly
+    f"""{SERIES_SQL} SELECT feature, class, periodo, round(value, 4) AS value, round(m + 2.5::DOUBLE * d, 2) AS upper,
+    round(m - 2.5::DOUBLE * d, 2) AS lower, coalesce(value > m + 2.5::DOUBLE * d OR value < m - 2.5::DOUBLE * d, false) AS anomaly
     FROM w""",
 )
 def _timeseries(spark, sf_dir):
-    rows = stored_scored(spark, sf_dir)
-    return rounded(jobs.eda_tables(rows, SPEC, "target")["timeseries"], 4)
+    cents = {c: F.round(F.col(c) * 100).cast("bigint") for c in SPEC.cont_features}
+    rows = stored_scored(spark, sf_dir).withColumns(cents)
+    series = jobs.eda_tables(rows, SPEC, "target")["timeseries"]
+    return rounded(rounded(series, 4, ["value"]), 2, ["upper", "lower"])
 
 
 # ------------------------------------------------------------------------ training

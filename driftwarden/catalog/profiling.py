@@ -251,11 +251,14 @@ def _period_cat(spark, sf_dir):
 
 @query(
     "period_aggregate_numeric",
-    f"""{SCORED} SELECT target AS "class", periodo, round(avg(o_totalprice), 4) AS value FROM scored
-    GROUP BY target, periodo""",
+    f"""{SCORED} SELECT target AS "class", periodo, round(avg(CAST(round(o_totalprice * 100) AS BIGINT)), 4) AS value
+    FROM scored GROUP BY target, periodo""",
 )
 def _period_num(spark, sf_dir):
-    return rounded(P.period_aggregate(scored_frame(spark, sf_dir), "target", "periodo", "o_totalprice", False), 4)
+    # In cents: sums of integers are the same in both engines, so rounding meets the same numbers.
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    rows = scored_frame(spark, sf_dir).withColumn("cents", cents)
+    return rounded(P.period_aggregate(rows, "target", "periodo", "cents", False), 4)
 
 
 # --------------------------------------------------------------------- catalogues
