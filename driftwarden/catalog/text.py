@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import zipfile
-from functools import lru_cache
-from pathlib import Path
-
-import pyspark
 from pyspark.sql import functions as F
 
 from driftwarden.catalog.registry import query, rounded
@@ -50,17 +45,19 @@ def squeeze_sql(expression: str) -> str:
     return f"lower(trim({blank_sql(expression, X.WHITESPACE)}))"
 
 
-@lru_cache
-def bundled_words(languages: tuple[str, ...] = ("spanish", "english")) -> list[str]:
-    """Spark's stop words read from its own jar, since the SQL text is built without a session."""
-    jar = next(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        lists = [z.read(f"org/apache/spark/ml/feature/stopwords/{lang}.txt").decode().split("\n") for lang in languages]
-    return sorted({w for words in lists for w in words if w})
+# The words these queries drop: a parameter of the operators, whose default is Spark's own list (functions.text.stop_words).
+STOP_WORDS = (
+    "a al algo ante con como cuando de del desde donde el ella ellos en entre era es esta este esto está fue ha hay la las le lo "
+    "los me mi muy más nada ni no nos o para pero por porque que quien se ser si sin sobre son su sus también te tu un una uno y "
+    "ya yo about after all an and any are as at be because been before being but by can did do does for from had has have he her "
+    "here him his how i if in into is it its itself just more most my nor not now of off on once only or other our out over own "
+    "same she should so some such than that the their them then there these they this those through to too under until up very "
+    "was we were what when where which while who whom why will with you your"
+).split()
 
 
 def stop_sql(expression: str) -> str:
-    words = ", ".join("'" + w.replace("'", "''") + "'" for w in bundled_words())
+    words = ", ".join(f"'{w}'" for w in STOP_WORDS)
     return f"array_to_string(list_filter(string_split({expression}, ' '), lambda w: w NOT IN ({words})), ' ')"
 
 
@@ -92,7 +89,7 @@ simple("squeeze_space_lower", X.squeeze_space_lower, squeeze_sql(Q))
 
 @query("remove_stopwords", f"SELECT doc_id, {stop_sql(squeeze_sql(Q))} AS text FROM documents")
 def _stop(spark, sf_dir):
-    text = X.remove_stopwords(X.squeeze_space_lower(F.col("text")), X.stop_words())
+    text = X.remove_stopwords(X.squeeze_space_lower(F.col("text")), STOP_WORDS)
     return noisy(spark, sf_dir).withColumn("text", text)
 
 
@@ -105,12 +102,12 @@ def clean_sql(expression: str) -> str:
 
 @query("clean_text", f"SELECT doc_id, {clean_sql(Q)} AS text FROM documents")
 def _clean(spark, sf_dir):
-    return noisy(spark, sf_dir).withColumn("text", X.clean_text(F.col("text"), X.stop_words()))
+    return noisy(spark, sf_dir).withColumn("text", X.clean_text(F.col("text"), STOP_WORDS))
 
 
 @query("clean_text_exact")
 def _clean_exact(spark, sf_dir):
-    return noisy(spark, sf_dir).withColumn("text", X.clean_text(F.col("text"), X.stop_words(), exact=True))
+    return noisy(spark, sf_dir).withColumn("text", X.clean_text(F.col("text"), STOP_WORDS, exact=True))
 
 
 @query("strip_html_exact")
@@ -134,7 +131,7 @@ def _reviews(spark, sf_dir):
     labelled = read(spark, sf_dir, "documents").select("doc_id", "text").join(
         read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id"
     )
-    return TF.review_table(labelled, "doc_id", "text", "quality", {0: "bad", 1: "good"}, X.stop_words())
+    return TF.review_table(labelled, "doc_id", "text", "quality", {0: "bad", 1: "good"}, STOP_WORDS)
 
 
 TOKENS = f"""WITH tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{TF.TOKEN}')) AS token FROM documents),
