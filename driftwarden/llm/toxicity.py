@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import sys
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,8 +22,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MOST_LABELLED = 5_000
 #: Leading parts of a word that stand for it where the word itself was not learnt.
 STEMS = (7, 6, 5, 4)
-#: Pseudo-counts of the Dirichlet prior, documents that must hold a form, least z-value, cost of any other token.
-PRIOR, SUPPORT, LEAST_Z, DRIFT = 1_000.0, 4, 3.0, 0.5
+#: The Dirichlet prior: pseudo-documents spread as in both classes together, and a flat part for each form.
+PRIOR, FLAT = 1_000.0, 0.5
+#: Documents that must hold a form, least z-value of its log-odds, cost of any other token.
+SUPPORT, LEAST_Z, DRIFT = 4, 3.0, 0.5
 #: Calibrated probability from which a document is called toxic.
 CUT = 0.3
 _TOKEN = re.compile(r"[^\W\d_]+")
@@ -139,14 +142,27 @@ def _forms(text: Column) -> Column:
     return F.array_distinct(F.concat(words, *stems))
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _least_shingles(texts: pd.Series) -> pd.Series:
+    """The least five-word shingle of a text under three hashes."""
+
+    def of(text: str) -> list[int]:
+        words = _TOKEN.findall(text.lower())
+        shingles = [" ".join(words[i : i + 5]).encode() for i in range(max(1, len(words) - 4))]
+        return [min(zlib.crc32(s, seed) for s in shingles) for seed in (1, 2, 3)]
+
+    return pd.Series([of(t) for t in texts])
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> ToxicModel:
     """Learn the weights and the calibration from at most about ``most`` documents of each class.
 
     ``docs`` (doc_id, text), ``labels`` (doc_id, label); rows held out are
     never read. The sample is chosen by hash and its size follows from the
     class counts, so the broadcast list of ids is bounded by ``most``. Equal
-    texts count once. Without documents of both classes the model scores every
-    text near zero.
+    and nearly equal texts (the same least five-word shingle under one of three
+    hashes) count once, lest a copied passage pass for a habit. Without
+    documents of both classes the model scores every text near zero.
     """
     known = labels.where(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1)).dropDuplicates(["doc_id"])
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
@@ -156,7 +172,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> ToxicM
     at = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = known.where(at < share).select("doc_id", "label")
     sample = docs.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
-    sample = written(sample.select("text", "label").dropDuplicates(["text", "label"]), "toxic-sample")
+    sample = sample.withColumn("s", _least_shingles(F.col("text")))
+    for i in range(3):
+        sample = sample.withColumn("least", F.element_at("s", i + 1)).dropDuplicates(["least", "label"])
+    sample = written(sample.select("text", "label"), "toxic-sample")
     forms = sample.select("label", F.explode(_forms(F.col("text"))).alias("form"))
     found = forms.where("label = 1").groupBy("form").agg(F.count(F.lit(1)).alias("y1")).where(F.col("y1") >= SUPPORT)
     other = forms.where("label = 0").join(found.select("form"), "form", "left_semi").groupBy("form")
@@ -165,15 +184,12 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> ToxicM
     if not n1 or not n0:
         return ToxicModel()
     y1, y0 = F.col("y1").cast("double"), F.coalesce(F.col("y0"), F.lit(0)).cast("double")
-    prior = F.lit(PRIOR) * (y1 + y0) / F.lit(n1 + n0)
-    odds1 = (y1 + prior) / (F.lit(n1 + PRIOR) - y1 - prior)
-    odds0 = (y0 + prior) / (F.lit(n0 + PRIOR) - y0 - prior)
-    delta = F.log(odds1) - F.log(odds0)
-    # The variance is floored by one unseen document of the other class, so that chance runs of rare words stay out.
+    prior = F.lit(FLAT) + F.lit(PRIOR) * (y1 + y0) / F.lit((n1 + n0) * max(n1, n0))
+    a1, a0 = y1 + prior, y0 + prior
+    delta = F.log(a1 / (F.lit(n1 + PRIOR) - a1)) - F.log(a0 / (F.lit(n0 + PRIOR) - a0))
     scored = (
         found.join(other.agg(F.count(F.lit(1)).alias("y0")), "form", "left")
-        .select("form", "y1", y0.alias("y0"), delta.alias("weight"))
-        .withColumn("z", F.col("weight") / F.sqrt(1 / F.col("y1") + 1 / (F.col("y0") + 0.5)))
+        .select("form", y0.alias("y0"), delta.alias("weight"), (delta / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
         .where((F.col("z") >= LEAST_Z) & (F.col("weight") > 0))
     )
     rows = scored.collect()  # bounded: a form has SUPPORT documents of a bounded sample
