@@ -81,3 +81,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = mixed(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftwarden.llm.decontamination import contaminated
+
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftwarden.llm.near import near_documents
+
+    return near_documents(read(spark, sf_dir, "documents")).drop("raw")
