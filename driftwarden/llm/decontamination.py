@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from driftwarden.llm import shingles
 from driftwarden.llm.common import columns_of
@@ -24,8 +23,9 @@ TILE, COVERAGE = 4, 0.5
 SLICE_BYTES = 8 << 20
 _WORD = re.compile(r"\w+")
 
-_MATCH = T.StructType.fromDDL(
-    "item_id bigint, item_words int, covered int, tiles array<struct<item_start:int,doc_start:int,words:int>>"
+_MATCHES = (
+    "array<struct<item_id:bigint,item_words:int,covered:int,"
+    "tiles:array<struct<item_start:int,doc_start:int,words:int>>>>"
 )
 
 
@@ -134,7 +134,7 @@ def _slices(benchmark: DataFrame) -> list[list[tuple[int, str | None]]]:
 
 
 def _finder(seeds: Seeds, coverage: float):
-    @F.pandas_udf(T.ArrayType(_MATCH))
+    @F.pandas_udf(_MATCHES)
     def find(texts: pd.Series) -> pd.Series:
         out = []
         for text in texts:

@@ -64,7 +64,16 @@ def extended(path: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 _ROOTS = shingles.scramble(np.arange(1, RUNS + 1, dtype=np.uint64))
 
 
-@F.pandas_udf(T.StructType.fromDDL("key string, n int, tokens binary, paths array<bigint>"))
+_SIGNED = (
+    T.StructType()
+    .add("key", T.StringType())
+    .add("n", T.IntegerType())
+    .add("tokens", T.BinaryType())
+    .add("paths", T.ArrayType(T.LongType()))
+)
+
+
+@F.pandas_udf(_SIGNED)
 def _signed(texts: pd.Series) -> pd.DataFrame:
     rows = []
     for text in texts:

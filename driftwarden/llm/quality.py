@@ -119,7 +119,7 @@ def discriminant(found: dict[int, tuple[float, np.ndarray, np.ndarray]]) -> Qual
 
 
 def _with_score(rows: DataFrame, model: QualityModel) -> DataFrame:
-    @F.pandas_udf(T.StructType.fromDDL("difference double, score double"))
+    @F.pandas_udf("struct<difference:double,score:double>")
     def score(x: pd.Series) -> pd.DataFrame:
         d = model.difference(np.stack(x.to_numpy())) if len(x) else np.zeros(0)
         p = 1 / (1 + np.exp(-np.clip(model.intercept + model.slope * d, -500, 500)))

@@ -111,10 +111,8 @@ def _scanner(model: ToxicModel):
     """A column function text -> (tokens, best, evidence, score, passages)."""
 
     @F.pandas_udf(
-        T.StructType.fromDDL(
-            "tokens bigint, best double, evidence double, score double, "
-            "passages array<struct<first:bigint,last:bigint,weight:double>>"
-        )
+        "struct<tokens:bigint,best:double,evidence:double,score:double,"
+        "passages:array<struct<first:bigint,last:bigint,weight:double>>>"
     )
     def scan(texts: pd.Series) -> pd.DataFrame:
         weights = _Weights(model.weights)
