@@ -95,3 +95,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftwarden.llm.near import near_documents
 
     return near_documents(read(spark, sf_dir, "documents")).drop("raw")
+
+
+@query("op1_personal_data")
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftwarden.llm.personal import personal_data
+
+    return personal_data(read(spark, sf_dir, "documents"))
