@@ -102,3 +102,10 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftwarden.llm.personal import personal_data
 
     return personal_data(read(spark, sf_dir, "documents"))
+
+
+@query("op3_vectors")
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftwarden.llm.vectors import near_vectors
+
+    return near_vectors(read(spark, sf_dir, "embeddings"))
