@@ -109,3 +109,15 @@ def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftwarden.llm.vectors import near_vectors
 
     return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query("op4_licenses")
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from driftwarden.llm.licenses import license_files
+
+    # Documents carry no path: source, language and blocks of ids stand for the folders of a tree.
+    folder = [F.col("source"), F.col("lang"), F.floor(F.col("doc_id") / 1000).cast("string")]
+    path = F.concat_ws("/", *[F.coalesce(c, F.lit("none")) for c in folder], F.col("doc_id").cast("string"))
+    return license_files(read(spark, sf_dir, "documents").withColumn("path", path))
