@@ -121,3 +121,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = [F.col("source"), F.col("lang"), F.floor(F.col("doc_id") / 1000).cast("string")]
     path = F.concat_ws("/", *[F.coalesce(c, F.lit("none")) for c in folder], F.col("doc_id").cast("string"))
     return license_files(read(spark, sf_dir, "documents").withColumn("path", path))
+
+
+@query("op2_line_dedup")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftwarden.llm.lines import repeated_lines
+
+    return repeated_lines(read(spark, sf_dir, "documents"))
