@@ -77,7 +77,10 @@ def line_links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -
     once = ~F.col("own") | (F.col("h1") < F.col("g1"))
     different = (F.col("h1") != F.col("g1")) & once
     pairs = left.join(right, (left["key"] == right["key"]) & different & (apart >= 0))
-    return pairs.select("h1", "h2", "g1", "g2").distinct()
+    up = F.col("h1") < F.col("g1")
+    ends = [F.when(up, F.col(a)).otherwise(F.col(b)).alias(a) for a, b in (("h1", "g1"), ("h2", "g2"))]
+    other = [F.when(up, F.col(b)).otherwise(F.col(a)).alias(b) for a, b in (("h1", "g1"), ("h2", "g2"))]
+    return pairs.select(*ends, *other).distinct()
 
 
 def line_classes(occurrences: DataFrame, links: DataFrame) -> DataFrame:
