@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwarden.llm.common import columns_of, written
@@ -201,6 +201,10 @@ def learnt_patterns(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame,
     return trusted, found
 
 
+def _of_kind(kind: int) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Personal data of every whole text.
 
@@ -237,9 +241,7 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     spans = F.array_sort(F.concat("base", F.coalesce("learnt", none)))
     name = F.array(*[F.lit(k) for k in KINDS])
     text_of = F.transform(spans, lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["start"], s["end"]))
-    counts = [
-        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{k}") for i, k in enumerate(KINDS)
-    ]
+    counts = [_of_kind(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return out.select(
         "doc_id",
         *counts,

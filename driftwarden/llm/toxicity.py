@@ -20,7 +20,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Most labelled documents of each class that the model is fitted on (chosen by hash, so that the sample is repeatable).
 MOST_LABELLED = 5_000
-#: Leading parts of a word that stand for it where the word itself was not learnt.
+#: Lengths of the leading parts of a word that are learnt beside it.
 STEMS = (7, 6, 5, 4)
 #: The Dirichlet prior: pseudo-documents spread as in both classes together, and a flat part for each form.
 PRIOR, FLAT = 1_000.0, 0.5
@@ -46,17 +46,15 @@ class ToxicModel:
 
 
 class _Weights(dict):
-    """Weight of a word: its own, else that of its longest known stem, else the drift."""
+    """Weight of a word: the largest of its own and its known stems', else the drift."""
 
     def __init__(self, known: dict[str, float]):
         super().__init__()
         self.known = known
 
     def __missing__(self, word: str) -> float:
-        weight = self.known.get(word)
-        if weight is None:
-            stems = (self.known.get(word[:n] + "*") for n in STEMS if len(word) >= n)
-            weight = next((w for w in stems if w is not None), -DRIFT)
+        forms = [word, *(word[:n] + "*" for n in STEMS if len(word) >= n)]
+        weight = max(self.known.get(f, -DRIFT) for f in forms)
         if len(self) < _REMEMBERED:
             self[word] = weight
         return weight
@@ -133,11 +131,12 @@ def _scanner(model: ToxicModel):
 def _forms(text: Column) -> Column:
     """The distinct words of a text and their stems."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_JAVA_TOKEN), 0))
-    stems = [
-        F.transform(F.filter(words, lambda w, n=n: F.length(w) >= n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))
-        for n in STEMS
-    ]
-    return F.array_distinct(F.concat(words, *stems))
+    return F.array_distinct(F.concat(words, *[_stems(words, n) for n in STEMS]))
+
+
+def _stems(words: Column, n: int) -> Column:
+    long = F.filter(words, lambda w: F.length(w) >= n)
+    return F.transform(long, lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
