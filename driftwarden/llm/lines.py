@@ -19,8 +19,18 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def _cuts(edits: int) -> list[tuple[int, int, int]]:
+    """(gap, segment, shift) of every key of a line, in order."""
+    return [
+        (gap, i, shift)
+        for gap in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, gap - (edits - i)), min(i, gap + (edits - i)) + 1)
+    ]
+
+
 def segment_keys(line: Column, edits: int = EDITS) -> Column:
-    """The keys under which a line is indexed and probed: array of (key, indexed).
+    """The keys under which a line is indexed and probed, in the order of ``_cuts``.
 
     A line of n characters is cut into edits + 1 segments as even as can be. A
     line at most ``edits`` edits away and ``gap`` characters longer holds one
@@ -30,15 +40,12 @@ def segment_keys(line: Column, edits: int = EDITS) -> Column:
     """
     parts = edits + 1
     keys = []
-    for gap in range(edits + 1):
+    for gap, i, shift in _cuts(edits):
         size = F.length(line) - gap
         base, wider = F.floor(size / parts).cast("int"), size % parts
-        for i in range(parts):
-            start = F.lit(1) + base * i + F.greatest(F.lit(0), wider - (parts - i))
-            length = base + F.when(wider >= parts - i, 1).otherwise(0)
-            for shift in range(max(-i, gap - (edits - i)), min(i, gap + (edits - i)) + 1):
-                key = F.xxhash64(F.substring(line, start + shift, length), F.lit(i), size)
-                keys.append(F.struct(key.alias("key"), F.lit(gap == 0 and shift == 0).alias("indexed")))
+        start = F.lit(1) + base * i + F.greatest(F.lit(0), wider - (parts - i))
+        length = base + F.when(wider >= parts - i, 1).otherwise(0)
+        keys.append(F.xxhash64(F.substring(line, start + shift, length), F.lit(i), size))
     return F.array(*keys)
 
 
@@ -52,22 +59,25 @@ def line_links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -
     segment never leave it, and a key of very many lines is split by Spark.
     """
     long = lines.where(F.length("line") >= shortest)
-    cut = long.select("h1", "h2", segment_keys(F.col("line"), edits).alias("keys")).dropDuplicates(["h1", "h2"])
-    keyed = cut.select("h1", "h2", F.explode("keys").alias("k")).select("h1", "h2", "k.*")
+    cut = long.select("h1", segment_keys(F.col("line"), edits).alias("keys")).dropDuplicates(["h1"])
+    entries = [at for at, (gap, _, shift) in enumerate(_cuts(edits)) if gap == shift == 0]
+    keyed = cut.select("h1", F.posexplode("keys").alias("at", "key")).select(
+        "h1", "key", F.col("at").isin(entries).alias("indexed")
+    )
     same = Window.partitionBy("key")
     meeting = (
         keyed.withColumn("a", F.min("h1").over(same))
         .withColumn("b", F.max("h1").over(same))
         .withColumn("entries", F.max("indexed").over(same))
         .where((F.col("a") != F.col("b")) & F.col("entries"))
-        .select("key", "indexed", "h1", "h2")
+        .select("key", "indexed", "h1")
     )
     active = written(meeting, "line-keys")
     texts = written(
-        long.join(active.select("h1", "h2").distinct(), ["h1", "h2"]).select("h1", "h2", "line").dropDuplicates(["h1", "h2"]),
+        long.join(active.select("h1").distinct(), "h1").select("h1", "h2", "line").dropDuplicates(["h1", "h2"]),
         "line-texts",
     )
-    held = active.join(texts, ["h1", "h2"])
+    held = active.join(texts, "h1")
     left = held.where("indexed").select("key", "h1", "h2", "line")
     right = held.select(
         "key", F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("line").alias("other"), F.col("indexed").alias("own")
