@@ -12,22 +12,23 @@ ROUNDS, BUCKETS, SALTS = 4, 256, 8
 SEED = 17
 
 
-def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROUNDS, slack: float = 0.05) -> DataFrame:
+def propagate(nodes: DataFrame, links: DataFrame, quota: float, rounds: int = ROUNDS) -> DataFrame:
     """(node, shard) for the linked nodes after label propagation under quotas.
 
     ``nodes`` (node, shard) is the start, ``links`` (node, link) says which
-    nodes share something. Each round every link counts its members per shard
+    nodes share something; ``quota`` is the number of linked nodes a shard
+    admits. Nodes without a link take part in nothing: they give way when the
+    shards are settled. Each round every link counts its members per shard
     and, being larger than one shard or not, names the shards it wants: the
-    fullest ones, as many as its size needs. A node outside them asks to move
+    fullest ones, as many as its size needs and one more. A node outside them asks to move
     to the one that most of its links name. Shards admit movers up to their
-    quota (an even share plus ``slack``), in the order of a hash bucket, so only
-    counts per (shard, bucket) are gathered. A link of very many nodes is at
-    most one row per shard after the partial aggregation, and the votes go back
-    to its nodes by a salted key.
+    quota, in the order of a hash bucket, so only counts per (shard, bucket)
+    are gathered. A link of very many nodes is at most one row per shard after
+    the partial aggregation, and the votes go back to its nodes by a salted
+    key.
     """
-    size = nodes.count()
-    quota = size / shards * (1 + slack)
     linked = written(links.join(links.groupBy("link").count().where("count > 1").drop("count"), "link"), "links")
+    nodes = nodes.join(linked.select("node").distinct(), "node")
     state = written(nodes, "labels")
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS))
     for turn in range(rounds):
@@ -37,7 +38,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROU
         ranked = (
             counts.withColumn("all", F.sum("n").over(of_link))
             .withColumn("place", F.row_number().over(of_link.orderBy(F.desc("n"), F.xxhash64("link", "shard"))))
-            .withColumn("want", F.ceil(F.col("all") / F.lit(quota)))
+            .withColumn("want", F.when(F.col("all") * 2 <= quota, 1).otherwise(F.ceil(F.col("all") / F.lit(quota)) + 1))
             .where("place <= want")
         )
         named = ranked.groupBy("link").agg(
@@ -115,15 +116,12 @@ def shard_documents(
         "shard-base",
     )
     start = F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(SEED)), F.lit(shards)).cast("int")
-    state = propagate(
-        base.select("node", start.alias("shard")), base.where("link IS NOT NULL").select("node", "link"), shards, rounds
-    )
-    groups = base.where("link IS NOT NULL").groupBy("link").count().where("count > 1").select("link", F.lit(0).alias("alone"))
-    placed = (
-        base.join(state.withColumnRenamed("shard", "label"), "node")
-        .join(groups, "link", "left")
-        .withColumn("alone", F.coalesce("alone", F.lit(1)))
+    linked = base.where("link IS NOT NULL").select("node", "link")
+    state = propagate(base.select("node", start.alias("shard")), linked, base.count() / shards, rounds)
+    placed = base.join(state.withColumnRenamed("shard", "label"), "node", "left").select(
+        "*", F.col("label").isNull().alias("alone"), start.alias("start")
     )
+    placed = placed.withColumn("label", F.coalesce("label", "start")).drop("start")
     return _settle(placed, shards)
 
 
