@@ -53,9 +53,9 @@ def _sql(spark, sf_dir):
     return files.sql_source(spark, sql, views)
 
 
-@query("read_limited", "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50000")
+@query("read_limited", "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5000")
 def _limited(spark, sf_dir):
-    return files.read_limited(read(spark, sf_dir, "orders"), 50_000, [F.desc("o_totalprice"), "o_orderkey"])
+    return files.read_limited(read(spark, sf_dir, "orders"), 5_000, [F.desc("o_totalprice"), "o_orderkey"])
 
 
 @query("write_parquet", "SELECT * FROM orders")

@@ -257,7 +257,7 @@ def _predict_job(spark, sf_dir):
 def _stream(spark, sf_dir):
     rows = stored_scored(spark, sf_dir)
     arriving_path = scratch_path(spark, "arriving")
-    rows.where("set_analysis = 'predict'").coalesce(1).write.parquet(arriving_path)
+    rows.where("set_analysis = 'predict'").write.parquet(arriving_path)
     arriving = spark.readStream.schema(rows.schema).parquet(arriving_path)
     root = scratch_path(spark, "stream-marts")
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftwarden.catalog.registry import query, rounded
-from driftwarden.common import spread
 from driftwarden.functions import text as X
 from driftwarden.operators import text_features as TF
 from driftwarden.plans.scored import read
@@ -15,9 +14,13 @@ NOISE = "😀 [nota] <b>¡Hola, señor Müller!</b> (x) https://www.example.com/
 Q = "'" + NOISE.replace("'", "''") + "' || text"
 
 
+def documents(spark, sf_dir):
+    """Text is heavy per row and the given table is one small file, so it is dealt out by key."""
+    return read(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+
+
 def noisy(spark, sf_dir):
-    documents = spread(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return documents.select("doc_id", F.concat(F.lit(NOISE), F.col("text")).alias("text"))
+    return documents(spark, sf_dir).select("doc_id", F.concat(F.lit(NOISE), F.col("text")).alias("text"))
 
 
 def blank_sql(expression: str, *patterns: str) -> str:
@@ -128,7 +131,7 @@ SELECT doc_id, text, quality, 'R_' || (row_number() OVER (ORDER BY doc_id) - 1)
 
 @query("review_table", REVIEWS)
 def _reviews(spark, sf_dir):
-    labelled = read(spark, sf_dir, "documents").select("doc_id", "text").join(
+    labelled = documents(spark, sf_dir).join(
         read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id"
     )
     return TF.review_table(labelled, "doc_id", "text", "quality", {0: "bad", 1: "good"}, STOP_WORDS)
@@ -141,7 +144,7 @@ vocabulary AS (SELECT token, count(*) AS df FROM counts GROUP BY token HAVING co
 
 @query("bag_of_words", f"{TOKENS} SELECT doc_id, token, tf FROM counts JOIN vocabulary USING (token)")
 def _bag(spark, sf_dir):
-    return TF.bag_of_words(read(spark, sf_dir, "documents"), "doc_id", "text", 3)
+    return TF.bag_of_words(documents(spark, sf_dir), "doc_id", "text", 3)
 
 
 @query(
@@ -151,4 +154,4 @@ def _bag(spark, sf_dir):
     SELECT doc_id, token, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""",
 )
 def _tfidf(spark, sf_dir):
-    return rounded(TF.tfidf(read(spark, sf_dir, "documents"), "doc_id", "text", 3))
+    return rounded(TF.tfidf(documents(spark, sf_dir), "doc_id", "text", 3))

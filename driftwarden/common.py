@@ -49,16 +49,6 @@ def written(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a table that arrives in fewer pieces than there are cores; leave any other as it is.
-
-    For work that is heavy per row, such as text. A table of many files is
-    never shuffled by this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project onto ``schema``: declared order and types, absent columns as NULL."""
     present = set(df.columns)

@@ -239,10 +239,10 @@ def histogram_arrays(histogram: DataFrame, set_column: str = "set_data", bins: i
     return histogram.groupBy("feature", set_column).agg(F.array(*counts).alias("hist"))
 
 
-def explode_hist_bins(arrays: DataFrame, set_column: str = "set_data", limit: int = 20) -> DataFrame:
+def explode_hist_bins(arrays: DataFrame, set_column: str = "set_data") -> DataFrame:
     """Histogram arrays as lines ``hist_ref_i`` / ``hist_current_i``."""
     short = F.when(F.col(set_column) == "reference", "ref").otherwise("current")
-    lines = arrays.select("feature", short.alias("side"), F.posexplode("hist").alias("i", "value")).where(F.col("i") < limit)
+    lines = arrays.select("feature", short.alias("side"), F.posexplode("hist").alias("i", "value"))
     return lines.select(
         "feature", F.concat(F.lit("hist_"), "side", F.lit("_"), F.col("i").cast("string")).alias("metric"), "value"
     ).withColumn("type_metric", F.lit("drift_bins"))

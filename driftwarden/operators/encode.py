@@ -187,7 +187,7 @@ class ImputeModel(FittedStage):
     def _transform(self, df: DataFrame) -> DataFrame:
         fills = self.values["fill"]
         return df.withColumns(
-            {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(fills[c])) for c in self.columns}
+            {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(fills.get(c)).cast("double")) for c in self.columns}
         )
 
 
@@ -290,10 +290,10 @@ class OneHot(_Stage):
 
     def _fit(self, df: DataFrame) -> OneHotModel:
         counts = level_counts(df, self.columns)
-        limit = self.max_levels * len(self.columns)
-        rows = counts.select("feature", "value").limit(limit + 1).collect()
-        if len(rows) > limit:
+        sizes = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+        if not sizes.where(F.col("n") > self.max_levels).isEmpty():
             raise ValueError(f"more than {self.max_levels} levels per column: bucket the levels before one-hot encoding")
+        rows = counts.select("feature", "value").collect()  # max_levels per column
         dummies = []
         for c in self.columns:
             values = sorted(r["value"] for r in rows if r["feature"] == c)
@@ -333,7 +333,7 @@ class Impute(_Stage):
             present = [F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in self.columns]
             fill = df.agg(*present).first().asDict()
         elif self.strategy == "median":
-            fill = {c: v[0.5] for c, v in percentiles_of(df, self.columns, [0.5]).items()}
+            fill = {c: v.get(0.5) for c, v in percentiles_of(df, self.columns, [0.5]).items()}
         else:
             long = melt(df, [], self.columns, "feature").where(F.col("value").isNotNull() & ~F.isnan("value"))
             counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -359,7 +359,8 @@ class RobustScale(_Stage):
     """(x - median) / interquartile range."""
 
     def _fit(self, df: DataFrame) -> ScaleModel:
-        q = percentiles_of(df, self.columns, [0.25, 0.5, 0.75])
+        # A column of NULLs only has no percentiles: it is left as it is, with width one.
+        q = {c: v or {0.25: 0.0, 0.5: 0.0, 0.75: 1.0} for c, v in percentiles_of(df, self.columns, [0.25, 0.5, 0.75]).items()}
         return ScaleModel(
             self.columns,
             {"center": {c: q[c][0.5] for c in q}, "width": {c: q[c][0.75] - q[c][0.25] for c in q}},
@@ -374,8 +375,8 @@ class MinMaxScale(_Stage):
             *[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in self.columns],
             *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in self.columns],
         ).first()
-        low = {c: row[f"lo_{c}"] for c in self.columns}
-        return ScaleModel(self.columns, {"center": low, "width": {c: row[f"hi_{c}"] - low[c] for c in self.columns}})
+        low = {c: row[f"lo_{c}"] or 0.0 for c in self.columns}  # nothing but NULLs: left as they are
+        return ScaleModel(self.columns, {"center": low, "width": {c: (row[f"hi_{c}"] or 0.0) - low[c] for c in self.columns}})
 
 
 class ClipOutliers(_Stage):
@@ -386,7 +387,7 @@ class ClipOutliers(_Stage):
         self.outlier_range = outlier_range
 
     def _fit(self, df: DataFrame) -> ClipOutliersModel:
-        q = percentiles_of(df, self.columns, [0.25, 0.75])
+        q = {c: v or {0.25: 0.0, 0.75: 0.0} for c, v in percentiles_of(df, self.columns, [0.25, 0.75]).items()}
         reach = {c: self.outlier_range * (q[c][0.75] - q[c][0.25]) for c in q}
         return ClipOutliersModel(
             self.columns,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from driftwarden.common import written
 # position inside the partition in the lower 33 bits.
 _POSITION_BITS = 33
 
-# Three hex digits of an md5: 4096 evenly filled buckets.
-_HASH_PREFIX = 3
+# Hex digits of an md5 per level of buckets, and levels: 4096 evenly filled buckets, of which those that hold a cut
+# are divided by 4096 again. What is sorted in the end is one part in 16 million of the rows for each cut.
+_DIGITS, _LEVELS = 3, 2
 
 
 def global_row_number(df: DataFrame, order: Sequence, name: str = "row_number") -> DataFrame:
@@ -59,17 +61,13 @@ def cut_by_hash(
     ``cuts(n)`` gives ascending ranks for a stratum of ``n`` rows; a row whose
     rank is above ``j`` of them gets part ``j``. Hash buckets are counted
     first. A bucket lying wholly between two cuts settles its rows without
-    ranking them; only the few buckets that hold a cut are sorted, so the table
-    itself is not shuffled. ``strata`` must be class-like columns: the counts
-    (4096 per stratum) are broadcast.
+    ranking them; the few buckets that hold a cut are divided once more, and
+    only what then holds a cut is sorted, so the table itself is not shuffled.
+    ``strata`` must be class-like columns: 4096 counts per stratum travel.
     """
     strata = list(strata)
-    hashed = df.withColumn("__hash", row_hash(key, seed)).withColumn("__bucket", F.substring("__hash", 1, _HASH_PREFIX))
-    group = [*strata, "__bucket"]
-    counts = hashed.groupBy(*group).agg(F.count(F.lit(1)).alias("__size"))
-    whole = Window.partitionBy(*strata) if strata else Window.partitionBy(F.lit(1))
-    running = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counts.withColumn("__end", F.sum("__size").over(running)).withColumn("__n", F.sum("__size").over(whole))
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = [*df.columns, name]
 
     def part(rank: Column) -> Column:
         above = [F.when(rank > c, 1).otherwise(0) for c in cuts(F.col("__n"))]
@@ -78,21 +76,34 @@ def cut_by_hash(
             total = total + a
         return total
 
-    placed = (
-        placed.withColumn("__offset", F.col("__end") - F.col("__size"))
-        .withColumn("__first", part(F.col("__offset") + 1))
-        .withColumn("__last", part(F.col("__end")))
-        .drop("__size", "__end")
-    )
-    # Null-safe, so that a NULL stratum is kept as one of its own.
-    left, right = hashed.alias("l"), F.broadcast(placed).alias("r")
-    condition = F.col("l.__bucket") == F.col("r.__bucket")
-    for s in strata:
-        condition = condition & F.col(f"l.{s}").eqNullSafe(F.col(f"r.{s}"))
-    joined = left.join(right, condition).select("l.*", "r.__n", "r.__offset", "r.__first", "r.__last")
-    settled = joined.where("__first = __last").withColumn(name, F.col("__first"))
-    keys = [key] if isinstance(key, str) else list(key)
-    rank = F.col("__offset") + F.row_number().over(Window.partitionBy(*group).orderBy("__hash", *keys))
-    ranked = joined.where("__first <> __last").withColumn("__rank", rank).withColumn(name, part(F.col("__rank")))
-    columns = [*df.columns, name]
-    return settled.select(*columns).unionByName(ranked.select(*columns))
+    rows = df.withColumn("__hash", row_hash(key, seed)).withColumns({"__before": F.lit(0).cast("bigint"), "__n": F.lit(None).cast("bigint")})
+    settled = []
+    group: list[str] = list(strata)
+    for level in range(_LEVELS):
+        inside = list(group)
+        bucket = f"__bucket{level}"
+        group = [*group, bucket]
+        rows = rows.withColumn(bucket, F.substring("__hash", 1 + level * _DIGITS, _DIGITS))
+        counts = rows.groupBy(*group).agg(
+            F.count(F.lit(1)).alias("__size"), F.max("__before").alias("__base"), F.max("__n").alias("__known")
+        )
+        whole = Window.partitionBy(*inside) if inside else Window.partitionBy(F.lit(1))
+        running = whole.orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = (
+            counts.withColumn("__end", F.col("__base") + F.sum("__size").over(running))
+            .withColumn("__n", F.coalesce("__known", F.sum("__size").over(whole)))
+            .withColumn("__offset", F.col("__end") - F.col("__size"))
+            .withColumn("__first", part(F.col("__offset") + 1))
+            .withColumn("__last", part(F.col("__end")))
+            .select(*group, "__n", "__offset", "__first", "__last")
+        )
+        # Null-safe, so that a NULL stratum is kept as one of its own.
+        condition = reduce(lambda a, b: a & b, [F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group])
+        kept = [c for c in rows.columns if c not in ("__before", "__n")]
+        joined = rows.alias("l").join(F.broadcast(placed).alias("r"), condition)
+        joined = joined.select(*[F.col(f"l.{c}") for c in kept], "r.__n", "r.__offset", "r.__first", "r.__last")
+        settled.append(joined.where("__first = __last").withColumn(name, F.col("__first")).select(*columns))
+        rows = joined.where("__first <> __last").withColumn("__before", F.col("__offset")).drop("__offset", "__first", "__last")
+    rank = F.col("__before") + F.row_number().over(Window.partitionBy(*group).orderBy("__hash", *keys))
+    ranked = rows.withColumn("__rank", rank).withColumn(name, part(F.col("__rank"))).select(*columns)
+    return reduce(DataFrame.unionByName, [*settled, ranked])

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import sys
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +17,9 @@ from driftwarden.operators.metrics import reported_as
 from driftwarden.operators.quantiles import exact_percentiles
 from driftwarden.spec import FEATURE_SCHEMA, ModelSpec
 
+# Send the helper functions themselves: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def dataset_profile(df: DataFrame, spec: ModelSpec, approximate: bool = False) -> DataFrame:
     """One row describing a modelling table: sizes, period range, distinct keys."""
@@ -265,17 +272,38 @@ def pearson(a: Column, b: Column) -> Column:
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair below the diagonal, in one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[:i]]
-    cells = [
-        F.struct(
-            F.lit(a).alias("feature"),
-            F.lit(b).alias("other_feature"),
-            pearson(F.col(a), F.col(b)).alias("value"),
-        )
-        for a, b in pairs
-    ]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    """Pearson correlation of every pair below the diagonal, each over the rows where both are present.
+
+    One pass: every partition adds up its cross products by matrix products,
+    NULLs masked, and leaves one row per pair; values are centred first, so
+    that the sums stay small. NULL when one of the two is constant.
+    """
+    features = list(features)
+    numeric = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(features)])
+    centres = [v or 0.0 for v in numeric.agg(*[F.avg(f"x{i}") for i in range(len(features))]).first()]
+
+    def products(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, len(centres), len(centres)))
+        for batch in batches:
+            x = batch.to_numpy(float) - np.array(centres)
+            here = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, nan=0.0, posinf=np.inf, neginf=-np.inf)
+            square = x * x
+            total += np.stack([here.T @ here, x.T @ here, here.T @ x, square.T @ here, here.T @ square, x.T @ x])
+        i, j = np.tril_indices(len(centres), -1)
+        cells = total[:, i, j]
+        yield pd.DataFrame({"i": i, "j": j, **{n: cells[k] for k, n in enumerate(("n", "a", "b", "aa", "bb", "ab"))}})
+
+    fields = "i int, j int, n double, a double, b double, aa double, bb double, ab double"
+    sums = numeric.mapInPandas(products, fields).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")])
+    spread = [F.col("n") * F.col(c + c) - F.col(c) * F.col(c) for c in "ab"]
+    # Rounding leaves a constant column a trace of spread.
+    flat = [v <= 1e-13 * F.col("n") * F.col(c + c) for v, c in zip(spread, "ab", strict=True)]
+    value = F.when(~(flat[0] | flat[1]), (F.col("n") * F.col("ab") - F.col("a") * F.col("b")) / F.sqrt(spread[0] * spread[1]))
+    names = F.array(*[F.lit(f) for f in features])
+    return sums.select(
+        F.get(names, F.col("i")).alias("feature"), F.get(names, F.col("j")).alias("other_feature"), value.alias("value")
+    )
 
 
 def linear_association(df: DataFrame, spec: ModelSpec, features: Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -31,7 +31,7 @@ def exact_percentiles(
     Sorting thus touches a sliver of the rows, where the built-in exact
     ``percentile`` would hold every distinct value of a group in one buffer.
     ``groups`` are feature-, set- or class-like: one bracket per group and
-    probability is broadcast.
+    probability is broadcast. Should a bracket miss its rank, the query fails.
     """
     if not groups:
         whole = values.withColumn("__whole", F.lit(0))
@@ -97,7 +97,10 @@ def exact_percentiles(
         at(F.ceil("__rank")).alias("__above"),
         F.first(F.col("__rank") - F.floor("__rank")).alias("__part"),
     )
-    interpolated = F.col("__below") + (F.col("__above") - F.col("__below")) * F.col("__part")
+    missed = F.col("__below").isNull() | F.col("__above").isNull()
+    interpolated = F.when(missed, F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")).otherwise(
+        F.col("__below") + (F.col("__above") - F.col("__below")) * F.col("__part")
+    )
     return found.select(*groups, "p", interpolated.alias("percentile"))
 
 

@@ -17,7 +17,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
+from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,7 +100,9 @@ def train_text(
     ``c`` is the inverse penalty on the summed loss; Spark's penalty is on the mean loss.
     """
     tokenizer = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=r"(?U)\w\w+", gaps=False)
-    counter = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=min_df)
+    # Every token counts: the vocabulary is as large as the texts make it, not Spark's default.
+    found = tokenizer.transform(df).select(F.explode("tokens").alias("token")).distinct().count()
+    counter = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=min_df, vocabSize=max(found, 1))
     counting = Pipeline(stages=[tokenizer, counter]).fit(df)
     counted = counting.transform(df)
     idf = IDF(inputCol="counts", outputCol="weighted").fit(counted).idf.toArray()
@@ -241,28 +243,31 @@ def cross_validate(
     fold: str,
     n_folds: int,
     params: Mapping | None = None,
-    parallelism: int = 2,
+    ordered: bool = False,
 ) -> list[PipelineModel]:
-    """One model per fold of the ``fold`` column, trained on the rows of the other folds."""
-    estimator = tabular_estimator(features, label, n_classes, params)
-    fitted = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=[{}],
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss"),
-        numFolds=n_folds,
-        foldCol=fold,
-        collectSubModels=True,
-        parallelism=parallelism,
-    ).fit(df)
-    return [models[0] for models in fitted.subModels]
+    """One model per fold of the ``fold`` column, trained on the rows of the other folds.
+
+    With ``ordered`` folds a model sees only the folds before its own, rows of
+    fold -1 included, never a later one. The fold's own rows steer early
+    stopping, as the validation rows of a single fit do.
+    """
+    models = []
+    for i in range(n_folds):
+        rows = df.where(F.col(fold) <= i) if ordered else df
+        marked = rows.withColumn("__validation", F.col(fold) == i)
+        models.append(train_tabular(marked, features, label, n_classes, params, "__validation"))
+    return models
 
 
-def score_folds(models: Sequence[PipelineModel], df: DataFrame, fold: str, sub_cols: Sequence[str]) -> DataFrame:
+def score_folds(
+    models: Sequence[PipelineModel], df: DataFrame, fold: str, sub_cols: Sequence[str], ordered: bool = False
+) -> DataFrame:
     """Every model's scores on its own training and validation rows, tagged ``fold`` and ``split``."""
     parts = []
     for i, m in enumerate(models):
         side = F.when(F.col(fold) == i, "validation").otherwise("training")
-        tagged = df.withColumn("split", side).withColumn("fold_run", F.lit(i))
+        rows = df.where(F.col(fold) <= i) if ordered else df
+        tagged = rows.withColumn("split", side).withColumn("fold_run", F.lit(i))
         parts.append(score(m, tagged, sub_cols))
     out = parts[0]
     for p in parts[1:]:

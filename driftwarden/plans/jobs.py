@@ -216,7 +216,10 @@ def train_job(
     if choice.get("leakage_guard"):
         entity = next(c for c in spec.id_features if c != spec.period)
         sides = [cut.where(F.col("split") == s) for s in ("train", "validation")]
-        train, valid = leakage_guard(*sides, key, entity, [spec.period])
+        # The hash of all other columns decides between rows of the same period.
+        tie = F.xxhash64(*[F.col(c) for c in cut.columns])
+        train, valid = leakage_guard(*[s.withColumn("__tie", tie) for s in sides], key, entity, [spec.period, "__tie"])
+        train, valid = train.drop("__tie"), valid.drop("__tie")
         cut = train.unionByName(valid)
     rows = written(cut, "training-rows")
 
@@ -244,10 +247,11 @@ def train_job(
             )
             return [model], scored
         method = choice.get("method", "stratified")
-        folded = written(fold_column(coded, spec, method, key, n_folds, "own_fold").where("own_fold >= 0"), "folds")
+        folded = written(fold_column(coded, spec, method, key, n_folds, "own_fold"), "folds")
         n = n_folds if method != "group" else folded.select("own_fold").distinct().count()
-        models = T.cross_validate(folded, features, spec.name_target, spec.n_classes, "own_fold", n, params)
-        return models, T.score_folds(models, folded, "own_fold", spec.sub_cols)
+        ordered = method == "timeseries"
+        models = T.cross_validate(folded, features, spec.name_target, spec.n_classes, "own_fold", n, params, ordered)
+        return models, T.score_folds(models, folded, "own_fold", spec.sub_cols, ordered)
 
     fitted, coded = preprocessed(spec.cat_features, spec.cont_features)
     if "feature_selection" in steps:
@@ -314,13 +318,13 @@ def governance_run(
     scored = written(build_scored(restored(sides[0]), restored(sides[1]), spec), "scored")
     values = M.segment_values(scored.where("set_analysis = 'predict'"), spec)
     spec = spec.with_(segment_values=tuple(values))
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in spec.id_features])
+    # Named fields: NULL ids and ids that hold a separator stay apart.
+    key = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in spec.id_features]), {"ignoreNullFields": "false"})
     coded = sides[1].withColumn(row_id, key)
     if spec.segment in spec.features:
         coded = coded.withColumn(spec.segment, F.col(f"__raw_{spec.segment}"))
-    shap_rows = coded.where(F.col(spec.segment).isin(*values))
     numeric = [f for f in features if f != spec.segment]
-    shap = written(T.tree_shap(model, shap_rows, row_id, features, spec.sub_cols, [spec.segment]), "shap")
+    shap = written(T.tree_shap(model, coded, row_id, features, spec.sub_cols, [spec.segment]), "shap")
     importance = T.gain_importance(model, spark, features)
     marts = governance_marts(scored, spec, shap, importance, numeric, row_id, costs, coded)
     if source == "training":
