@@ -5,8 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from driftwarden.llm.common import read
+from driftwarden.llm.decontamination import contaminated
+from driftwarden.llm.licenses import COMMON, TEMPLATES, THRESHOLD, TOKEN, license_files
+from driftwarden.llm.lines import repeated_lines
+from driftwarden.llm.mixing import mixed
+from driftwarden.llm.near import near_documents
+from driftwarden.llm.personal import personal_data
+from driftwarden.llm.quality import quality_documents
+from driftwarden.llm.sharding import shard_documents
+from driftwarden.llm.toxicity import toxic_documents
+from driftwarden.llm.vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,22 +37,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 @query("op5_sharding")
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from driftwarden.llm.sharding import shard_documents
-
     return shard_documents(read(spark, sf_dir, "documents"), 40)
 
 
 @query("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from driftwarden.llm.quality import quality_documents
-
     return quality_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from driftwarden.llm.toxicity import toxic_documents
-
     return toxic_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
@@ -75,48 +80,88 @@ SELECT doc_id, size, source_size, target,
 
 @query("op8_mixing", MIX_SQL.replace("{docs}", "documents"))
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from driftwarden.llm.mixing import mixed
-
     out = mixed(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 @query("op10_decontamination")
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from driftwarden.llm.decontamination import contaminated
-
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 @query("op9_jaccard_join")
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from driftwarden.llm.near import near_documents
-
     return near_documents(read(spark, sf_dir, "documents")).drop("raw")
 
 
 @query("op1_personal_data")
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from driftwarden.llm.personal import personal_data
-
     return personal_data(read(spark, sf_dir, "documents"))
 
 
 @query("op3_vectors")
 def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from driftwarden.llm.vectors import near_vectors
-
     return near_vectors(read(spark, sf_dir, "embeddings"))
 
 
-@query("op4_licenses")
+_VALUES = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(TEMPLATES))
+_COMMON = ", ".join(f"'{w}'" for w in COMMON)
+LICENSE_SQL = rf"""WITH files AS (
+  SELECT doc_id, coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/' || CAST(doc_id // 1000 AS VARCHAR)
+         || '/' || CAST(doc_id AS VARCHAR) AS path,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x) <> '') AS held FROM documents),
+lines AS (
+  SELECT doc_id, len(held) AS n_lines, generate_subscripts(held, 1) AS line,
+         regexp_extract_all(lower(unnest(held)), '{TOKEN}') AS tokens FROM files),
+words AS (SELECT DISTINCT doc_id, unnest(tokens) AS token FROM lines),
+template AS (SELECT * FROM (VALUES {_VALUES}) t(template, license, text)),
+template_words AS (
+  SELECT template, license, token, count(*) AS tf
+  FROM (SELECT template, license, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS token FROM template) GROUP BY ALL),
+vocabulary AS (SELECT DISTINCT token FROM template_words),
+total AS (SELECT count(*) AS n FROM files),
+counted AS (SELECT token, count(*) AS df FROM words JOIN vocabulary USING (token) GROUP BY token),
+idf AS (
+  SELECT v.token, ln((SELECT n + 1 FROM total)::DOUBLE / (coalesce(df, 0) + 1)) + 1 AS idf
+  FROM vocabulary v LEFT JOIN counted c ON v.token = c.token),
+raw AS (SELECT template, license, token, tf * idf AS w FROM template_words JOIN idf USING (token)),
+weights AS (SELECT template, license, token, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS w FROM raw),
+anchors AS (SELECT list(token) AS held FROM vocabulary WHERE regexp_matches(token, '^[a-z]+$') AND token NOT IN ({_COMMON})),
+units AS (SELECT * FROM lines WHERE list_has_any(tokens, (SELECT held FROM anchors))),
+terms AS (
+  SELECT doc_id, line, n_lines, token, count(*) AS tf
+  FROM (SELECT doc_id, line, n_lines, unnest(tokens) AS token FROM units) GROUP BY ALL),
+weighted AS (
+  SELECT doc_id, line, n_lines, t.token, tf * coalesce(idf, ln((SELECT n + 1 FROM total)::DOUBLE) + 1) AS x
+  FROM terms t LEFT JOIN idf i ON t.token = i.token),
+norms AS (SELECT doc_id, line, sqrt(sum(x * x)) AS norm FROM weighted GROUP BY ALL),
+dots AS (
+  SELECT doc_id, line, n_lines, template, license, sum(x * w) AS dot FROM weighted JOIN weights USING (token) GROUP BY ALL),
+scored AS (SELECT d.*, round(dot / norm, 6) AS score FROM dots d JOIN norms n ON d.doc_id = n.doc_id AND d.line = n.line),
+notices AS (
+  SELECT * FROM scored WHERE score >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY score DESC, template) = 1),
+own AS (
+  SELECT doc_id, license, score, bool_or(line = n_lines) OVER (PARTITION BY doc_id) AS closes FROM notices
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line) = 1),
+known AS (
+  SELECT f.doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir, license, score, closes
+  FROM files f LEFT JOIN own o ON f.doc_id = o.doc_id),
+votes AS (SELECT dir, license, count(*) AS n, max(score) AS score FROM known WHERE closes GROUP BY ALL),
+speaking AS (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY dir ORDER BY n DESC, license) = 1),
+nearest AS (
+  SELECT k.dir, s.dir AS ancestor, s.license, s.score
+  FROM (SELECT DISTINCT dir FROM known WHERE license IS NULL) k JOIN speaking s
+    ON k.dir = s.dir OR s.dir = '' OR starts_with(k.dir, s.dir || '/')
+  QUALIFY row_number() OVER (PARTITION BY k.dir ORDER BY len(s.dir) DESC) = 1)
+SELECT doc_id, path, coalesce(k.license, n.license) AS license, coalesce(k.score, n.score) AS score,
+       CASE WHEN k.license IS NOT NULL THEN 'own' WHEN n.license IS NOT NULL THEN 'inherited' END AS origin,
+       CASE WHEN k.license IS NULL THEN n.ancestor END AS directory
+FROM known k LEFT JOIN nearest n ON k.dir = n.dir"""
+
+
+@query("op4_licenses", LICENSE_SQL)
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from driftwarden.llm.licenses import license_files
-
     # Documents carry no path: source, language and blocks of ids stand for the folders of a tree.
     folder = [F.col("source"), F.col("lang"), F.floor(F.col("doc_id") / 1000).cast("string")]
     path = F.concat_ws("/", *[F.coalesce(c, F.lit("none")) for c in folder], F.col("doc_id").cast("string"))
@@ -125,6 +170,4 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_line_dedup")
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from driftwarden.llm.lines import repeated_lines
-
     return repeated_lines(read(spark, sf_dir, "documents"))
