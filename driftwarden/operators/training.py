@@ -190,8 +190,13 @@ def tune(
     params: Mapping | None = None,
     previous: Study | None = None,
     parallelism: int = 2,
+    validation: str | None = None,
 ) -> tuple[PipelineModel, Study]:
-    """Random search for the lowest validation log-loss; the best point of an earlier study goes first."""
+    """Random search for the lowest validation log-loss; the best point of an earlier study goes first.
+
+    ``validation`` names a boolean column whose rows are judged on and never
+    trained on; without it the rows are split at random.
+    """
     settings = DEFAULTS | dict(params or {})
     points = random_points(kind, n_trials - (previous is not None), settings["seed"])
     if previous is not None:
@@ -201,10 +206,16 @@ def tune(
     )
     classifier = estimator.getStages()[-1]
     grid = [{classifier.getParam(n): v for n, v in point.items()} for point in points]
+    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss")
+    if validation is not None:
+        train, judged = df.where(~F.col(validation)), df.where(F.col(validation))
+        fits = [estimator.fit(train, setting) for setting in grid]
+        losses = [float(judge.evaluate(m.transform(judged))) for m in fits]
+        return fits[int(np.argmin(losses))], Study(points, losses)
     search = TrainValidationSplit(
         estimator=estimator,
         estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss"),
+        evaluator=judge,
         trainRatio=1 - settings["test_size"],
         parallelism=parallelism,
         seed=settings["seed"],
@@ -212,6 +223,27 @@ def tune(
     return search.bestModel, Study(points, [float(v) for v in search.validationMetrics])
 
 
+def tune_text(
+    df: DataFrame,
+    text: str,
+    label: str,
+    validation: str,
+    n_trials: int = 5,
+    seed: int = DEFAULTS["seed"],
+    previous: Study | None = None,
+    **settings,
+) -> tuple[PipelineModel, Study]:
+    """The text model's search: the penalty of its regression, judged by log-loss on the ``validation`` rows."""
+    points = random_points("RL", n_trials - (previous is not None), seed)
+    if previous is not None:
+        points.insert(0, previous.best)
+    train, judged = df.where(~F.col(validation)), df.where(F.col(validation))
+    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss")
+    fits = [train_text(train, text, label, c=point["C"], **settings) for point in points]
+    losses = [float(judge.evaluate(m.transform(judged))) for m in fits]
+    return fits[int(np.argmin(losses))], Study(points, losses)
+
+
 def trials_table(spark: SparkSession, study: Study | None) -> DataFrame:
     """Trials and their numeric parameters, long; one line of NULLs without a study."""
     schema = "trial int, state_trial string, value_trial double, parameter string, value double"

@@ -202,7 +202,7 @@ def train_job(
 
     ``steps`` may hold ``preprocess`` (steps_cat, steps_cont, constants),
     ``split`` (method, leakage_guard), ``feature_selection`` (mode, threshold),
-    ``tuning`` (n_trials) and ``training`` (n_folds). The prepared rows are
+    ``tuning`` (n_trials, kind) and ``training`` (n_folds). The prepared rows are
     written once, since every fit reads them many times. ``keep`` chooses the
     model of the first fold or the ``best`` one.
     """
@@ -270,8 +270,16 @@ def train_job(
 
     study = None
     if "tuning" in steps:
+        wanted = steps["tuning"]
         _, study = T.tune(
-            coded, features, spec.name_target, spec.n_classes, "XGB", steps["tuning"]["n_trials"], params | {"test_size": settings["test_size"]}
+            coded,
+            features,
+            spec.name_target,
+            spec.n_classes,
+            wanted.get("kind", "XGB"),
+            wanted["n_trials"],
+            params,
+            validation="validation",
         )
         best = dict(study.best)
         params = params | {"max_depth": best.pop("maxDepth", params["max_depth"])} | best

@@ -86,6 +86,27 @@ def test_text_model_learns(spark):
     assert scored.where("y = 1").agg(F.min("p1")).first()[0] > 0.5
 
 
+def test_tuning_judges_on_the_named_rows(spark, rows):
+    marked = rows.withColumn("held", F.col("id") % 4 == 0)
+    model, study = T.tune(marked, FEATURES, "y", 2, "XGB", 2, {"n_estimators": 2}, validation="held")
+    assert len(study.values) == 2 and all(v > 0 for v in study.values) and isinstance(model, PipelineModel)
+    text = spark.createDataFrame(
+        [("muy buena atencion", 1, i % 5 == 0) for i in range(20)] + [("pesimo servicio", 0, i % 5 == 0) for i in range(20)],
+        "t string, y int, held boolean",
+    )
+    _, study = T.tune_text(text, "t", "y", "held", n_trials=2, max_iter=5)
+    assert [set(p) for p in study.points] == [{"C"}, {"C"}]
+
+
+def test_ordered_folds_train_on_earlier_rows_only(spark, rows):
+    folded = rows.withColumn("fold_of", (F.col("id") % 4 - 1).cast("int"))
+    models = T.cross_validate(folded, FEATURES, "y", 2, "fold_of", 3, {"n_estimators": 2}, ordered=True)
+    scored = T.score_folds(models, folded, "fold_of", ["q0", "q1"], ordered=True)
+    sizes = {r["fold"]: r["n"] for r in scored.where("split = 'training'").groupBy("fold").agg(F.count("id").alias("n")).collect()}
+    per = {r["fold_of"]: r["count"] for r in folded.groupBy("fold_of").count().collect()}
+    assert sizes == {i: sum(n for f, n in per.items() if f < i) for i in range(3)}
+
+
 def test_train_and_reload(spark, rows, tmp_path):
     from driftwarden.sources.models import load_models, model_path
 
