@@ -125,10 +125,10 @@ def run_json(spark, sf_dir) -> str:
         return F.struct(F.array(F.struct(F.lit(f"system.{kind}").alias("schemaTitle"), uri.alias("uri"))).alias("artifacts"))
 
     outputs = F.create_map(
-        F.lit("data"), output("Dataset", F.concat(F.lit("gs/data/df_"), key)),
-        F.lit("report"), output("Artifact", F.concat(F.lit("gs/report/"), key)),
+        F.lit("data"), output("Dataset", F.concat(F.lit("data/df_"), key)),
+        F.lit("report"), output("Artifact", F.concat(F.lit("report/"), key)),
     )
-    model = F.concat(F.lit("gs/a/MODELS/v/table_"), F.col("c_nationkey").cast("string"))
+    model = F.concat(F.lit("store/a/MODELS/v/table_"), F.col("c_nationkey").cast("string"))
     task = F.struct(
         outputs.alias("outputs"),
         F.struct(F.create_map(F.lit(runs.MODEL_KEY), model).alias("metadata")).alias("execution"),
@@ -145,7 +145,7 @@ def run_json(spark, sf_dir) -> str:
         time.alias("startTime"),
         F.when(~failed, time).alias("endTime"),
         time.alias("updateTime"),
-        F.concat(F.lit("gs/a/MODELS/v/label_"), F.col("c_nationkey").cast("string")).alias("target"),
+        registration(F.concat(F.lit("store/a/MODELS/v/label_"), F.col("c_nationkey").cast("string"))).alias("pipelineSpec"),
         F.struct(F.when(failed, F.array(bare)).otherwise(F.array(task, bare)).alias("taskDetails")).alias("jobDetail"),
     )
     path = scratch_path(spark, "runs")
@@ -153,6 +153,15 @@ def run_json(spark, sf_dir) -> str:
     return path
 
 
+def registration(target):
+    """A pipeline specification whose registering task was given ``target``."""
+    value = target
+    for name in ("stringValue", "constantValue", "runtimeValue", "target", "parameters", "inputs"):
+        value = F.struct(value.alias(name))
+    tasks = F.struct(F.create_map(F.lit(runs.REGISTER_TASK), value).alias("tasks"))
+    return F.struct(F.create_map(F.lit(runs.REGISTER_STEP), F.struct(tasks.alias("dag"))).alias("components"))
+
+
 def outputs_type() -> str:
     return "map<string, struct<artifacts: array<struct<schemaTitle: string, uri: string>>>>"
 
@@ -160,7 +169,7 @@ def outputs_type() -> str:
 META = f"""WITH meta AS (SELECT {RUN_ID} AS id_pipeline, c_nationkey, o_orderkey,
   CASE o_orderstatus WHEN 'P' THEN 'PIPELINE_STATE_FAILED' ELSE 'PIPELINE_STATE_SUCCEEDED' END AS state_pipeline,
   date_trunc('second', o_orderdate) AS t, o_orderstatus <> 'P' AS fine,
-  'gs/a/MODELS/v/table_' || c_nationkey AS model, 'gs/a/MODELS/v/label_' || c_nationkey AS label
+  'store/a/MODELS/v/table_' || c_nationkey AS model, 'store/a/MODELS/v/label_' || c_nationkey AS label
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 
@@ -168,8 +177,8 @@ META = f"""WITH meta AS (SELECT {RUN_ID} AS id_pipeline, c_nationkey, o_orderkey
     "read_run_metadata",
     f"""{META} SELECT id_pipeline, state_pipeline, label AS name_target, t AS "createTime", t AS "startTime",
     CASE WHEN fine THEN t END AS "endTime", t AS "updateTime", CASE WHEN fine THEN 2 ELSE 1 END AS n_nodes,
-    CASE WHEN fine THEN 'gs/data/df_' || o_orderkey ELSE '' END AS paths_parquets,
-    CASE WHEN fine THEN 'gs/report/' || o_orderkey ELSE '' END AS paths_artifacts,
+    CASE WHEN fine THEN 'data/df_' || o_orderkey ELSE '' END AS paths_parquets,
+    CASE WHEN fine THEN 'report/' || o_orderkey ELSE '' END AS paths_artifacts,
     CASE WHEN fine THEN model ELSE '' END AS paths_models FROM meta""",
 )
 def _metadata(spark, sf_dir):
@@ -205,8 +214,8 @@ def _filter_runs(spark, sf_dir):
     trained AS (SELECT name_subproject, max(t) AS last_training FROM usable WHERE source = 'training' GROUP BY 1),
     newest AS (SELECT name_subproject, arg_max(o_orderkey, (t, id_pipeline)) AS o FROM usable GROUP BY 1)
     SELECT id_pipeline, u.name_subproject, version, name_pipeline, source, state_pipeline, t AS "createTime",
-    'gs/data/df_' || o_orderkey AS paths_parquets, model AS paths_models,
-    'table_' || split_part(u.name_subproject, '-', 2) AS tables_train, last_training, 'gs/data/df_' || o AS paths_parquets_train,
+    'data/df_' || o_orderkey AS paths_parquets, model AS paths_models,
+    'table_' || split_part(u.name_subproject, '-', 2) AS tables_train, last_training, 'data/df_' || o AS paths_parquets_train,
     strftime(t, '%Y-%m-%d') AS period_of_training, 'NO' AS "EXECUTE_PREVIOUSLY"
     FROM usable u LEFT JOIN trained USING (name_subproject) JOIN newest USING (name_subproject)""",
 )

@@ -10,13 +10,15 @@ from driftwarden.operators.profile import latest_training
 from driftwarden.operators.windows import keep_last
 
 RUN_SCHEMA = """displayName string, state string, createTime string, startTime string, endTime string, updateTime string,
-  target string, jobDetail struct<taskDetails: array<struct<
+  pipelineSpec struct<components: map<string, struct<dag: struct<tasks: map<string, struct<inputs: struct<parameters: struct<
+    target: struct<runtimeValue: struct<constantValue: struct<stringValue: string>>>>>>>>>>>, jobDetail struct<taskDetails: array<struct<
     outputs: map<string, struct<artifacts: array<struct<schemaTitle: string, uri: string>>>>,
     execution: struct<metadata: map<string, string>>>>>"""
 
 # How runs and model folders are named.
 SUCCEEDED = "PIPELINE_STATE_SUCCEEDED"
 MODEL_KEY = "output:Output"
+REGISTER_STEP, REGISTER_TASK = "comp-condition-register-outputs-1", "register-model"
 MODEL_FOLDER = "MODELS"
 RUN_KINDS = ("prediction-", "training-")
 RUN_DEPTH = 7
@@ -39,11 +41,12 @@ def _artifact_paths(kind: str) -> Column:
 def read_run_metadata(spark: SparkSession, path: str) -> DataFrame:
     """One row per run: state, times, number of nodes, and the paths it produced."""
     runs = spark.read.schema(RUN_SCHEMA).json(path)
+    registered = F.col("pipelineSpec.components")[REGISTER_STEP]["dag"]["tasks"][REGISTER_TASK]
     models = F.transform("jobDetail.taskDetails", lambda t: t["execution"]["metadata"][MODEL_KEY])
     return runs.select(
         F.col("displayName").alias("id_pipeline"),
         F.col("state").alias("state_pipeline"),
-        F.col("target").alias("name_target"),
+        registered["inputs"]["parameters"]["target"]["runtimeValue"]["constantValue"]["stringValue"].alias("name_target"),
         *[F.col(c).try_cast("timestamp_ntz").alias(c) for c in ("createTime", "startTime", "endTime", "updateTime")],
         F.size("jobDetail.taskDetails").alias("n_nodes"),
         _artifact_paths("Dataset").alias("paths_parquets"),
