@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwarden.llm.common import WORD, columns_of, unit_hash
+from driftwarden.llm.common import WORD, columns_of, unit_hash, written
 
 #: Weights of the sources in code-point order, repeating; share of all words to take; most repetitions of a source.
 WEIGHTS, BUDGET, MOST = (5, 2, 1), 1.5, 2.0
 SEED = "mix"
+#: Sources up to which the table of targets is broadcast, so that no document moves; beyond it rows meet it by shuffle.
+MOST_BROADCAST = 100_000
 
 
 def source_targets(
@@ -67,7 +69,7 @@ def mixed(
     own and comes last; rows that repeat an id share its hash and get the same
     number of copies; a source without words, like an empty table, has target
     0. Only sums per source are shuffled; the table of targets has one row per
-    source and is left to Spark's own size check.
+    source and is broadcast after its rows are counted, up to MOST_BROADCAST.
     """
     rows = columns_of(docs, doc_id=key, text=text, source=source).withColumn(
         "size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -77,7 +79,9 @@ def mixed(
 
 def _with_copies(rows: DataFrame, weights: Sequence[int], budget: float, most: float, seed: str) -> DataFrame:
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, most)
-    targets = targets.withColumnRenamed("source", "of_source")
+    targets = written(targets.withColumnRenamed("source", "of_source"), "mix-targets")
+    if targets.count() <= MOST_BROADCAST:
+        targets = F.broadcast(targets)
     rate = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0))
     whole = F.floor(rate)
     copies = whole + F.when(unit_hash(F.col("doc_id"), seed) < rate - whole, 1).otherwise(0)
@@ -92,7 +96,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """The mix itself: every row of ``docs``, as often as it is taken, with all its columns.
 
     The rates are joined to the rows by source; copies are made by repeating
-    the row where it stands.
+    the row where it stands, so no document is moved.
     """
     weights, budget, most, seed = (
         settings.get(k, d) for k, d in (("weights", WEIGHTS), ("budget", BUDGET), ("most", MOST), ("seed", SEED))
