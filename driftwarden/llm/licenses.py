@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import re
+from collections import Counter
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,53 +52,127 @@ def _template_rows(spark: SparkSession, templates: Sequence[tuple[str, str]]) ->
 
 
 def _vocabulary(templates: Sequence[tuple[str, str]]) -> list[str]:
-    import re
-
     return sorted({w for _, t in templates for w in re.findall(TOKEN, t.lower())})
 
 
+def _reach(
+    templates: Sequence[tuple[str, str]], idf: dict[str, float], threshold: float
+) -> Callable[[Column], Column]:
+    """Whether a unit's cosine to some template can come up to ``threshold`` at all.
+
+    The dot products are exact; the unit's length is taken from below, with
+    weight one for every word of no template, which is the least there is.
+    """
+    held: dict[str, list[float]] = {w: [0.0] * len(templates) + [x * x - 1] for w, x in idf.items()}
+    for i, (_, text) in enumerate(templates):
+        counts = Counter(re.findall(TOKEN, text.lower()))
+        norm = math.sqrt(sum((n * idf[w]) ** 2 for w, n in counts.items()))
+        for w, n in counts.items():
+            held[w][i] = idf[w] * n * idf[w] / norm
+    shares = F.create_map(*[c for w, x in held.items() for c in (F.lit(w), F.array(*[F.lit(float(v)) for v in x]))])
+    zero = F.array(*[F.lit(0.0)] * (len(templates) + 1))
+
+    def reach(tokens: Column) -> Column:
+        sums = F.aggregate(
+            F.filter(tokens, lambda x: x.isin(list(held))),
+            zero,
+            lambda acc, x: F.zip_with(acc, F.element_at(shares, x), lambda p, q: p + q),
+            lambda acc: F.struct(
+                F.array_max(F.slice(acc, 1, len(templates))).alias("dot"), F.element_at(acc, -1).alias("more")
+            ),
+        )
+        return sums["dot"] >= F.lit(threshold - 1e-6) * F.sqrt(F.size(tokens) + sums["more"])
+
+    return reach
+
+
+def _units(files: DataFrame, anchors: Sequence[str]) -> DataFrame:
+    """(file, last, start, line, kind, tokens): the lines (kind 0), blocks of lines (1) and whole texts (2) with an anchor."""
+    words = F.array(*[F.lit(w) for w in anchors])
+    cells = files.select(
+        "file",
+        F.transform(
+            F.split(F.coalesce("text", F.lit("")), "\n"),
+            lambda x: F.struct((F.trim(x) == "").alias("blank"), tokens(x).alias("tokens")),
+        ).alias("cells"),
+    )
+    anchored = F.transform("cells", lambda c: F.arrays_overlap(c["tokens"], words))
+    cells = cells.withColumn("hot", anchored).where(F.exists("hot", lambda x: x))
+    at = F.sequence(F.lit(1), F.size("cells"))
+
+    def full(i: Column) -> Column:
+        return ~F.coalesce(F.get("cells", i - 1)["blank"], F.lit(True))
+
+    edged = cells.withColumn("starts", F.filter(at, lambda i: full(i) & ~full(i - 1))).withColumn(
+        "ends", F.filter(at, lambda i: full(i) & ~full(i + 1))
+    )
+    lines = F.transform(
+        F.filter(at, lambda i: F.get("hot", i - 1)),
+        lambda i: F.struct(i.alias("start"), i.alias("line"), F.lit(0).alias("kind"), F.get("cells", i - 1)["tokens"].alias("tokens")),
+    )
+
+    def block(start: Column, end: Column, kind: int) -> Column:
+        held = F.transform(F.slice("cells", start, end - start + 1), lambda c: c["tokens"])
+        line = F.array_max(F.filter(F.sequence(start, end), lambda i: F.get("hot", i - 1)))
+        return F.struct(start.alias("start"), line.alias("line"), F.lit(kind).alias("kind"), F.flatten(held).alias("tokens"))
+
+    edges = F.filter(F.arrays_zip("starts", "ends"), lambda e: e["ends"] > e["starts"])
+    blocks = F.transform(edges, lambda e: block(e["starts"], e["ends"], 1))
+    whole = F.filter(F.array(block(F.lit(1), F.size("cells"), 2)), lambda u: F.size("starts") > 1)
+    units = edged.select(
+        "file", F.element_at("ends", -1).alias("last"), F.explode(F.concat(lines, blocks, whole)).alias("u")
+    )
+    return units.select("file", "last", "u.*").where("line IS NOT NULL")
+
+
 def notices(
     files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD
 ) -> tuple[DataFrame, DataFrame]:
     """(file, path) of all files, and (file, line, lines, license, score) of their notices.
 
-    ``files`` (file, path, text). Every line of a text is a unit. Its weights
-    are term counts times ln((files + 1) / (files with the term + 1)) + 1, with
-    the counts taken over all files; a term of no template counts as held by no
-    file, which only makes the unit's length larger. A unit is compared when it
-    holds a template's word that is not in COMMON. The texts are read once; of
-    them only template words and such lines go on. The template side has one
-    row per template word and is left to Spark's size check.
+    ``files`` (file, path, text). Every line of a text is a unit, so is every
+    run of lines that are not blank, and the whole text; these longer units count
+    where no unit within them does as well. Their line is the last one in them
+    that holds an anchor; ``lines`` is the last line that is not blank. A unit's weights are term counts times ln((files + 1) /
+    (files with the term + 1)) + 1, with the files counted for every term. A
+    unit is compared when it holds an anchor, a template's word that is not in
+    COMMON; those that cannot reach the threshold are dropped where they are
+    read. Texts are read three times: to count the files of template words, to
+    find the units, and to count the files of the other words of these units.
+    The template side has one row per template word and is left to Spark's size
+    check, as is the list of the units' words.
     """
     spark = files.sparkSession
     vocabulary = _vocabulary(templates)
     anchors = [w for w in vocabulary if w.isalpha() and w not in COMMON]
-    lines = files.withColumn("lines", F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x) != ""))
-    tokened = lines.withColumn("tokens", F.transform("lines", tokens))
-    anchored = F.filter(
-        F.transform("tokens", lambda t, i: F.struct((i + 1).alias("line"), t.alias("tokens"))),
-        lambda u: F.arrays_overlap(u["tokens"], F.array(*[F.lit(w) for w in anchors])),
-    )
-    table = written(
-        tokened.select(
-            "file",
-            "path",
-            F.size("lines").alias("lines"),
-            F.array_intersect(F.flatten("tokens"), F.array(*[F.lit(w) for w in vocabulary])).alias("held"),
-            anchored.alias("units"),
-        ),
-        "license-units",
+    words = tokens(F.coalesce("text", F.lit("")))
+    known = F.array(*[F.lit(w) for w in vocabulary])
+    held = files.select(F.explode(F.array_intersect(words, known)).alias("token")).groupBy("token").count()
+    n_files = files.count()
+    df = {r["token"]: r["count"] for r in held.collect()}  # one per template word
+    ready = {w: math.log((n_files + 1) / (df.get(w, 0) + 1)) + 1 for w in vocabulary}
+    reach = _reach(templates, ready, threshold)
+    units = written(_units(files, anchors).where(reach(F.col("tokens"))), "license-units")
+    terms = (
+        units.select("file", "start", "line", "kind", "last", F.explode("tokens").alias("token"))
+        .groupBy("file", "start", "line", "kind", "last", "token")
+        .agg(F.count(F.lit(1)).alias("tf"))
     )
-    held = table.select(F.explode("held").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    total = F.lit(table.count())
     base = _template_rows(spark, templates)
-    idf = (
-        base.select("token")
-        .distinct()
-        .join(held, "token", "left")
-        .select("token", (F.log((total + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf"))
+    met = written(terms.select("token").unionByName(base.select("token")).distinct(), "license-words")
+    counted = (
+        files.select(F.explode(F.array_distinct(words)).alias("token"))
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("df"))
+        .join(met, "token", "left_semi")
+    )
+    total = F.lit(n_files)
+    idf = written(
+        met.join(counted, "token", "left").select(
+            "token", (F.log((total + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf")
+        ),
+        "license-idf",
     )
-    idf = written(idf, "license-idf")
     weights = (
         base.groupBy("template", "license", "token")
         .agg(F.count(F.lit(1)).alias("tf"))
@@ -104,32 +181,30 @@ def notices(
         .withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("template"))))
         .select("template", "license", "token", (F.col("w") / F.col("norm")).alias("w"))
     )
-    units = table.select("file", "lines", F.explode("units").alias("u")).select("file", "lines", "u.*")
-    terms = (
-        units.select("file", "line", "lines", F.explode("tokens").alias("token"))
-        .groupBy("file", "line", "lines", "token")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    rare = F.log(total + 1) + 1
-    weighted = (
-        terms.join(idf, "token", "left")
-        .select("file", "line", "lines", "token", (F.col("tf") * F.coalesce("idf", rare)).alias("x"))
-    )
-    norms = weighted.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    unit = ["file", "start", "line", "kind"]
+    weighted = terms.join(idf, "token").select(*unit, "last", "token", (F.col("tf") * F.col("idf")).alias("x"))
+    norms = weighted.groupBy(*unit).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     dots = (
         weighted.join(weights, "token")
-        .groupBy("file", "line", "lines", "template", "license")
+        .groupBy(*unit, "last", "template", "license")
         .agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
     )
-    scored = dots.join(norms, ["file", "line"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
-    best = Window.partitionBy("file", "line").orderBy(F.desc("score"), "template")
+    scored = dots.join(norms, unit).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
+    best = Window.partitionBy(*unit).orderBy(F.desc("score"), "template")
+    passed = written(
+        scored.where(F.col("score") >= threshold).withColumn("n", F.row_number().over(best)).where("n = 1"), "license-passed"
+    )
+    inner = passed.select("file", F.col("line").alias("at"), F.col("kind").alias("part"), F.col("score").alias("least"))
+    within = (F.col("part") < F.col("kind")) & F.col("at").between(F.col("start"), F.col("line"))
+    longer = passed.where("kind > 0").join(
+        inner.withColumnRenamed("file", "of"), (F.col("file") == F.col("of")) & within & (F.col("least") >= F.col("score")), "left_anti"
+    )
     found = (
-        scored.where(F.col("score") >= threshold)
-        .withColumn("n", F.row_number().over(best))
-        .where("n = 1")
-        .select("file", "line", "lines", "license", "score")
+        passed.where("kind = 0")
+        .unionByName(longer)
+        .select("file", "line", F.col("last").alias("lines"), "license", "score")
     )
-    return table.select("file", "path"), found
+    return files.select("file", "path"), found
 
 
 def license_files(
@@ -141,7 +216,7 @@ def license_files(
     NULL), directory (that of the files it is inherited from). A file's own
     licence is that of its best notice, the first of equals. A file speaks for
     its directory when its name says so (SPEAKS) or, with ``closing``, when a
-    notice is its last line; the directory's licence is the one most of these
+    notice ends on its last line; the directory's licence is the one most of these
     files hold, the first by name of equals. A file without a notice inherits
     from its own directory or the nearest one above that has a licence. NULL
     and empty texts hold no notice; a NULL path has no directory; rows that

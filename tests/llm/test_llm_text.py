@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -164,6 +165,22 @@ def test_cosine_against_plain_count(spark):
     assert {r["doc_id"] for r in found.collect()} == wanted
 
 
+def test_ordinary_words_weigh_what_they_weigh_in_the_files(spark):
+    mit = "Released under the MIT License."
+    wrapped = "Permission is hereby granted, free of charge,\nto any person obtaining\na copy of this software"
+    files = [f"Copyright 2021 Jane Doe\nrow {i}" for i in range(3000)]
+    files += [f"Copyright 2021 Jane Doe {mit}", f"code\n\n{wrapped}\n\nmore", "Released under seal by zorn yelk quib wump"]
+    frame = spark.createDataFrame([(i, f"d{i}/x", t) for i, t in enumerate(files)], "doc_id long, path string, text string")
+    found = licenses.license_files(frame).where("origin = 'own'").collect()
+    counts = Counter(w for t in files for w in set(re.findall(licenses.TOKEN, t.lower())))
+    line, plain = (Counter(re.findall(licenses.TOKEN, t.lower())) for t in (files[3000], mit))
+    idf = {w: np.log((len(files) + 1) / (counts[w] + 1)) + 1 for w in line}
+    dot = sum(line[w] * plain[w] * idf[w] ** 2 for w in line)
+    norm = np.sqrt(sum((line[w] * idf[w]) ** 2 for w in line) * sum((plain[w] * idf[w]) ** 2 for w in plain))
+    assert {r["doc_id"] for r in found} == {3000, 3001}
+    assert {r["doc_id"]: r["score"] for r in found}[3000] == pytest.approx(dot / norm, abs=1e-6)
+
+
 # Toxicity ----------------------------------------------------------------------------------------------------------
 
 
