@@ -145,6 +145,26 @@ def test_vectors_find_all_links(spark):
     assert vectors.near_vectors(frame.limit(0)).collect() == []
 
 
+def test_vectors_find_links_in_a_dense_group(spark):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal(64)
+    base /= np.linalg.norm(base)
+    dense = base + rng.standard_normal((3300, 64)) * 0.0417  # mutual cosine about 0.9 and below
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    partners = dense[:150] + rng.standard_normal((150, 64)) * 0.038
+    e = np.concatenate([dense, partners, rng.standard_normal((3000, 64))])
+    u = e / np.linalg.norm(e, axis=1, keepdims=True)
+    assert 0.6 < np.median(u[:3300] @ u[0]) < 0.92
+    pairs = [(int(a), int(b)) for a, b in np.argwhere(u @ u.T >= 0.95) if a < b]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(e)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in vectors.near_vectors(frame).collect()}
+    links, root = Counter(x for p in pairs for x in p), classes(len(e), pairs)
+    assert len(pairs) > 1000
+    assert all(got[i]["n_links"] <= links[i] for i in range(len(e)))
+    assert sum(links[i] - got[i]["n_links"] for i in range(len(e))) <= 0.001 * links.total()
+    assert sum(got[i]["component_id"] != root[i] for i in range(len(e))) <= 0.001 * len(e)
+
+
 def test_passes_follow_the_size():
     assert vectors.passes_for(10) == 1 < vectors.passes_for(10_000) < vectors.passes_for(10**9)
 
