@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwarden.llm.common import columns_of, written
 
-#: Rounds of propagation; buckets by which movers are admitted; salts of the join that brings votes to documents.
-ROUNDS, BUCKETS, SALTS = 4, 256, 8
+#: Buckets by which movers are admitted; salts of the join that brings votes to documents.
+BUCKETS, SALTS = 256, 8
 SEED = 17
 
 
-def propagate(nodes: DataFrame, links: DataFrame, quota: float, rounds: int = ROUNDS) -> DataFrame:
+def propagate(nodes: DataFrame, links: DataFrame, quota: float, rounds: int | None = None) -> DataFrame:
     """(node, shard) for the linked nodes after label propagation under quotas.
 
     ``nodes`` (node, shard) is the start, ``links`` (node, link) says which
@@ -20,8 +22,10 @@ def propagate(nodes: DataFrame, links: DataFrame, quota: float, rounds: int = RO
     admits. Nodes without a link take part in nothing: they give way when the
     shards are settled. Each round every link counts its members per shard
     and, being larger than one shard or not, names the shards it wants: the
-    fullest ones, as many as its size needs and one more. A node outside them asks to move
-    to the one that most of its links name. Shards admit movers up to their
+    fullest ones, exactly as many as its size needs. A node outside them asks to
+    move to the one that most of its links name. Rounds go on until no mover is
+    admitted (or for ``rounds``): where a node has one link, every move brings
+    it into a wanted shard, which then stays wanted, so that this ends. Shards admit movers up to their
     quota, in the order of a hash bucket, so only counts per (shard, bucket)
     are gathered. A link of very many nodes is at most one row per shard after
     the partial aggregation, and the votes go back to its nodes by a salted
@@ -31,14 +35,14 @@ def propagate(nodes: DataFrame, links: DataFrame, quota: float, rounds: int = RO
     nodes = nodes.join(linked.select("node").distinct(), "node")
     state = written(nodes, "labels")
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS))
-    for turn in range(rounds):
+    for turn in count() if rounds is None else range(rounds):
         members = linked.join(state, "node")
         counts = members.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n"))
         of_link = Window.partitionBy("link")
         ranked = (
             counts.withColumn("all", F.sum("n").over(of_link))
             .withColumn("place", F.row_number().over(of_link.orderBy(F.desc("n"), F.xxhash64("link", "shard"))))
-            .withColumn("want", F.when(F.col("all") * 2 <= quota, 1).otherwise(F.ceil(F.col("all") / F.lit(quota)) + 1))
+            .withColumn("want", F.ceil(F.col("all") / F.lit(quota)))
             .where("place <= want")
         )
         named = ranked.groupBy("link").agg(
@@ -76,18 +80,18 @@ def propagate(nodes: DataFrame, links: DataFrame, quota: float, rounds: int = RO
             .where(F.col("sum") <= F.coalesce("room", F.lit(quota)))
             .select("wish", "bucket")
         )
-        moves = movers.join(admitted, ["wish", "bucket"]).select("node", F.col("wish").alias("moved"))
+        moves = written(movers.join(admitted, ["wish", "bucket"]).select("node", F.col("wish").alias("moved")), "moves")
+        if moves.isEmpty():
+            break
         state = written(
             state.join(moves, "node", "left").select("node", F.coalesce("moved", "shard").cast("int").alias("shard")),
             "labels",
         )
-        if movers.isEmpty():
-            break
     return state
 
 
 def shard_documents(
-    docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS
+    docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", rounds: int | None = None
 ) -> DataFrame:
     """Deal documents into ``shards`` whose row counts differ by one at most, equal texts together.
 

@@ -235,6 +235,22 @@ def test_shards_are_even_and_keep_equal_texts(spark, odd, empty):
     assert sharding.shard_documents(empty, 4).collect() == []
 
 
+@pytest.mark.parametrize("share", [0.6, 1.5])
+def test_large_groups_take_no_more_shards_than_they_need(spark, share):
+    quota = 200
+    size = int(share * quota)
+    texts = ["hot"] * size + [f"pair {i // 2}" for i in range(300)] + [f"own {i}" for i in range(10 * quota - size - 300)]
+    rows = sharding.shard_documents(documents(spark, texts), 10).collect()
+    spread = Counter(r["shard"] for r in rows if texts[r["doc_id"]] == "hot")
+    needed = -(-size // quota)
+    assert sum(n for _, n in spread.most_common(needed)) >= 0.99 * size
+    whole = Counter()
+    for r in rows:
+        if texts[r["doc_id"]].startswith("pair"):
+            whole[texts[r["doc_id"]], r["shard"]] += 1
+    assert sum(n == 2 for n in whole.values()) >= 0.95 * 150
+
+
 # Pipeline ----------------------------------------------------------------------------------------------------------
 
 
