@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from driftwarden.llm.common import columns_of, components, written
 
-#: Edits that two lines may be apart, and characters from which a line is compared at all; shorter ones only as equals.
-EDITS, SHORTEST = 2, 24
+#: Edits that two lines may be apart, and characters from which a line is compared at all: a line needs a character for each
+#: of its edits + 1 segments. Shorter ones count only as equals.
+EDITS, SHORTEST = 2, 3
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ def line_links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -
     The distance is checked inside the join, so pairs that merely share a
     segment never leave it, and a key of very many lines is split by Spark.
     """
-    long = lines.where(F.length("line") >= shortest)
+    long = lines.where(F.length("line") >= max(shortest, edits + 1))
     cut = long.select("h1", segment_keys(F.col("line"), edits).alias("keys")).dropDuplicates(["h1"])
     entries = [at for at, (gap, _, shift) in enumerate(_cuts(edits)) if gap == shift == 0]
     keyed = cut.select("h1", F.posexplode("keys").alias("at", "key")).select(
@@ -128,7 +129,7 @@ def repeated_lines(
     an equal or a nearly equal line), removed (their places, counted from 0).
     Of every class of lines the first place stays, in the order of doc_id, row
     and place. Lines from ``shortest`` characters on are compared up to
-    ``edits`` edits, shorter ones only as equals; whole lines are compared,
+    ``edits`` edits, shorter ones and those no longer than the edits only as equals; whole lines are compared,
     whatever their length. NULL and empty texts have no lines; rows that repeat
     an id are documents of their own; an empty table gives no rows.
     """

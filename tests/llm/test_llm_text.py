@@ -121,6 +121,22 @@ def test_edit_join_is_complete(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_short_lines_are_compared(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdef") for _ in range(rng.randint(1, 12))) for _ in range(150)]
+    texts += ["m" * 23, "m" * 24, "Page 1 of 10", "Page 2 of 10", "Page 99 of 10"]
+    texts += [edited(rng, t, rng.randint(1, 2)) for t in texts[:100] if len(t) > 3]
+    texts = sorted({t for t in texts if t.strip()})
+    frame = spark.createDataFrame([(t,) for t in texts], "line string").select(
+        "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")
+    )
+    name = {r["h1"]: r["line"] for r in frame.collect()}
+    got = [frozenset((name[r["h1"]], name[r["g1"]])) for r in lines.line_links(frame).collect()]
+    long = [t for t in texts if len(t) > lines.EDITS]
+    want = {frozenset((a, b)) for i, a in enumerate(long) for b in long[:i] if distance(a, b) <= lines.EDITS}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_repeated_lines(spark):
     long = "a line that is long enough to be compared"
     texts = [f"{long}\nshort\nshort", f"{long}!\n\nshort", None, "", f"other\n{long[:-1]}"]
