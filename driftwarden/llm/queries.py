@@ -13,9 +13,11 @@ from driftwarden.llm.licenses import COMMON, TEMPLATES, THRESHOLD, TOKEN, licens
 from driftwarden.llm.lines import repeated_lines
 from driftwarden.llm.mixing import mixed
 from driftwarden.llm.near import near_documents
+from driftwarden.llm.periodic import periodic_runs, run_digests, with_planted_runs
 from driftwarden.llm.personal import personal_data
 from driftwarden.llm.quality import quality_documents
 from driftwarden.llm.sharding import shard_documents
+from driftwarden.llm.spelling import planted_words, spelling_variants
 from driftwarden.llm.toxicity import toxic_documents
 from driftwarden.llm.vectors import near_vectors
 
@@ -171,3 +173,13 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_line_dedup")
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines(read(spark, sf_dir, "documents"))
+
+
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(planted_words(read(spark, sf_dir, "documents")))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_planted_runs(read(spark, sf_dir, "documents"))))
