@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwarden.llm.common import read
+from driftwarden.llm.context_tree import scored_texts
 from driftwarden.llm.decontamination import contaminated
 from driftwarden.llm.licenses import COMMON, TEMPLATES, THRESHOLD, TOKEN, license_files
 from driftwarden.llm.lines import repeated_lines
@@ -175,6 +176,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines(read(spark, sf_dir, "documents"))
 
 
+@query("op11_context_tree")
+def op11_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_texts(read(spark, sf_dir, "documents"))
+
+
 @query("op12_spelling_variants")
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(planted_words(read(spark, sf_dir, "documents")))

@@ -255,9 +255,11 @@ def _half_pass(vocabulary: DataFrame, tasks: int, backwards: bool) -> DataFrame:
     """word, n_near, best_n, best for words with a near word that agrees on one half."""
     key = F.substring("word", 1, KEY) if backwards else F.expr(f"right(word, {KEY})")
     keyed = vocabulary.withColumn("key", key)
-    # A key has at most 3 letters: the counts are few, and Spark checks their size before it broadcasts them.
     sizes = keyed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    keyed = keyed.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
+    # At most one row for every BLOCK words of the vocabulary.
+    large = F.broadcast(sizes.where("blocks > 1"))
+    keyed = keyed.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    keyed = keyed.withColumn("own", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
     single = keyed.where("blocks = 1").select(
         F.concat(F.lit("#"), F.pmod(F.xxhash64("key"), F.lit(tasks)).cast("string")).alias("task"),
         "word",
