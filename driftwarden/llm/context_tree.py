@@ -15,13 +15,13 @@ context bytes, so that a part holds whole subtrees, and merged part by part over
 groups of blocks, round by round. Above the parts lie only the nodes of depth 0
 and 1, 65 280 at most. Each part then answers the lists of the blocks with the
 probability of every gram, and a block scores its own texts with the answers it
-got. Words are counted and answered in the same way, by exact value.
+got. Words are counted and answered in the
+same way, known by 64-bit hashes (n different words share one with odds of n * n in 2 ** 65).
 """
 
 from __future__ import annotations
 
 import sys
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwarden.llm.common import columns_of, written
+from driftwarden.llm.shingles import joined_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,7 +50,8 @@ ROW = 1 << 20
 #: Texts of every MODth id hash are held out.
 MOD, LEFT = 7, 2
 _END = 0xFF
-_SPACE = b" \t\n\x0b\x0c\r"
+#: Stands for the end of a text among the hashes of words.
+END_WORD = 0
 
 
 # Grams of texts ----------------------------------------------------------------------------------------------------
@@ -62,9 +64,9 @@ def lowered(text: bytes) -> bytes:
 
 @dataclass
 class Piece:
-    """Grams of stretches of texts, and which text each belongs to."""
+    """Keys of stretches of texts (grams or words), and which text each belongs to."""
 
-    grams: np.ndarray
+    keys: np.ndarray
     owner: np.ndarray
 
 
@@ -104,6 +106,31 @@ def _piece(held: list[bytes], owner: list[int]) -> Piece:
     return Piece(grams, np.repeat(np.asarray(owner), lengths - DEPTH))
 
 
+def word_pieces(texts: Iterable[tuple[int, bytes]]) -> Iterator[Piece]:
+    """Hashes of the words of numbered texts, and one END_WORD after each text."""
+    held: list[bytes] = []
+    owner: list[int] = []
+    counts: list[int] = []
+    size = 0
+
+    def made() -> Piece:
+        own = np.repeat(np.asarray(owner), counts)
+        hashes = joined_hashes(b" ".join(held)).view(np.int64) if held else np.zeros(0, np.int64)
+        return Piece(np.concatenate([hashes, np.full(len(owner), END_WORD)]), np.concatenate([own, np.asarray(owner)]))
+
+    for number, text in texts:
+        words = text.split()
+        held += words
+        owner.append(number)
+        counts.append(len(words))
+        size += len(text)
+        if size >= PIECE:
+            yield made()
+            held, owner, counts, size = [], [], [], 0
+    if owner:
+        yield made()
+
+
 def _counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in ascending order and the sum of their counts."""
     if counts is None:
@@ -156,9 +183,9 @@ def _unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(data, np.int64))
 
 
-def part_of(grams: np.ndarray, parts: int) -> np.ndarray:
-    """Part of each gram, by its two nearest context bytes."""
-    nearest = (grams >> (8 * (DEPTH + 1 - ABOVE))).astype(np.uint64)
+def part_of(kind: int, keys: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each key: a gram's by its two nearest context bytes, a word's by its hash."""
+    nearest = (keys >> (8 * (DEPTH + 1 - ABOVE)) if kind == GRAM else keys).astype(np.uint64)
     return ((nearest * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
 
 
@@ -277,95 +304,87 @@ class Top:
 
 # Spark -------------------------------------------------------------------------------------------------------------
 
-_LISTS = "block bigint, part bigint, grp bigint, keys binary, counts binary, word binary, n bigint"
+#: Kinds of lists: grams of bytes, words by 64-bit hash.
+GRAM, WORD_KEY = 0, 1
+_LISTS = "kind int, block bigint, part bigint, grp bigint, keys binary, vals binary"
 
 
 def _batch(names: str, *columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=names.split())
 
 
-def _list_rows(names: str, head: list[int], keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _list_rows(names: str, kind: int, head: list[int], keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of a list in pieces of ROW keys."""
     for a in range(0, len(keys), ROW):
         cut = slice(a, a + ROW)
         lists = [pa.array([_packed_keys(keys[cut])], pa.binary()), pa.array([_packed(values[cut])], pa.binary())]
-        yield _batch(names, *[pa.array([x], pa.int64()) for x in head], *lists)
+        yield _batch(names, pa.array([kind], pa.int32()), *[pa.array([x], pa.int64()) for x in head], *lists)
 
 
 def _block_lists(parts: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct grams and words of one block with their counts in its training texts."""
-    grams, words, block = _Tally(), Counter(), None
+    grams, words, block = _Tally(), _Tally(), None
     for batch in batches:
         if not batch.num_rows:
             continue
         block = batch.column("block")[0].as_py()
         texts = [lowered(t or b"") for t in batch.column("text").to_pylist()]
         train = np.asarray(batch.column("train").to_pylist(), bool)
-        for piece in pieces(enumerate(texts)):
-            learnt = train[piece.owner]
-            grams.add(*_counted(piece.grams[learnt]))
-            if not learnt.all():
-                asked = _counted(piece.grams[~learnt])[0]
-                grams.add(asked, np.zeros(len(asked), np.int64))
-        for text, learn in zip(texts, train.tolist(), strict=True):
-            if learn:
-                words.update(text.split())
-            else:
-                words.update(dict.fromkeys(text.split(), 0))
-    if block is None:
-        return
-    keys, counts = grams.settle()
-    part = part_of(keys, parts)
-    order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-
-    def filled(b: pa.RecordBatch) -> pa.RecordBatch:
-        empty = [pa.nulls(b.num_rows, t) for t in (pa.binary(), pa.int64())]
-        return _batch("block part grp keys counts word n", *b.columns, *empty)
-
-    for p in range(parts):
-        own = order[cuts[p] : cuts[p + 1]]
-        yield from map(filled, _list_rows("block part grp keys counts", [block, p, block // FAN], keys[own], counts[own]))
-    names = list(words)
-    for a in range(0, len(names), ROW // 8):
-        some = names[a : a + ROW // 8]
-        n = pa.array([words[w] for w in some], pa.int64())
-        columns = [pa.array([block] * len(some), pa.int64()), *(pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary()))]
-        yield _batch("block part grp keys counts word n", *columns, pa.array(some, pa.binary()), n)
+        for tally, cut in ((grams, pieces), (words, word_pieces)):
+            for piece in cut(enumerate(texts)):
+                learnt = train[piece.owner]
+                tally.add(*_counted(piece.keys[learnt]))
+                if not learnt.all():
+                    asked = _counted(piece.keys[~learnt])[0]
+                    tally.add(asked, np.zeros(len(asked), np.int64))
+    for kind, tally in ((GRAM, grams), (WORD_KEY, words)) if block is not None else ():
+        keys, counts = tally.settle()
+        part = part_of(kind, keys, parts)
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        for p in range(parts):
+            own = order[cuts[p] : cuts[p + 1]]
+            yield from _list_rows("kind block part grp keys vals", kind, [block, p, block // FAN], keys[own], counts[own])
 
 
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     return chain.from_iterable(b.to_pylist() for b in batches)
 
 
+def _joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([k for k, _ in held]), np.concatenate([v for _, v in held])
+
+
 def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One list per part and group; rows come sorted by both."""
+    """One list per kind, part and group; rows come sorted by these."""
     now, tally = None, _Tally()
-    for row in _rows(batches):
-        if (row["part"], row["grp"]) != now:
+    for row in chain(_rows(batches), [None]):
+        key = row and (row["kind"], row["part"], row["grp"])
+        if key != now:
             if now:
-                yield from _list_rows("part grp keys counts", list(now), *tally.settle())
-            now, tally = (row["part"], row["grp"]), _Tally()
-        tally.add(_unpacked_keys(row["keys"]), _unpacked(row["counts"], np.int64))
-    if now:
-        yield from _list_rows("part grp keys counts", list(now), *tally.settle())
+                yield from _list_rows("kind part grp keys vals", now[0], list(now[1:]), *tally.settle())
+            now, tally = key, _Tally()
+        if row:
+            tally.add(_unpacked_keys(row["keys"]), _unpacked(row["vals"], np.int64))
 
 
 def _part_trees(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, Subtrees]]:
     """The subtrees of each part of rows sorted by part."""
     now, held = None, []
-
-    def built() -> Subtrees:
-        return Subtrees(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
-
     for row in _rows(batches):
         if held and row["part"] != now:
-            yield now, built()
+            yield now, Subtrees(*_joined(held))
             held = []
         now = row["part"]
-        held.append((_unpacked_keys(row["keys"]), _unpacked(row["counts"], np.int64)))
+        held.append((_unpacked_keys(row["keys"]), _unpacked(row["vals"], np.int64)))
     if held:
-        yield now, built()
+        yield now, Subtrees(*_joined(held))
+
+
+def _totals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        counts = _unpacked(row["vals"], np.int64)
+        yield _batch("total known", pa.array([counts.sum()]), pa.array([(counts > 0).sum()]))
 
 
 def _tops(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,66 +396,72 @@ def _tops(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _answers(top: Top, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, trees in _part_trees(batches):
-        yield from _list_rows("part keys log10", [part], trees.grams, trees.log10(top))
+        yield from _list_rows("kind part keys vals", GRAM, [part], trees.grams, trees.log10(top))
 
 
 def _replies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The answers each block of a group asked for; the rows of a part and group come answers first."""
-    now, held, keys, values = None, [], None, None
+    """What each block of a group asked for; the rows of a kind, part and group come answers first, without a block."""
+    now, held, answer = None, [], None
     for row in _rows(batches):
-        if (row["part"], row["grp"]) != now:
-            now, held, keys = (row["part"], row["grp"]), [], None
+        key = (row["kind"], row["part"], row["grp"])
+        if key != now:
+            now, held, answer = key, [], None
         got = _unpacked_keys(row["keys"])
-        if row["log10"] is not None:
-            held.append((got, _unpacked(row["log10"], np.float64)))
+        if row["block"] is None:
+            held.append((got, _unpacked(row["vals"], np.int64)))  # bits of a double for grams
             continue
-        if keys is None:
-            keys, values = np.concatenate([k for k, _ in held]), np.concatenate([v for _, v in held])
-        yield from _list_rows("block keys log10", [row["block"]], got, values[np.searchsorted(keys, got)])
+        if answer is None:
+            answer, held = _joined(held), []
+        yield from _list_rows("kind block keys vals", row["kind"], [row["block"]], got, answer[1][np.searchsorted(answer[0], got)])
+
+
+class _Table:
+    """Replies of one kind: a value for each key of a block."""
 
+    def __init__(self, kind: type) -> None:
+        self.kind = kind
+        self.keys, self.values = np.zeros(0, np.int64), np.zeros(0, kind)
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
 
-_SCORES = "doc_id held_out n_tokens n_known base score n_bytes"
+    def add(self, keys: bytes, values: bytes) -> None:
+        self.new.append((_unpacked_keys(keys), _unpacked(values, self.kind)))
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        if self.new:
+            self.keys, self.values = _joined([(self.keys, self.values), *self.new])
+            order = np.argsort(self.keys, kind="stable")
+            self.keys, self.values, self.new = self.keys[order], self.values[order], []
+        distinct, inverse = np.unique(keys, return_inverse=True)
+        return self.values[np.searchsorted(self.keys, distinct)][inverse]
 
 
 def _scored(total: int, distinct: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Scores of the texts of one block; the rows come answers first, then words, then texts."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    known: dict[bytes, int] = {}
-    keys, values = None, None
+    """Scores of the texts of one block; the rows come replies first, then texts (kind 2)."""
+    tables = {GRAM: _Table(np.float64), WORD_KEY: _Table(np.int64)}
     floor = np.log10(total + distinct + 1.0)
     for batch in batches:
-        kinds = np.asarray(batch.column("kind"))
-        for row in batch.filter(pa.array(kinds == 0)).select(["keys", "log10"]).to_pylist():
-            held.append((_unpacked_keys(row["keys"]), _unpacked(row["log10"], np.float64)))
-        words = batch.filter(pa.array(kinds == 1))
-        known.update(zip(words.column("word").to_pylist(), words.column("n").to_pylist(), strict=True))
-        docs = batch.filter(pa.array(kinds == 2))
+        is_text = np.asarray(batch.column("kind")) == 2
+        for row in _rows([batch.filter(pa.array(~is_text)).select(["kind", "keys", "vals"])]):
+            tables[row["kind"]].add(row["keys"], row["vals"])
+        docs = batch.filter(pa.array(is_text))
         if not docs.num_rows:
             continue
-        if keys is None:
-            keys, values = np.concatenate([k for k, _ in held]), np.concatenate([v for _, v in held])
-            order = np.argsort(keys, kind="stable")
-            keys, values, held = keys[order], values[order], []
         texts = [lowered(t or b"") for t in docs.column("text").to_pylist()]
-        score = np.zeros(len(texts))
+        score, base, n_tokens, n_known = (np.zeros(len(texts)) for _ in range(4))
         for piece in pieces(enumerate(texts)):
-            distinct_grams, inverse = np.unique(piece.grams, return_inverse=True)
-            score += np.bincount(piece.owner, values[np.searchsorted(keys, distinct_grams)][inverse], len(texts))
-        n_tokens, n_known, base = [], [], []
-        for text in texts:
-            split = text.split()
-            split.append(b"")  # the end
-            c = np.fromiter(map(known.__getitem__, split), np.int64, len(split))
-            n_tokens.append(len(c))
-            n_known.append(int((c > 0).sum()))
-            base.append(float(np.log10(c + 1.0).sum() - len(c) * floor))
+            score += np.bincount(piece.owner, tables[GRAM].of(piece.keys), len(texts))
+        for piece in word_pieces(enumerate(texts)):
+            c = tables[WORD_KEY].of(piece.keys)
+            n_tokens += np.bincount(piece.owner, minlength=len(texts))
+            n_known += np.bincount(piece.owner, c > 0, len(texts))
+            base += np.bincount(piece.owner, np.log10(c + 1.0) - floor, len(texts))
         yield _batch(
-            _SCORES,
+            "doc_id held_out n_tokens n_known base score n_bytes",
             docs.column("doc_id"),
             docs.column("held_out"),
-            pa.array(n_tokens, pa.int64()),
-            pa.array(n_known, pa.int64()),
-            pa.array(base, pa.float64()),
+            pa.array(n_tokens.astype(np.int64)),
+            pa.array(n_known.astype(np.int64)),
+            pa.array(base),
             pa.array(score),
             pa.array([len(t) for t in texts], pa.int64()),
         )
@@ -445,8 +470,8 @@ def _scored(total: int, distinct: int, batches: Iterable[pa.RecordBatch]) -> Ite
 def _merge_all(lists: DataFrame, groups: int, tasks: int) -> DataFrame:
     """The lists of all blocks merged part by part, FAN groups at a time."""
     while True:
-        rows = lists.repartition(tasks, "part", "grp").sortWithinPartitions("part", "grp")
-        lists = written(rows.mapInArrow(_merged, "part bigint, grp bigint, keys binary, counts binary"), "context-lists")
+        rows = lists.repartition(tasks, "kind", "part", "grp").sortWithinPartitions("kind", "part", "grp")
+        lists = written(rows.mapInArrow(_merged, "kind int, part bigint, grp bigint, keys binary, vals binary"), "context-lists")
         if groups <= 1:
             return lists
         groups = -(-groups // FAN)
@@ -480,38 +505,30 @@ def scored_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     placed = narrow.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
     dealt = placed.select("block", "text", (~F.col("held_out")).alias("train")).repartitionById(blocks, F.col("block").cast("int"))
     lists = written(dealt.mapInArrow(lambda b: _block_lists(parts, b), _LISTS), "context-blocks")
+    merged = _merge_all(lists.drop("block"), groups, tasks)
 
-    asked = lists.where("word IS NULL").select("block", "part", "grp", "keys", "counts")
-    merged = _merge_all(asked, groups, tasks).repartition(parts, "part").sortWithinPartitions("part")
-    slots = merged.mapInArrow(_tops, "slot bigint, zeros double, ones double, log_weighted double")
+    grams = merged.where(F.col("kind") == GRAM).repartition(parts, "part").sortWithinPartitions("part")
+    slots = grams.mapInArrow(_tops, "slot bigint, zeros double, ones double, log_weighted double")
     sums = np.zeros((3, 256 * 256))
     # At most 65 280 rows.
     for row in slots.groupBy("slot").agg(F.sum("zeros"), F.sum("ones"), F.sum("log_weighted")).collect():
         sums[:, row[0]] = row[1:]
     top = Top(sums)
-    answers = merged.mapInArrow(lambda b: _answers(top, b), "part bigint, keys binary, log10 binary")
-    spread = answers.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
-    nothing = F.lit(None)
-    both = spread.select("part", "grp", F.lit(None).cast("bigint").alias("block"), "keys", "log10").unionByName(
-        asked.select("part", "grp", "block", "keys", nothing.cast("binary").alias("log10"))
-    )
-    both = both.repartition(tasks, "part", "grp").sortWithinPartitions("part", "grp", F.col("block").asc_nulls_first())
-    replies = both.mapInArrow(_replies, "block bigint, keys binary, log10 binary")
-
-    words = lists.where("word IS NOT NULL").select("block", "word", "n")
-    ends = placed.groupBy("block").agg(F.count_if(~F.col("held_out")).alias("n"))
-    words = words.unionByName(ends.select("block", F.lit(b"").alias("word"), "n"))
-    counts = written(words.groupBy("word").agg(F.sum("n").alias("n")), "context-words")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    found = words.select("block", "word").join(counts, "word")
-
-    shape = {"block": "bigint", "kind": "int", "keys": "binary", "log10": "binary", "word": "binary", "n": "bigint", "text": "binary", "held_out": "boolean", "doc_id": narrow.schema["doc_id"].dataType}
-
-    def shaped(df: DataFrame, kind: int) -> DataFrame:
-        df = df.withColumn("kind", F.lit(kind))
-        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in shape.items()])
-
-    rows = shaped(replies, 0).unionByName(shaped(found, 1)).unionByName(shaped(placed, 2))
+    counts = merged.where(F.col("kind") == WORD_KEY).select("kind", "part", "keys", "vals")
+    totals = counts.select("vals").mapInArrow(_totals, "total bigint, known bigint")
+    total, distinct = totals.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+
+    answers = grams.mapInArrow(lambda b: _answers(top, b), "kind int, part bigint, keys binary, vals binary").unionByName(counts)
+    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>"))
+    answers = answers.withColumn("grp", every).withColumn("block", F.lit(None).cast("bigint"))
+    both = answers.unionByName(lists.withColumn("vals", F.lit(None).cast("binary")))
+    both = both.repartition(tasks, "kind", "part", "grp")
+    both = both.sortWithinPartitions("kind", "part", "grp", F.col("block").asc_nulls_first())
+    replies = both.mapInArrow(_replies, "kind int, block bigint, keys binary, vals binary")
+
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in narrow.schema]
+    texts = placed.select(F.lit(2).alias("kind"), "block", F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("vals"), *narrow.columns)
+    rows = replies.select("*", *nothing).unionByName(texts)
     rows = rows.repartitionById(blocks, F.col("block").cast("int")).sortWithinPartitions("kind")
     kind = narrow.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, n_bytes bigint"

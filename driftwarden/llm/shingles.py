@@ -29,10 +29,12 @@ def _powers(n: int) -> np.ndarray:
 
 def word_hashes(words: list[str]) -> np.ndarray:
     """One 64-bit polynomial hash per word."""
-    if not words:
-        return np.zeros(0, np.uint64)
+    return joined_hashes(" ".join(words).encode("utf-8", "surrogatepass")) if words else np.zeros(0, np.uint64)
+
+
+def joined_hashes(data: bytes) -> np.ndarray:
+    """The same hashes for words that are already joined by single spaces."""
     out, at = [], 0
-    data = " ".join(words).encode("utf-8", "surrogatepass")
     while at < len(data):
         end = len(data) if len(data) - at <= _BLOCK else data.find(b" ", at + _BLOCK)
         end = len(data) if end < 0 else end
