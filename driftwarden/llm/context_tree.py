@@ -42,7 +42,7 @@ DEPTH = 5
 #: Context bytes whose nodes lie above the parts.
 ABOVE = 2
 #: Bytes of text per block, and per array worked on at a time.
-BLOCK_BYTES, PIECE = 64 << 20, 2 << 20
+BLOCK_BYTES, PIECE = 64 << 20, 1 << 19
 #: Blocks whose lists are merged, and answered, by one task.
 FAN = 256
 #: Grams in one row of a list.
@@ -198,7 +198,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     low = x.copy()
     for k in range(1, 7):
         low *= x + k
-    series = 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - 1 / (1680 * z**7)
+    series = 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - 1 / (1680 * z**7) + 1 / (1188 * z**9)
     return (z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + series - np.log(low)
 
 
@@ -324,9 +324,7 @@ def _list_rows(names: str, kind: int, head: list[int], keys: np.ndarray, values:
 def _block_lists(parts: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct grams and words of one block with their counts in its training texts."""
     grams, words, block = _Tally(), _Tally(), None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in _small(batches):
         block = batch.column("block")[0].as_py()
         texts = [lowered(t or b"") for t in batch.column("text").to_pylist()]
         train = np.asarray(batch.column("train").to_pylist(), bool)
@@ -347,8 +345,15 @@ def _block_lists(parts: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.R
             yield from _list_rows("kind block part grp keys vals", kind, [block, p, block // FAN], keys[own], counts[own])
 
 
+def _small(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time, so that few texts are held twice."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, 500):
+            yield batch.slice(a, 500)
+
+
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-    return chain.from_iterable(b.to_pylist() for b in batches)
+    return chain.from_iterable(b.slice(i, 1).to_pylist() for b in batches for i in range(b.num_rows))
 
 
 def _joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -439,7 +444,7 @@ def _scored(total: int, distinct: int, batches: Iterable[pa.RecordBatch]) -> Ite
     """Scores of the texts of one block; the rows come replies first, then texts (kind 2)."""
     tables = {GRAM: _Table(np.float64), WORD_KEY: _Table(np.int64)}
     floor = np.log10(total + distinct + 1.0)
-    for batch in batches:
+    for batch in _small(batches):
         is_text = np.asarray(batch.column("kind")) == 2
         for row in _rows([batch.filter(pa.array(~is_text)).select(["kind", "keys", "vals"])]):
             tables[row["kind"]].add(row["keys"], row["vals"])
