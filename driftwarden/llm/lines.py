@@ -2,24 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwarden.llm.common import columns_of, components, written
 
-#: Edits that two lines may be apart, and characters from which a line is compared at all: a line needs a character for each
-#: of its edits + 1 segments. Shorter ones count only as equals.
-EDITS, SHORTEST = 2, 3
+#: (edits, characters): how many edits two lines may be apart when the shorter of them has so many characters or more, up to
+#: the next entry; still shorter lines count only as equals. Two edits on a word of three letters link almost any two.
+BANDS = ((1, 9), (2, 24))
+
 
+def _places(docs: DataFrame) -> DataFrame:
+    """One row per line that is not blank (``full``), and the first line of every text even if it is.
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line that is not blank, with its place and two hashes that name its text."""
+    Each place carries two hashes that name the text of its line.
+    """
     rows = docs.select("doc_id", "row", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
-    return rows.where(F.trim("line") != "").select(
-        "doc_id", "row", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")
+    full = F.trim("line") != ""
+    return rows.where(full | (F.col("pos") == 0)).select(
+        "doc_id", "row", "pos", full.alias("full"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")
     )
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """The lines that are not blank, with the same two hashes."""
+    rows = docs.select(F.explode(F.split("text", "\n")).alias("line")).where(F.trim("line") != "")
+    return rows.select("line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"))
+
+
 def _cuts(edits: int) -> list[tuple[int, int, int]]:
     """(gap, segment, shift) of every key of a line, in order."""
     return [
@@ -30,7 +42,7 @@ def _cuts(edits: int) -> list[tuple[int, int, int]]:
     ]
 
 
-def segment_keys(line: Column, edits: int = EDITS) -> Column:
+def segment_keys(line: Column, edits: int) -> Column:
     """The keys under which a line is indexed and probed, in the order of ``_cuts``.
 
     A line of n characters is cut into edits + 1 segments as even as can be. A
@@ -50,8 +62,33 @@ def segment_keys(line: Column, edits: int = EDITS) -> Column:
     return F.array(*keys)
 
 
-def line_links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """(h1, h2, g1, g2): pairs of different lines at most ``edits`` edits apart, each once.
+def _banded_keys(bands: Sequence[tuple[int, int]]) -> Column:
+    """(key, indexed) of a line in every band whose pairs it can belong to."""
+    size, found = F.length("line"), []
+    for at, (edits, least) in enumerate(bands):
+        entries = [gap == shift == 0 for gap, _, shift in _cuts(edits)]
+        fits = size >= least
+        if at + 1 < len(bands):
+            fits = fits & (size < bands[at + 1][1] + edits)
+        keys = F.zip_with(
+            segment_keys(F.col("line"), edits), F.array(*map(F.lit, entries)), lambda k, i: F.struct(k.alias("key"), i.alias("indexed"))
+        )
+        found.append(F.when(fits, keys).otherwise(F.array().cast("array<struct<key:bigint,indexed:boolean>>")))
+    return F.concat(*found)
+
+
+def _close(line: str, other: str, bands: Sequence[tuple[int, int]]) -> Column:
+    """Whether two lines are as few edits apart as the length of the shorter one allows."""
+    shorter = F.least(F.length(line), F.length(other))
+    apart = F.when(shorter < bands[0][1], F.lit(-1))
+    for at, (edits, _) in enumerate(bands):
+        last = at + 1 == len(bands)
+        apart = apart.when(F.lit(True) if last else shorter < bands[at + 1][1], F.levenshtein(line, other, edits))
+    return apart >= 0
+
+
+def line_links(lines: DataFrame, bands: Sequence[tuple[int, int]] = BANDS) -> DataFrame:
+    """(h1, h2, g1, g2): pairs of different lines no more edits apart than ``bands`` allow, each once.
 
     ``lines`` (line, h1, h2). Equal lines are dropped to one before they are
     cut. Keys are gathered as narrow rows; only those that meet an index entry
@@ -59,12 +96,11 @@ def line_links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -
     The distance is checked inside the join, so pairs that merely share a
     segment never leave it, and a key of very many lines is split by Spark.
     """
-    long = lines.where(F.length("line") >= max(shortest, edits + 1))
-    cut = long.select("h1", segment_keys(F.col("line"), edits).alias("keys")).dropDuplicates(["h1"])
-    entries = [at for at, (gap, _, shift) in enumerate(_cuts(edits)) if gap == shift == 0]
-    keyed = cut.select("h1", F.posexplode("keys").alias("at", "key")).select(
-        "h1", "key", F.col("at").isin(entries).alias("indexed")
-    )
+    if any(least <= edits for edits, least in bands):
+        raise ValueError("a line needs a character for each of its edits + 1 segments")
+    long = lines.where(F.length("line") >= bands[0][1])
+    cut = long.select("h1", "h2", _banded_keys(bands).alias("keys")).dropDuplicates(["h1", "h2"])
+    keyed = cut.select("h1", F.explode("keys").alias("k")).select("h1", "k.key", "k.indexed")
     same = Window.partitionBy("key")
     meeting = (
         keyed.withColumn("a", F.min("h1").over(same))
@@ -83,11 +119,10 @@ def line_links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -
     right = held.select(
         "key", F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("line").alias("other"), F.col("indexed").alias("own")
     )
-    apart = F.levenshtein("line", "other", edits)
     # Two index entries of one key meet twice; the pair is taken up from its smaller side.
     once = ~F.col("own") | (F.col("h1") < F.col("g1"))
     different = (F.col("h1") != F.col("g1")) & once
-    pairs = left.join(right, (left["key"] == right["key"]) & different & (apart >= 0))
+    pairs = left.join(right, (left["key"] == right["key"]) & different & _close("line", "other", bands))
     up = F.col("h1") < F.col("g1")
     ends = [F.when(up, F.col(a)).otherwise(F.col(b)).alias(a) for a, b in (("h1", "g1"), ("h2", "g2"))]
     other = [F.when(up, F.col(b)).otherwise(F.col(a)).alias(b) for a, b in (("h1", "g1"), ("h2", "g2"))]
@@ -110,10 +145,10 @@ def line_classes(occurrences: DataFrame, links: DataFrame) -> DataFrame:
     one = links.join(classes.select("h1", "h2", F.col("node").alias("u")), ["h1", "h2"])
     other = classes.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("node").alias("v"))
     joined = components(one.join(other, ["g1", "g2"]).select("u", "v"), "line-components")
-    of_class = Window.partitionBy("component")
+    placed = classes.join(joined, "node")
+    # A minimum per class joined back: a very large class is dealt again by Spark, a window would sort it in one task.
     near = (
-        classes.join(joined, "node")
-        .withColumn("least", F.min("first").over(of_class))
+        placed.join(placed.groupBy("component").agg(F.min("first").alias("least")), "component")
         .select("h1", "h2", F.col("least").alias("first"), (F.col("least") != F.col("first")).alias("near"))
     )
     again = classes.where("n > 1").join(joined.select("node"), "node", "left_anti")
@@ -121,23 +156,26 @@ def line_classes(occurrences: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def repeated_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, shortest: int = SHORTEST
+    docs: DataFrame, key: str = "doc_id", text: str = "text", bands: Sequence[tuple[int, int]] = BANDS
 ) -> DataFrame:
     """Which lines of each document repeat an earlier one.
 
     Columns: doc_id, n_lines (not blank), n_exact and n_near (lines that repeat
     an equal or a nearly equal line), removed (their places, counted from 0).
     Of every class of lines the first place stays, in the order of doc_id, row
-    and place. Lines from ``shortest`` characters on are compared up to
-    ``edits`` edits, shorter ones and those no longer than the edits only as equals; whole lines are compared,
-    whatever their length. NULL and empty texts have no lines; rows that repeat
-    an id are documents of their own; an empty table gives no rows.
+    and place. How many edits apart two lines may be follows from the length of
+    the shorter one (``bands``); shorter lines count only as equals. Whole lines
+    are compared, whatever their length. NULL and empty texts have no lines;
+    rows that repeat an id are documents of their own, in no stated order among
+    themselves; an empty table gives no rows.
+
+    Rows are numbered in the one pass that writes their places; everything else
+    that names a row reads that table.
     """
     rows = columns_of(docs, doc_id=key, text=text)
-    lines = _lines(rows.withColumn("row", F.monotonically_increasing_id()))
-    base = written(rows.select("doc_id", F.monotonically_increasing_id().alias("row")), "line-docs")
-    occurrences = written(lines.select("doc_id", "row", "pos", "h1", "h2"), "line-places")
-    again = line_classes(occurrences, line_links(lines.select("line", "h1", "h2"), edits, shortest))
+    places = written(_places(rows.withColumn("row", F.monotonically_increasing_id())), "line-places")
+    occurrences = places.where("full").select("doc_id", "row", "pos", "h1", "h2")
+    again = line_classes(occurrences, line_links(_texts(rows), bands))
     here = F.struct("doc_id", "row", "pos")
     gone = (
         occurrences.join(again, ["h1", "h2"])
@@ -149,12 +187,11 @@ def repeated_lines(
             F.array_sort(F.collect_list("pos")).alias("removed"),
         )
     )
-    counts = occurrences.groupBy("row").agg(F.count(F.lit(1)).alias("n_lines"))
+    base = places.groupBy("row").agg(F.any_value("doc_id").alias("doc_id"), F.count_if("full").alias("n_lines"))
     zero = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_lines", "n_exact", "n_near")]
     none = F.array().cast("array<int>")
     return (
-        base.join(counts, "row", "left")
-        .join(gone, "row", "left")
+        base.join(gone, "row", "left")
         .select("doc_id", *zero, F.coalesce("removed", none).alias("removed"))
     )
 
