@@ -127,10 +127,10 @@ def _units(files: DataFrame, anchors: Sequence[str]) -> DataFrame:
 
 def notices(
     files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD
-) -> tuple[DataFrame, DataFrame]:
-    """(file, path) of all files, and (file, line, lines, license, score) of their notices.
+) -> DataFrame:
+    """(file, line, lines, license, score) of the notices of all files.
 
-    ``files`` (file, path, text). Every line of a text is a unit, so is every
+    ``files`` (file, text), where equal files have equal texts and count as often as they are listed. Every line of a text is a unit, so is every
     run of lines that are not blank, and the whole text; these longer units count
     where no unit within them does as well. Their line is the last one in them
     that holds an anchor; ``lines`` is the last line that is not blank. A unit's weights are term counts times ln((files + 1) /
@@ -152,7 +152,8 @@ def notices(
     df = {r["token"]: r["count"] for r in held.collect()}  # one per template word
     ready = {w: math.log((n_files + 1) / (df.get(w, 0) + 1)) + 1 for w in vocabulary}
     reach = _reach(templates, ready, threshold)
-    units = written(_units(files, anchors).where(reach(F.col("tokens"))), "license-units")
+    found = _units(files, anchors).where(reach(F.col("tokens")))
+    units = written(found.dropDuplicates(["file", "start", "line", "kind"]), "license-units")
     terms = (
         units.select("file", "start", "line", "kind", "last", F.explode("tokens").alias("token"))
         .groupBy("file", "start", "line", "kind", "last", "token")
@@ -199,12 +200,11 @@ def notices(
     longer = passed.where("kind > 0").join(
         inner.withColumnRenamed("file", "of"), (F.col("file") == F.col("of")) & within & (F.col("least") >= F.col("score")), "left_anti"
     )
-    found = (
+    return (
         passed.where("kind = 0")
         .unionByName(longer)
         .select("file", "line", F.col("last").alias("lines"), "license", "score")
     )
-    return files.select("file", "path"), found
 
 
 def license_files(
@@ -220,23 +220,24 @@ def license_files(
     files hold, the first by name of equals. A file without a notice inherits
     from its own directory or the nearest one above that has a licence. NULL
     and empty texts hold no notice; a NULL path has no directory; rows that
-    repeat an id are files of their own; an empty table gives no rows.
+    repeat an id are files of their own, equal rows have equal results; an empty table gives no rows.
 
     Directories, not files, are joined with their ancestors; files meet the
     result by directory, narrow rows of which a very full directory is dealt
     again by Spark.
     """
     rows = columns_of(files, doc_id=key, path=path, text=text)
-    rows = rows.withColumn("file", F.struct("doc_id", F.monotonically_increasing_id().alias("row")))
-    all_files, found = notices(rows.select("file", "path", "text"))
-    found = written(found, "license-notices")
+    # A file is known by what its row holds, so that every read of the rows names it alike.
+    held = F.coalesce("text", F.lit(""))
+    rows = rows.withColumn("file", F.struct("doc_id", "path", F.xxhash64(held).alias("h1"), F.xxhash64(F.lit(7), held).alias("h2")))
+    found = written(notices(rows.select("file", "text")), "license-notices")
     own = found.groupBy("file").agg(
         F.min_by(F.struct("license", "score"), F.struct(-F.col("score"), F.col("line"))).alias("own"),
         F.max(F.col("line") == F.col("lines")).alias("closes"),
     )
     cut = F.regexp_replace("path", "/?[^/]*$", "")
     known = written(
-        all_files.withColumn("dir", cut).withColumn("name", F.regexp_extract("path", "[^/]*$", 0)).join(own, "file", "left"),
+        rows.select("file", "path").withColumn("dir", cut).withColumn("name", F.regexp_extract("path", "[^/]*$", 0)).join(own, "file", "left"),
         "license-own",
     )
     speaks = F.col("name").rlike(SPEAKS) | (F.lit(closing) & F.col("closes"))

@@ -112,38 +112,53 @@ _COMMON = ", ".join(f"'{w}'" for w in COMMON)
 LICENSE_SQL = rf"""WITH files AS (
   SELECT doc_id, coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/' || CAST(doc_id // 1000 AS VARCHAR)
          || '/' || CAST(doc_id AS VARCHAR) AS path,
-         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x) <> '') AS held FROM documents),
+         string_split(coalesce(text, ''), chr(10)) AS held FROM documents),
+cells AS (
+  SELECT doc_id, generate_subscripts(held, 1) AS line, unnest(held) AS t FROM files),
 lines AS (
-  SELECT doc_id, len(held) AS n_lines, generate_subscripts(held, 1) AS line,
-         regexp_extract_all(lower(unnest(held)), '{TOKEN}') AS tokens FROM files),
+  SELECT doc_id, line, trim(t) <> '' AS filled, regexp_extract_all(lower(t), '{TOKEN}') AS tokens FROM cells),
 words AS (SELECT DISTINCT doc_id, unnest(tokens) AS token FROM lines),
 template AS (SELECT * FROM (VALUES {_VALUES}) t(template, license, text)),
 template_words AS (
   SELECT template, license, token, count(*) AS tf
   FROM (SELECT template, license, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS token FROM template) GROUP BY ALL),
-vocabulary AS (SELECT DISTINCT token FROM template_words),
 total AS (SELECT count(*) AS n FROM files),
-counted AS (SELECT token, count(*) AS df FROM words JOIN vocabulary USING (token) GROUP BY token),
-idf AS (
-  SELECT v.token, ln((SELECT n + 1 FROM total)::DOUBLE / (coalesce(df, 0) + 1)) + 1 AS idf
-  FROM vocabulary v LEFT JOIN counted c ON v.token = c.token),
-raw AS (SELECT template, license, token, tf * idf AS w FROM template_words JOIN idf USING (token)),
+idf AS (SELECT token, ln((SELECT n + 1 FROM total)::DOUBLE / (count(*) + 1)) + 1 AS idf FROM words GROUP BY token),
+raw AS (
+  SELECT template, license, token, tf * coalesce(idf, ln((SELECT n + 1 FROM total)::DOUBLE) + 1) AS w
+  FROM template_words LEFT JOIN idf USING (token)),
 weights AS (SELECT template, license, token, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS w FROM raw),
-anchors AS (SELECT list(token) AS held FROM vocabulary WHERE regexp_matches(token, '^[a-z]+$') AND token NOT IN ({_COMMON})),
-units AS (SELECT * FROM lines WHERE list_has_any(tokens, (SELECT held FROM anchors))),
+anchors AS (
+  SELECT list(DISTINCT token) AS held FROM template_words WHERE regexp_matches(token, '^[a-z]+$') AND token NOT IN ({_COMMON})),
+marked AS (
+  SELECT *, list_has_any(tokens, (SELECT held FROM anchors)) AS hot,
+         max(CASE WHEN filled THEN line END) OVER (PARTITION BY doc_id) AS n_lines FROM lines),
+hot_files AS (SELECT * FROM marked WHERE doc_id IN (SELECT doc_id FROM marked WHERE hot)),
+islands AS (
+  SELECT *, line - row_number() OVER (PARTITION BY doc_id ORDER BY line) AS island FROM hot_files WHERE filled),
+units AS (
+  SELECT doc_id, line AS start, line, 0 AS kind, n_lines, tokens FROM hot_files WHERE hot
+  UNION ALL
+  SELECT doc_id, min(line), max(CASE WHEN hot THEN line END), 1, any_value(n_lines), flatten(list(tokens))
+  FROM islands GROUP BY doc_id, island HAVING count(*) > 1 AND bool_or(hot)
+  UNION ALL
+  SELECT doc_id, 1, max(CASE WHEN hot THEN line END), 2, any_value(n_lines), flatten(list(tokens))
+  FROM hot_files WHERE doc_id IN (SELECT doc_id FROM islands GROUP BY doc_id HAVING count(DISTINCT island) > 1) GROUP BY doc_id),
 terms AS (
-  SELECT doc_id, line, n_lines, token, count(*) AS tf
-  FROM (SELECT doc_id, line, n_lines, unnest(tokens) AS token FROM units) GROUP BY ALL),
-weighted AS (
-  SELECT doc_id, line, n_lines, t.token, tf * coalesce(idf, ln((SELECT n + 1 FROM total)::DOUBLE) + 1) AS x
-  FROM terms t LEFT JOIN idf i ON t.token = i.token),
-norms AS (SELECT doc_id, line, sqrt(sum(x * x)) AS norm FROM weighted GROUP BY ALL),
+  SELECT doc_id, start, line, kind, n_lines, token, count(*) AS tf
+  FROM (SELECT doc_id, start, line, kind, n_lines, unnest(tokens) AS token FROM units) GROUP BY ALL),
+weighted AS (SELECT doc_id, start, line, kind, n_lines, token, tf * idf AS x FROM terms JOIN idf USING (token)),
+norms AS (SELECT doc_id, start, line, kind, sqrt(sum(x * x)) AS norm FROM weighted GROUP BY ALL),
 dots AS (
-  SELECT doc_id, line, n_lines, template, license, sum(x * w) AS dot FROM weighted JOIN weights USING (token) GROUP BY ALL),
-scored AS (SELECT d.*, round(dot / norm, 6) AS score FROM dots d JOIN norms n ON d.doc_id = n.doc_id AND d.line = n.line),
-notices AS (
+  SELECT doc_id, start, line, kind, n_lines, template, license, sum(x * w) AS dot
+  FROM weighted JOIN weights USING (token) GROUP BY ALL),
+scored AS (SELECT d.*, round(dot / norm, 6) AS score FROM dots d JOIN norms n USING (doc_id, start, line, kind)),
+passed AS (
   SELECT * FROM scored WHERE score >= {THRESHOLD}
-  QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY score DESC, template) = 1),
+  QUALIFY row_number() OVER (PARTITION BY doc_id, start, line, kind ORDER BY score DESC, template) = 1),
+notices AS (
+  SELECT * FROM passed p WHERE NOT EXISTS (
+    SELECT 1 FROM passed i WHERE i.doc_id = p.doc_id AND i.kind < p.kind AND i.line BETWEEN p.start AND p.line AND i.score >= p.score)),
 own AS (
   SELECT doc_id, license, score, bool_or(line = n_lines) OVER (PARTITION BY doc_id) AS closes FROM notices
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line) = 1),
