@@ -149,7 +149,8 @@ def quality_documents(
     shuffled, and the model is fitted on all labelled rows that are not held
     out. A NULL text counts as empty: all its statistics are zero and it is
     scored like any other. With one class missing from the labels every score is
-    that class's value (0.5 without labels). Repeated rows score alike; an empty
+    that class's value (0.5 without labels). A document labelled both ways counts
+    as good. Repeated rows score alike; an empty
     table gives no rows.
     """
     rows = columns_of(docs, doc_id=key, text=text)
@@ -157,7 +158,8 @@ def quality_documents(
     known = columns_of(labels, doc_id=key, label=label).where(
         ~held_out(F.col("doc_id")) & F.col("label").isin(0, 1)
     )
-    train = written(table.join(known.dropDuplicates(["doc_id"]), "doc_id"), "labelled")
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    train = written(table.join(known, "doc_id"), "labelled")
     found = moments(train, len(STATISTICS))
     if len(found) < 2:
         flat = 0.5 if not found else float(next(iter(found)))

@@ -158,20 +158,24 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> ToxicM
     never read. The sample is chosen by hash and its size follows from the
     class counts, so the broadcast list of ids is bounded by ``most``. Equal
     and nearly equal texts (the same least five-word shingle under one of three
-    hashes) count once, lest a copied passage pass for a habit. Without
+    hashes) count once, the one of least hash and id, lest a copied passage pass
+    for a habit; so the model does not depend on how the rows lie. A document
+    labelled both ways counts as toxic. Without
     documents of both classes the model scores every text near zero.
     """
-    known = labels.where(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1)).dropDuplicates(["doc_id"])
+    known = labels.where(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1))
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return ToxicModel()
     share = F.when(F.col("label") == 1, F.lit(most / sizes[1])).otherwise(F.lit(most / sizes[0]))
     at = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.where(at < share).select("doc_id", "label")
+    chosen = known.where(at < share).select("doc_id", "label", at.alias("at"))
     sample = docs.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     sample = sample.withColumn("s", _least_shingles(F.col("text")))
     for i in range(3):
-        sample = sample.withColumn("least", F.element_at("s", i + 1)).dropDuplicates(["least", "label"])
+        least = sample.groupBy(F.element_at("s", i + 1), "label")
+        sample = least.agg(F.min(F.struct("at", "doc_id", "text", "s")).alias("r")).select("label", "r.*")
     sample = written(sample.select("text", "label"), "toxic-sample")
     forms = sample.select("label", F.explode(_forms(F.col("text"))).alias("form"))
     found = forms.where("label = 1").groupBy("form").agg(F.count(F.lit(1)).alias("y1")).where(F.col("y1") >= SUPPORT)
@@ -189,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> ToxicM
         .select("form", y0.alias("y0"), delta.alias("weight"), (delta / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
         .where((F.col("z") >= LEAST_Z) & (F.col("weight") > 0))
     )
-    rows = scored.collect()  # bounded: a form has SUPPORT documents of a bounded sample
+    rows = scored.orderBy("form").collect()  # bounded: a form has SUPPORT documents of a bounded sample
     weights = {r["form"]: float(r["weight"]) for r in rows}
     if not weights:
         return ToxicModel()
@@ -213,7 +217,7 @@ def _rate(chance: float, weights: np.ndarray, odds: np.ndarray) -> float:
 def _calibrated(sample: DataFrame, model: ToxicModel, sizes: dict[int, int]) -> ToxicModel:
     """Scale of the extreme-value law from clean documents, then evidence to probability by a logistic curve."""
     scanned = sample.select("label", _scanner(model)(F.col("text")).alias("s")).select("label", "s.tokens", "s.best")
-    points = scanned.toPandas()  # two numbers for each document of the bounded sample
+    points = scanned.orderBy("label", "tokens", "best").toPandas()  # two numbers for each document of the bounded sample
     clean = points[points.label == 0]
     middle = float(np.median(list(model.weights.values())))
     above = float((clean.best >= middle).sum()) + 0.5
