@@ -23,10 +23,11 @@ TILE, COVERAGE = 4, 0.5
 SLICE_BYTES = 8 << 20
 _WORD = re.compile(r"\w+")
 
-_MATCHES = (
-    "array<struct<item_id:bigint,item_words:int,covered:int,"
-    "tiles:array<struct<item_start:int,doc_start:int,words:int>>>>"
-)
+
+def _matches_type(item_id: str) -> str:
+    tiles = "array<struct<item_start:int,doc_start:int,words:int>>"
+    return f"array<struct<item_id:{item_id},item_words:int,covered:int,tiles:{tiles}>>"
+
 
 
 class Seeds:
@@ -133,8 +134,8 @@ def _slices(benchmark: DataFrame) -> list[list[tuple[int, str | None]]]:
     ]
 
 
-def _finder(seeds: Seeds, coverage: float):
-    @F.pandas_udf(_MATCHES)
+def _finder(seeds: Seeds, coverage: float, items: DataFrame):
+    @F.pandas_udf(_matches_type(items.schema["item_id"].dataType.simpleString()))
     def find(texts: pd.Series) -> pd.Series:
         out = []
         for text in texts:
@@ -177,11 +178,11 @@ def contaminated(
     items = columns_of(benchmark, item_id=item, text=item_text)
     found = []
     for piece in _slices(items):
-        find = _finder(Seeds(piece), coverage)
+        find = _finder(Seeds(piece), coverage, items)
         hit = rows.select("doc_id", F.explode(find(F.col("text"))).alias("m"))
         found.append(hit.select("doc_id", "m.item_id", "m.item_words", "m.covered", "m.tiles"))
     if not found:
-        find = _finder(Seeds([]), coverage)
+        find = _finder(Seeds([]), coverage, items)
         empty = rows.limit(0).select("doc_id", F.explode(find(F.col("text"))).alias("m"))
         found.append(empty.select("doc_id", "m.item_id", "m.item_words", "m.covered", "m.tiles"))
     out = found[0]
@@ -196,7 +197,8 @@ def without_benchmark(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """``docs`` without the documents that hold a test item, all columns as they are. NULL and empty texts stay."""
-    for piece in _slices(columns_of(benchmark, item_id=item, text=item_text)):
-        find = _finder(Seeds(piece), COVERAGE)
+    items = columns_of(benchmark, item_id=item, text=item_text)
+    for piece in _slices(items):
+        find = _finder(Seeds(piece), COVERAGE, items)
         docs = docs.where(F.coalesce(F.size(find(F.col(f"`{text}`"))), F.lit(0)) <= 0)
     return docs

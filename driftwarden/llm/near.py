@@ -250,7 +250,7 @@ def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     counted = base.where("key IS NOT NULL").groupBy("key").agg(
         F.count(F.lit(1)).alias("copies"),
-        F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("at"), "doc_id", "raw", "tokens", "paths")).alias("s"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("at"), "doc_id", "raw", "tokens", "paths")).alias("s"),
     )
     sets = written(
         counted.select(
@@ -280,11 +280,9 @@ def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "near-links",
     )
     joined = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    smallest = Window.partitionBy("component")
-    classes = (
-        sets.join(joined.withColumnRenamed("node", "of"), F.col("node") == F.col("of"))
-        .select("node", F.min("rep").over(smallest).alias("class_id"))
-    )
+    placed = sets.select("node", "rep").join(joined, "node")
+    least = placed.groupBy("component").agg(F.min("rep").alias("class_id"))
+    classes = placed.join(least, "component").select("node", "class_id")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     per_set = (
         sets.select("node", "key", "rep", "copies").join(classes, "node", "left").join(links, "node", "left")
@@ -328,7 +326,9 @@ def _leaves(sets: DataFrame) -> DataFrame:
 def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each class, all columns as they are; texts without words all stay.
 
-    The document with the smallest id stays; of rows that repeat it, one.
+    The document with the smallest id stays; of rows that repeat it, the one
+    whose columns have the least hash, so that the choice does not depend on how
+    the rows lie.
     """
     found = near_documents(docs, key, text).where("kept").select(
         F.col("doc_id").alias("__id"), F.col("raw").alias("__raw"), (F.col("n_copies") > 1).alias("__copied")
@@ -337,7 +337,7 @@ def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     mine = docs.withColumn("__md5", F.md5(F.col(f"`{text}`").cast("binary")))
     joined = mine.join(found, F.col(f"`{key}`").eqNullSafe(F.col("__id")) & F.col("__md5").eqNullSafe(F.col("__raw")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    again = Window.partitionBy("__id", "__raw").orderBy(F.lit(0))
+    again = Window.partitionBy("__id", "__raw").orderBy(F.xxhash64(*columns))
     alone = joined.where(~F.col("__copied")).select(*columns)
     first = joined.where("__copied").withColumn("__n", F.row_number().over(again)).where("__n = 1").select(*columns)
     return alone.unionByName(first)

@@ -2,6 +2,7 @@
 
 import random
 import sys
+from pathlib import Path
 from collections import Counter
 
 import numpy as np
@@ -255,7 +256,7 @@ def test_large_groups_take_no_more_shards_than_they_need(spark, share):
 
 
 def test_pipeline(spark):
-    sys.path[:0] = ["/root/repo"]
+    sys.path[:0] = [str(Path(__file__).parents[2])]
     import corpus_pipeline as P
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -13,7 +13,7 @@ from llm_cases import documents
 from pyspark.sql import functions as F
 
 from driftwarden.llm import decontamination as D
-from driftwarden.llm import licenses, lines, personal, quality, toxicity
+from driftwarden.llm import licenses, lines, near, personal, quality, toxicity
 from driftwarden.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -103,6 +103,11 @@ def edited(rng, text, edits):
     return "".join(s)
 
 
+def allowed(a, b):
+    """Edits that the shorter of two lines allows."""
+    return max((edits for edits, least in lines.BANDS if min(len(a), len(b)) >= least), default=0)
+
+
 def test_edit_join_is_complete(spark):
     rng = random.Random(5)
     base = ["".join(rng.choice("abcd ") for _ in range(rng.randint(22, 60))).strip() for _ in range(40)]
@@ -116,25 +121,32 @@ def test_edit_join_is_complete(spark):
         frozenset((a, b))
         for i, a in enumerate(pool)
         for b in pool[:i]
-        if min(len(a), len(b)) >= lines.SHORTEST and distance(a, b) <= lines.EDITS
+        if 0 < distance(a, b) <= allowed(a, b)
     }
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_short_lines_are_compared(spark):
+def test_edits_follow_the_length(spark):
+    """Complete in every band and across the borders of the bands; very short lines are never linked."""
     rng = random.Random(6)
-    texts = ["".join(rng.choice("abcdef") for _ in range(rng.randint(1, 12))) for _ in range(150)]
-    texts += ["m" * 23, "m" * 24, "Page 1 of 10", "Page 2 of 10", "Page 99 of 10"]
-    texts += [edited(rng, t, rng.randint(1, 2)) for t in texts[:100] if len(t) > 3]
+    texts = ["".join(rng.choice("abc") for _ in range(n)) for n in [*range(1, 30)] * 4]
+    texts += ["m" * n for n in range(1, 30)] + ["Page 1 of 10", "Page 2 of 10", "Page 99 of 10", "Yes.", "The."]
+    texts += [edited(rng, t, rng.randint(1, 3)) for t in texts if len(t) > 3]
     texts = sorted({t for t in texts if t.strip()})
     frame = spark.createDataFrame([(t,) for t in texts], "line string").select(
         "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")
     )
     name = {r["h1"]: r["line"] for r in frame.collect()}
     got = [frozenset((name[r["h1"]], name[r["g1"]])) for r in lines.line_links(frame).collect()]
-    long = [t for t in texts if len(t) > lines.EDITS]
-    want = {frozenset((a, b)) for i, a in enumerate(long) for b in long[:i] if distance(a, b) <= lines.EDITS}
+    want = {frozenset((a, b)) for i, a in enumerate(texts) for b in texts[:i] if distance(a, b) <= allowed(a, b)}
     assert len(got) == len(set(got)) and set(got) == want
+    assert {len(p) for pair in want for p in pair} >= {9, 23, 24, 25}
+
+
+def test_everyday_words_stay(spark):
+    words = "Yes. The. Home Cat 100 101 USD EUR No one two six ten".split()
+    got = lines.repeated_lines(documents(spark, ["\n".join(words)])).first()
+    assert got["n_lines"] == len(words) and got["removed"] == []
 
 
 def test_repeated_lines(spark):
@@ -352,3 +364,54 @@ def test_awkward_tables(spark, odd, empty, name):
     else:
         assert len(got) == odd.count()
     assert run(empty).collect() == []
+
+
+# Row order ---------------------------------------------------------------------------------------------------------
+
+
+def arrangements(docs):
+    """The same rows dealt otherwise, sorted, joined and repartitioned by a key."""
+    ids = docs.select("doc_id").distinct()
+    return [docs.repartition(7), docs.orderBy("text"), docs.join(ids, "doc_id"), docs.repartition(3, "source"), docs.coalesce(1)]
+
+
+def rows_of(frame):
+    return sorted(map(repr, frame.collect()))
+
+
+def test_lines_and_licenses_do_not_depend_on_how_rows_lie(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 300")
+    files = docs.withColumn("path", F.concat_ws("/", "lang", (F.col("doc_id") % 7).cast("string"), F.col("doc_id").cast("string")))
+    want, licensed = rows_of(lines.repeated_lines(docs)), rows_of(licenses.license_files(files))
+    assert any("own" in r for r in licensed)
+    for other in arrangements(docs):
+        assert rows_of(lines.repeated_lines(other)) == want
+    for other in arrangements(files):
+        assert rows_of(licenses.license_files(other)) == licensed
+
+
+def test_toxicity_does_not_depend_on_how_rows_lie(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    again = labels.unionByName(labels.withColumn("toxic", 1 - F.col("toxic")).where("doc_id % 50 = 0"))  # labelled both ways
+
+    def scores(n):
+        found = toxicity.toxic_documents(docs.repartition(n), again.repartition(n))
+        return {r["doc_id"]: r["score"] for r in found.collect()}
+
+    three, eleven = scores(3), scores(11)
+    assert three.keys() == eleven.keys()
+    assert max(abs(three[k] - eleven[k]) for k in three) < 1e-12
+
+
+def test_text_ids(spark):
+    passage = " ".join(f"word{i}" for i in range(40))
+    docs = documents(spark, [passage, f"so {passage} end", "other words entirely", passage])
+    docs = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    bench = spark.createDataFrame([("item a", passage)], "item_id string, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, bench).collect()} == {(f"d{i}", "item a") for i in (0, 1, 3)}
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near.near_documents(docs).collect()}
+    assert got == {"d0": ("d0", 2), "d1": ("d0", 2), "d2": ("d2", 0), "d3": ("d0", 2)}
+    assert {r["doc_id"] for r in near.distinct_documents(docs).collect()} == {"d0", "d2"}
+    found = {r["doc_id"]: r["n_near"] for r in lines.repeated_lines(docs).collect()}
+    assert set(found) == {"d0", "d1", "d2", "d3"}
