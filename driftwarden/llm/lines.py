@@ -62,19 +62,37 @@ def segment_keys(line: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def _banded_keys(bands: Sequence[tuple[int, int]]) -> Column:
-    """(key, indexed) of a line in every band whose pairs it can belong to."""
-    size, found = F.length("line"), []
-    for at, (edits, least) in enumerate(bands):
-        entries = [gap == shift == 0 for gap, _, shift in _cuts(edits)]
-        fits = size >= least
-        if at + 1 < len(bands):
-            fits = fits & (size < bands[at + 1][1] + edits)
-        keys = F.zip_with(
-            segment_keys(F.col("line"), edits), F.array(*map(F.lit, entries)), lambda k, i: F.struct(k.alias("key"), i.alias("indexed"))
-        )
-        found.append(F.when(fits, keys).otherwise(F.array().cast("array<struct<key:bigint,indexed:boolean>>")))
-    return F.concat(*found)
+def _ranges(bands: Sequence[tuple[int, int]]) -> list[tuple[int, list[int]]]:
+    """(least length, edits of the bands whose pairs such a line can belong to), from one length to the next."""
+    ends = [next_least + edits for (edits, _), (_, next_least) in zip(bands, bands[1:], strict=False)]
+    spans = [(edits, least, end) for (edits, least), end in zip(bands, [*ends, None], strict=True)]
+    cuts = sorted({least for _, least in bands} | set(ends))
+    return [(n, [e for e, least, end in spans if least <= n and (end is None or n < end)]) for n in cuts]
+
+
+def _banded_keys(bands: Sequence[tuple[int, int]]) -> tuple[Column, Column]:
+    """Keys of a line in every band it can belong to, and which of the ranges of lengths it is in.
+
+    Plain arrays, one per range: these stay in generated code, where a lambda
+    over the keys does not.
+    """
+    size = F.length("line")
+    keys = number = None
+    for at, (least, edits) in reversed(list(enumerate(_ranges(bands)))):
+        held = F.concat(*[segment_keys(F.col("line"), e) for e in edits]) if len(edits) > 1 else segment_keys(F.col("line"), edits[0])
+        keys = F.when(size >= least, held) if keys is None else keys.when(size >= least, held)
+        number = F.when(size >= least, F.lit(at)) if number is None else number.when(size >= least, F.lit(at))
+    return keys, number
+
+
+def _is_entry(bands: Sequence[tuple[int, int]]) -> Column:
+    """Whether the key at a place of its range's array is an index entry."""
+    hit = F.lit(False)
+    for number, (_, edits) in enumerate(_ranges(bands)):
+        cuts = [c for e in edits for c in _cuts(e)]
+        entries = [at for at, (gap, _, shift) in enumerate(cuts) if gap == shift == 0]
+        hit = hit | ((F.col("number") == number) & F.col("at").isin(entries))
+    return hit
 
 
 def _close(line: str, other: str, bands: Sequence[tuple[int, int]]) -> Column:
@@ -99,8 +117,10 @@ def line_links(lines: DataFrame, bands: Sequence[tuple[int, int]] = BANDS) -> Da
     if any(least <= edits for edits, least in bands):
         raise ValueError("a line needs a character for each of its edits + 1 segments")
     long = lines.where(F.length("line") >= bands[0][1])
-    cut = long.select("h1", "h2", _banded_keys(bands).alias("keys")).dropDuplicates(["h1", "h2"])
-    keyed = cut.select("h1", F.explode("keys").alias("k")).select("h1", "k.key", "k.indexed")
+    keys, number = _banded_keys(bands)
+    cut = long.select("h1", "h2", number.alias("number"), keys.alias("keys")).dropDuplicates(["h1", "h2"])
+    keyed = cut.select("h1", "number", F.posexplode("keys").alias("at", "key"))
+    keyed = keyed.select("h1", "key", _is_entry(bands).alias("indexed"))
     same = Window.partitionBy("key")
     meeting = (
         keyed.withColumn("a", F.min("h1").over(same))
