@@ -20,6 +20,7 @@ for _name in (
     "connectors",
     "modelling",
     "governance",
+    "periods",
 ):
     importlib.import_module(f"driftwarden.catalog.{_name}")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from driftwarden.catalog.profiling import DISTRIBUTION, GROUPED_SQL, delta_cte, quality_ctes
 from driftwarden.catalog.registry import SCORED, melt_sql, query, rounded
+from driftwarden.common import melt, union_all
 from driftwarden.operators import columns as C
 from driftwarden.operators import drift as D
 from driftwarden.operators import profile as P
@@ -149,8 +150,12 @@ def _bins(spark, sf_dir):
 
 
 def specific_ctes(source: str = "sides", cat: list[str] = CAT, cont: list[str] = CONT) -> str:
-    """Everything up to the CTE ``specific``; categories are coded by the order of their levels."""
-    coded = {c: f"dense_rank() OVER (ORDER BY {c}) - 1" for c in cat} | {c: c for c in cont}
+    """Everything up to the CTE ``specific``; categories are coded by the order of the reference's levels."""
+    # Known levels in order, then one place that all levels the reference lacks share.
+    known = {c: f"({c} IN (SELECT {c} FROM {source} WHERE set_data = 'reference'))" for c in cat}
+    coded = {
+        c: f"dense_rank() OVER (ORDER BY CASE WHEN {k} THEN 0 ELSE 1 END, CASE WHEN {k} THEN {c} END) - 1" for c, k in known.items()
+    } | {c: c for c in cont}
     differences = [f"difference_{m}" for m in P.DELTA_METRICS]
     wide = ["p_value_drift", "exist_drift", *differences, "distance", "p_val_distance"]
     return f"""{tests_cte(source, cat, cont)}, {quality_ctes(source, cat, cont)}, {delta_cte()}, {ks_ctes(source, coded)},
@@ -182,20 +187,31 @@ def _merge(spark, sf_dir):
     return rounded(merged.select("feature", "p_value_drift", "exist_drift", "distance", "difference_mean"))
 
 
+GENERAL_NAMES = ["n_features", "n_drifted_features", "share_drifted_features", "dataset_drift", "real_drift", "prediction_drift"]
+GENERAL_CTES = """drift_general AS (SELECT count(*) AS n_features, sum(exist_drift) AS n_drifted_features,
+  avg(exist_drift) AS share_drifted_features, CAST(avg(exist_drift) >= 0.5 AS INTEGER) AS dataset_drift,
+  (SELECT real_drift FROM label_drift) AS real_drift, (SELECT prediction_drift FROM label_drift) AS prediction_drift FROM tests)"""
+
+
+def general_lines(general, by=()):
+    """The general drift row in long form."""
+    whole = general.withColumn("dataset_drift", F.col("dataset_drift").cast("int"))
+    return melt(whole, list(by), GENERAL_NAMES).withColumn("feature", F.lit("all"))
+
+
 @query(
     "feature_drift_job",
     f"""{GROUPED_SQL}, sides AS (SELECT *, CASE WHEN set_analysis = 'training' THEN 'reference' ELSE 'current' END AS set_data
-      FROM scored), {specific_ctes()}
+      FROM scored), {specific_ctes()}, {LABEL_DRIFT}, {GENERAL_CTES}
     SELECT 'drift__specific' AS mart, feature, metric, round(value, 6) AS value FROM specific
+    UNION ALL SELECT 'drift__general', 'all', metric, round(value, 6) FROM ({melt_sql('drift_general', [], GENERAL_NAMES)})
     UNION ALL SELECT 'feature__distribution', feature, metric, round(value, 6) FROM ({DISTRIBUTION})""",
 )
 def _job(spark, sf_dir):
     parts = D.feature_drift_job(stored_scored(spark, sf_dir), SPEC)
     columns = ["feature", "metric", "value"]
-    lines = [
-        parts[m].select(F.lit(m).alias("mart"), *columns) for m in ("drift__specific", "feature__distribution")
-    ]
-    return rounded(lines[0].unionByName(lines[1]))
+    parts["drift__general"] = general_lines(parts["drift__general"])
+    return rounded(union_all([df.select(F.lit(m).alias("mart"), *columns) for m, df in parts.items()]))
 
 
 # One month of orders against the next.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -14,9 +15,11 @@ from pyspark.sql import types as T
 
 from driftwarden.common import melt, melt_text, ratio, union_all, written
 from driftwarden.functions.scalars import band_number
+from driftwarden.operators import value_counts as V
 from driftwarden.operators.encode import LabelEncode, null_category
-from driftwarden.operators.profile import data_distribution_mart, data_quality_delta, data_quality_profile
+from driftwarden.operators.profile import DELTA_METRICS, data_distribution_mart, data_quality_delta, data_quality_profile
 from driftwarden.operators.quantiles import bucket_of, value_cuts
+from driftwarden.operators.value_counts import same
 from driftwarden.spec import ModelSpec
 
 # Send the helper functions themselves: executors need not have this package installed.
@@ -99,24 +102,24 @@ def ks_drift(
     cuts = value_cuts(long, ["feature"], "value")
     per_feature = sizes.join(F.broadcast(cuts), "feature")  # one row per feature
     placed = counts.join(F.broadcast(per_feature), "feature").withColumn("__bucket", bucket_of("value"))
-    placed = placed.select(
-        "feature", "__bucket", "value", "n", "m", (ratio(F.col("r"), F.col("n")) - ratio(F.col("c"), F.col("m"))).alias("d")
-    )
     frame = (Window.unboundedPreceding, Window.currentRow)
     inside = Window.partitionBy("feature", "__bucket").orderBy("value").rowsBetween(*frame)
     buckets = (
-        placed.withColumn("run", F.sum("d").over(inside))
+        placed.withColumn("run", ratio(F.sum("r").over(inside), F.col("n")) - ratio(F.sum("c").over(inside), F.col("m")))
         .groupBy("feature", "__bucket")
         .agg(
             F.max("run").alias("high"),
             F.min("run").alias("low"),
-            F.sum("d").alias("d"),
+            F.sum("r").alias("r"),
+            F.sum("c").alias("c"),
             F.first("n").alias("n"),
             F.first("m").alias("m"),
         )
     )
     before = Window.partitionBy("feature").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = F.coalesce(F.sum("d").over(before), F.lit(0.0))
+    # Counts are carried as whole numbers and divided once.
+    earlier = [F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("r", "c")]
+    base = ratio(earlier[0], F.col("n")) - ratio(earlier[1], F.col("m"))
     shifted = buckets.withColumn("base", base).select(
         "feature",
         "n",
@@ -249,11 +252,11 @@ def explode_hist_bins(arrays: DataFrame, set_column: str = "set_data") -> DataFr
 
 
 def encoded(df: DataFrame, cat_features: Sequence[str], set_column: str = "set_data") -> DataFrame:
-    """Categories as the codes of the reference set, ready for the numeric test."""
+    """Categories as the codes of the reference set, ready for the numeric test; a level it lacks has a code of its own."""
     if not cat_features:
         return df
     filled = df.withColumns({c: null_category(F.col(c)) for c in cat_features})
-    fitted = LabelEncode(cat_features).fit(filled.where(F.col(set_column) == "reference"))
+    fitted = LabelEncode(cat_features, "own").fit(filled.where(F.col(set_column) == "reference"))
     return fitted.transform(filled)
 
 
@@ -264,28 +267,116 @@ def merge_drift_tables(tests: DataFrame, distances: DataFrame, deltas: DataFrame
     )
 
 
+# Every run at once --------------------------------------------------------------------------------------------------
+
+#: Names under which label and prediction are counted beside the features.
+LABEL, PREDICTION = "__label", "__prediction"
+
+
+@dataclass
+class DriftTables:
+    """Test lines, label drift and the specific drift lines of every run."""
+
+    tests: DataFrame
+    general: DataFrame
+    specific: DataFrame
+
+
+def drift_of(
+    counts: DataFrame,
+    cat: Sequence[str],
+    cont: Sequence[str],
+    by: Sequence[str] = (),
+    confidence: float = 0.95,
+    drift_share: float = 0.5,
+) -> DriftTables:
+    """All drift numbers of every run from one written table of value counts."""
+    features = [*cat, *cont]
+    plain = counts.where(F.col("feature").isin(*features))
+    numbers = V.as_numbers(plain, by)
+    places = V.ranked(numbers, by)
+    found = V.distances(places, by)
+    p = kolmogorov_p(F.col("distance"), F.col("n").cast("double"), F.col("m").cast("double"))
+    distances = written(found.select(*by, "feature", "distance", p.alias("p_val_distance")), "distances")
+    sums = V.against_reference(counts, by)
+    chi = V.chi_square(sums, by).withColumn("p", chi_square_p(F.col("statistic"), F.col("freedom").cast("double")))
+    chi = written(chi, "chi-square")
+    numeric = distances.where(F.col("feature").isin(*cont)).select(
+        *by, "feature", F.lit("num").alias("feature_type"), F.col("distance").alias("statistic"), F.col("p_val_distance").alias("p_value_drift")
+    )
+    textual = chi.where(F.col("feature").isin(*cat)).select(
+        *by, "feature", F.lit("cat").alias("feature_type"), "statistic", F.col("p").alias("p_value_drift")
+    )
+    drifted = F.coalesce(F.col("p_value_drift") < F.lit(1.0 - confidence), F.lit(False)).cast("int")
+    tests = written(numeric.unionByName(textual).withColumn("exist_drift", drifted), "drift-tests")
+
+    def label(name: str) -> Column:
+        return F.max(F.when(F.col("feature") == name, F.col("p")))
+
+    labels = chi.where(F.col("feature").isin(LABEL, PREDICTION)).groupBy(*by).agg(
+        label(LABEL).alias("real_drift"), label(PREDICTION).alias("prediction_drift")
+    )
+    share = F.avg(F.col("exist_drift").cast("double"))
+    general = tests.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_features"),
+        F.sum("exist_drift").alias("n_drifted_features"),
+        share.alias("share_drifted_features"),
+        (share >= drift_share).alias("dataset_drift"),
+    )
+    general = general.alias("g").join(F.broadcast(labels).alias("l"), same("g", "l", by), "left")  # one line per run
+    general = general.select("g.*", "prediction_drift", "real_drift")
+
+    quality = V.quality(plain, by, places)
+    reference = quality.where(F.col("side") == V.REFERENCE).alias("r")
+    both = quality.where(F.col("side") == V.CURRENT).alias("c").join(F.broadcast(reference), "feature", "left")  # one line per feature
+    gaps = []
+    for m in DELTA_METRICS:
+        if m.endswith("_in_current_values_count"):
+            gaps.append(F.coalesce(F.col(f"c.{m}"), F.lit(0.0)).alias(f"difference_{m}"))
+        else:
+            gaps.append(F.abs(F.col(f"c.{m}") - F.col(f"r.{m}")).alias(f"difference_{m}"))
+    deltas = both.select(*[F.col(f"c.{b}").alias(b) for b in by], "feature", *gaps)
+    merged = tests.drop("feature_type", "statistic")
+    for more in (deltas, distances):
+        names = [c for c in more.columns if c not in (*by, "feature")]
+        joined = merged.alias("a").join(F.broadcast(more).alias("b"), same("a", "b", [*by, "feature"]), "left")  # runs x features
+        merged = joined.select("a.*", *[F.col(f"b.{c}") for c in names])
+    indicators = melt(merged, [*by, "feature"], [c for c in merged.columns if c not in (*by, "feature")])
+    side = F.when(F.col("side") == V.REFERENCE, "ref").otherwise("current")
+    bins = V.histograms(numbers, by).select(
+        *by,
+        "feature",
+        F.concat(F.lit("hist_"), side, F.lit("_"), F.col("bin").cast("string")).alias("metric"),
+        F.col("n").cast("double").alias("value"),
+    )
+    specific = union_all([indicators.withColumn("type_metric", F.lit("drift_indicator")), bins.withColumn("type_metric", F.lit("drift_bins"))])
+    return DriftTables(tests, general, specific)
+
+
 def specific_drift_mart(
     df: DataFrame,
     cat_features: Sequence[str],
     cont_features: Sequence[str],
     set_column: str = "set_data",
     confidence: float = 0.95,
-    tests: DataFrame | None = None,
-    distances: DataFrame | None = None,
-    codes: DataFrame | None = None,
 ) -> DataFrame:
-    """Every drift number of every feature as ``feature, metric, value, type_metric``.
+    """Every drift number of every feature as ``feature, metric, value, type_metric``, from one pass over the rows."""
+    counts = written(V.value_counts(df, cat_features, cont_features, set_column), "value-counts")
+    return drift_of(counts, cat_features, cont_features, confidence=confidence).specific
 
-    Test results, distances and encoded rows may be handed in when they exist.
-    """
+
+def coded_drift_mart(
+    codes: DataFrame,
+    cat_features: Sequence[str],
+    cont_features: Sequence[str],
+    distances: DataFrame,
+    set_column: str = "set_data",
+    confidence: float = 0.95,
+) -> DataFrame:
+    """The same lines for rows whose categories are numeric codes already; ``distances`` are theirs."""
     features = [*cat_features, *cont_features]
-    if codes is None:
-        codes = written(encoded(df, cat_features, set_column).select(set_column, *features), "codes")
-    if distances is None:
-        distances = written(ks_drift(codes, features, set_column), "distances")
-    if tests is None:
-        tests = feature_drift_test(df, cat_features, cont_features, set_column, confidence, distances)
-    deltas = data_quality_delta(data_quality_profile(df, cat_features, cont_features, set_column), set_column)
+    tests = feature_drift_test(codes, cat_features, cont_features, set_column, confidence, distances)
+    deltas = data_quality_delta(data_quality_profile(codes, cat_features, cont_features, set_column), set_column)
     merged = merge_drift_tables(tests.drop("feature_type", "statistic"), distances, deltas)
     indicators = melt(merged, ["feature"], [c for c in merged.columns if c != "feature"])
     bins = explode_hist_bins(histogram_arrays(feature_histograms(codes, features, set_column), set_column), set_column)
@@ -315,20 +406,17 @@ def as_reference_and_current(df: DataFrame, set_column: str = "set_data") -> Dat
 def feature_drift_job(df: DataFrame, spec: ModelSpec) -> dict[str, DataFrame]:
     """Distribution, general and specific drift tables of one scored frame.
 
-    The encoded rows are kept as a table, as are the one-line-per-feature
-    results that more than one mart reads.
+    All drift numbers come from one written table of value counts, which takes
+    one pass over the rows.
     """
-    cat, cont = spec.cat_features, spec.cont_features
-    features = [*cat, *cont]
     sides = as_reference_and_current(df)
-    codes = written(encoded(sides, cat).select("set_data", *features), "codes")
-    distances = written(ks_drift(codes, features), "distances")
-    tests = written(feature_drift_test(sides, cat, cont, distances=distances), "drift-tests")
-    labels = written(target_prediction_drift(sides, spec), "label-drift")
+    named = sides.withColumns({LABEL: F.col(spec.name_target), PREDICTION: F.col(spec.name_prediction)})
+    counts = written(V.value_counts(named, [*spec.cat_features, LABEL, PREDICTION], spec.cont_features), "value-counts")
+    drift = drift_of(counts, spec.cat_features, spec.cont_features)
     return {
         "feature__distribution": data_distribution_mart(df, spec),
-        "drift__general": drift_summary(tests, labels),
-        "drift__specific": specific_drift_mart(sides, cat, cont, tests=tests, distances=distances, codes=codes),
+        "drift__general": drift.general,
+        "drift__specific": drift.specific,
     }
 
 
@@ -349,9 +437,7 @@ def period_drift_job(
     distances = written(ks_drift(codes, features, set_column), "distances")
     reference = codes.where(F.col(set_column) == "reference")
     return {
-        "drift__specific": specific_drift_mart(
-            codes, cat_features, cont_features, set_column, distances=distances, codes=codes
-        ),
+        "drift__specific": coded_drift_mart(codes, cat_features, cont_features, distances, set_column),
         "drift__distance": distances,
         "bin_features": binary_features(reference, features),
     }

@@ -233,7 +233,8 @@ class LabelEncode(_Stage):
     """Sorted training levels as 0..n-1; a level unseen in training takes the code of the most frequent one.
 
     ``unseen='training'`` uses the training mode, which makes a row's code
-    independent of its neighbours; ``'batch'`` uses the mode of the rows given.
+    independent of its neighbours; ``'batch'`` uses the mode of the rows given;
+    ``'own'`` gives them the next free code.
     """
 
     def __init__(self, columns: Sequence[str], unseen: str = "training"):
@@ -244,6 +245,9 @@ class LabelEncode(_Stage):
         counts = written(level_counts(df, self.columns), "level-counts")  # the one pass over the rows
         common = modes(counts)
         levels = written(level_codes(counts), "codes")
+        if self.unseen == "own":
+            free = {r["feature"]: r["count"] for r in levels.groupBy("feature").count().collect()}  # one per column
+            return LabelEncodeModel(self.columns, {"mode": common, "codes": {c: free.get(c, 0) for c in self.columns}, "unseen": "own"}, levels)
         listed = [F.col("feature").eqNullSafe(c) & F.col("value").eqNullSafe(v) for c, v in common.items()]
         condition = listed[0]
         for c in listed[1:]:

@@ -62,10 +62,10 @@ def best_features(importance: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def shap_individual(shap: DataFrame, row_id: str, best: DataFrame, k: int = 10) -> DataFrame:
+def shap_individual(shap: DataFrame, row_id: str, best: DataFrame, k: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """One line per row and class with the attributions of the best features as columns."""
     named = shap.join(F.broadcast(best.select("feature", "name")), "feature")  # k rows
-    return named.groupBy(row_id, "name_classes").agg(
+    return named.groupBy(*by, row_id, "name_classes").agg(
         *[F.max(F.when(F.col("name") == f"feature_{i}", F.col("value"))).alias(f"feature_{i}") for i in range(k)]
     )
 

@@ -126,7 +126,11 @@ def class_auc(df: DataFrame, spec: ModelSpec, by: Sequence[str] = (), labels: Co
             .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         )
         by = ["segment_label"]
-    cuts = value_cuts(scores, ["name_classes"], "score")
+    return auc_of_counts(counts, by, value_cuts(scores, ["name_classes"], "score"))
+
+
+def auc_of_counts(counts: DataFrame, by: Sequence[str], cuts: DataFrame) -> DataFrame:
+    """``class_auc`` from the counts ``by, name_classes, score, pos, neg`` and the borders of the score buckets."""
     placed = counts.join(F.broadcast(cuts), "name_classes").withColumn("__bucket", bucket_of("score"))
     placed = placed.select(*by, "name_classes", "__bucket", "score", "pos", "neg")
     running = (Window.unboundedPreceding, Window.currentRow)

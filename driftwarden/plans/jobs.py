@@ -22,6 +22,7 @@ from driftwarden.operators.encode import Preprocessor, encode_preprocess
 from driftwarden.operators.joins import enrich_features, leakage_guard
 from driftwarden.operators.quantiles import exact_percentiles
 from driftwarden.operators.windows import rolling_bands, select_features
+from driftwarden.plans.periods import period_marts
 from driftwarden.plans.scored import build_scored
 from driftwarden.sources.marts import append_mart
 from driftwarden.sources.models import SavedModel, save_model
@@ -302,21 +303,17 @@ def train_job(
     return result
 
 
-def governance_run(
-    trained: Training | SavedModel, reference: DataFrame, current: DataFrame, source: str, costs: DataFrame | None = None
-) -> dict[str, DataFrame]:
-    """Score both sides, keep the scored rows as a table, and build every mart from it."""
-    spec = trained.spec.with_(source=source)
-    spark = reference.sparkSession
+def scored_sides(
+    trained: Training | SavedModel, reference: DataFrame, current: DataFrame, spec: ModelSpec
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides scored, as one written frame with the features as they came in, and the current rows encoded."""
     fitted, model = trained.preprocessor, trained.model
     features = fitted.output_columns
     sides = []
     for side in (reference, current):
         raw = prepare(side, spec).drop("split", "validation")
         named = raw.withColumns({f"__raw_{c}": F.col(c) for c in spec.features})
-        numbered = written(T.score(model, fitted.transform(named), spec.sub_cols), "scored-side")
-        sides.append(numbered)
-    row_id = "row_key"
+        sides.append(written(T.score(model, fitted.transform(named), spec.sub_cols), "scored-side"))
 
     def restored(side: DataFrame) -> DataFrame:
         """Scores with the features as they came in."""
@@ -324,17 +321,32 @@ def governance_run(
         return out.withColumnsRenamed({f"__raw_{c}": c for c in spec.features})
 
     scored = written(build_scored(restored(sides[0]), restored(sides[1]), spec), "scored")
-    values = M.segment_values(scored.where("set_analysis = 'predict'"), spec)
-    spec = spec.with_(segment_values=tuple(values))
     # Named fields: NULL ids and ids that hold a separator stay apart.
     key = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in spec.id_features]), {"ignoreNullFields": "false"})
-    coded = sides[1].withColumn(row_id, key)
+    coded = sides[1].withColumn(ROW_ID, key)
     if spec.segment in spec.features:
         coded = coded.withColumn(spec.segment, F.col(f"__raw_{spec.segment}"))
+    return scored, coded
+
+
+#: Column that names a row in the individual attributions.
+ROW_ID = "row_key"
+
+
+def governance_run(
+    trained: Training | SavedModel, reference: DataFrame, current: DataFrame, source: str, costs: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Score both sides, keep the scored rows as a table, and build every mart from it."""
+    spec = trained.spec.with_(source=source)
+    spark = reference.sparkSession
+    features = trained.preprocessor.output_columns
+    scored, coded = scored_sides(trained, reference, current, spec)
+    values = M.segment_values(scored.where("set_analysis = 'predict'"), spec)
+    spec = spec.with_(segment_values=tuple(values))
     numeric = [f for f in features if f != spec.segment]
-    shap = written(T.tree_shap(model, coded, row_id, features, spec.sub_cols, [spec.segment]), "shap")
-    importance = T.gain_importance(model, spark, features)
-    marts = governance_marts(scored, spec, shap, importance, numeric, row_id, costs, coded)
+    shap = written(T.tree_shap(trained.model, coded, ROW_ID, features, spec.sub_cols, [spec.segment]), "shap")
+    importance = T.gain_importance(trained.model, spark, features)
+    marts = governance_marts(scored, spec, shap, importance, numeric, ROW_ID, costs, coded)
     if source == "training":
         marts["metadata__constants"] = spec_constants(spark, spec)
         marts["perf__hpo_trials"] = T.trials_table(spark, getattr(trained, "study", None))
@@ -357,17 +369,36 @@ def monitor(trained: Training | SavedModel, training_rows: DataFrame, production
     return governance_run(trained, reference, production, "predict")
 
 
+def period_run(trained: Training | SavedModel, reference: DataFrame, production: DataFrame) -> dict[str, DataFrame]:
+    """The marts of every period of the production rows against one reference, in one pass over either."""
+    spec = trained.spec.with_(source="predict")
+    features = trained.preprocessor.output_columns
+    scored, coded = scored_sides(trained, reference, production, spec)
+    keep = list(dict.fromkeys([spec.segment, spec.period]))
+    shap = written(T.tree_shap(trained.model, coded, ROW_ID, features, spec.sub_cols, keep), "shap")
+    numeric = [f for f in features if f != spec.segment]
+    marts = period_marts(scored, spec, shap, numeric, coded)
+    best = E.best_features(T.gain_importance(trained.model, reference.sparkSession, features))
+    marts["feature__explainer_individual"] = E.shap_individual(shap, ROW_ID, best, by=[spec.period])
+    return marts
+
+
 def monitor_periods(
     trained: Training | SavedModel, training_rows: DataFrame, production: DataFrame, root: str, execution: str
 ) -> list[str]:
-    """Monitor every period of the production table in order and append its marts; returns the periods."""
+    """Monitor every period of the production table and store its marts; returns the periods.
+
+    All periods are scored, summed and written together: the reference (the
+    newest training period) is scored and counted once, and a repeated run
+    replaces its lines.
+    """
     spec = trained.spec.with_(source="predict")
     rows = prepare(production, spec)
-    periods = [r[spec.period] for r in C.read_period_batches(rows, spec.period).collect()]
-    for p in periods:
-        marts = monitor(trained, training_rows, rows.where(F.col(spec.period) == F.lit(p)))
-        write_marts(marts, spec, root, execution, str(p))
-    return [str(p) for p in periods]
+    reference = C.latest_period(prepare(training_rows, spec), spec.period)
+    marts = period_run(trained, reference, rows)
+    named = {name: df.withColumnRenamed(spec.period, "periodo_execution_mg") for name, df in marts.items()}
+    write_marts(named, spec, root, execution, None)
+    return [str(r[spec.period]) for r in C.read_period_batches(rows, spec.period).collect()]
 
 
 def write_marts(marts: Mapping[str, DataFrame], spec: ModelSpec, root: str, execution: str, period: str | None) -> list[str]:

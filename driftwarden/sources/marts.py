@@ -25,8 +25,9 @@ def mart_frame(
     if out is None:
         return None
     lineage = [c for c in ("id_modelo", "id_execution_mg", "source") if c in out.columns]
-    if mart not in STATIC_MARTS and period is not None:
+    if mart not in STATIC_MARTS and period is not None and "periodo_execution_mg" not in out.columns:
         out = out.withColumn("periodo_execution_mg", F.lit(period))
+    if "periodo_execution_mg" in out.columns:
         lineage.insert(2, "periodo_execution_mg")
     rest = sorted(c for c in out.columns if c not in lineage)
     return out.select(
@@ -37,17 +38,29 @@ def mart_frame(
     )
 
 
+#: Partition that holds the lines of one source, period and execution of a model.
+RUN = "run_key"
+
+
 def append_mart(
     df: DataFrame, mart: str, spec: ModelSpec, root: str, execution: str, period: str | None = None
 ) -> str | None:
-    """Append to the mart; returns its path, or ``None`` when a prediction run does not write it."""
+    """Add to the mart; returns its path, or ``None`` when a prediction run does not write it.
+
+    Lines of another source, period or execution stay. Those of the same are
+    replaced, so a run that is repeated after a failure leaves each line once. A
+    frame may bring its periods along as ``periodo_execution_mg``.
+    """
     out = mart_frame(df, mart, spec, execution, period)
     if out is None:
         return None
+    own = F.col("periodo_execution_mg").cast("string") if "periodo_execution_mg" in out.columns else F.lit(period)
+    key = F.md5(F.concat_ws("|", F.lit(spec.source), F.coalesce(own, F.lit("-")), F.lit(execution)))
     path = mart_path(root, mart)
-    out.write.mode("append").partitionBy("id_modelo").parquet(path)
+    writer = out.withColumn(RUN, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("id_modelo", RUN).parquet(path)
     return path
 
 
 def read_mart(spark: SparkSession, root: str, mart: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(mart_path(root, mart))
+    return spark.read.option("mergeSchema", True).parquet(mart_path(root, mart)).drop(RUN)
