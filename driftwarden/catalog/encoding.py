@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from driftwarden.catalog.registry import query, rounded
 from driftwarden.operators import encode as N
+from driftwarden.operators.chain import encode_preprocess
 from driftwarden.plans.scored import read
 
 # Orders with gaps as NULL and as text, and a late level that training never saw.
@@ -204,5 +205,5 @@ CHAIN = f"""{FILLED}, tr AS (SELECT * FROM f WHERE early),
 @query("encode_preprocess", CHAIN)
 def _chain(spark, sf_dir):
     rows = gaps(spark, sf_dir)
-    fitted = N.encode_preprocess(rows.where("early"), ["priority"], ["o_totalprice"], steps_cont=("null", "rs"))
+    fitted = encode_preprocess(rows.where("early"), ["priority"], ["o_totalprice"], steps_cont=("null", "rs"))
     return rounded(fitted.transform(rows))

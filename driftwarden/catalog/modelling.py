@@ -10,7 +10,7 @@ from driftwarden.functions.scalars import argmax_label
 from driftwarden.operators import metrics as M
 from driftwarden.operators import split as S
 from driftwarden.operators import training as T
-from driftwarden.operators.encode import encode_preprocess
+from driftwarden.operators.chain import encode_preprocess
 from driftwarden.plans.scored import ORDERS_SPEC, read, scored_frame
 from driftwarden.sources import models
 

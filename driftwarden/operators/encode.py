@@ -91,6 +91,8 @@ def attach_level(df: DataFrame, levels: DataFrame, column: str, wanted: str, nam
 class FittedStage(Model):
     """A fitted stage: its columns, a dictionary of scalars, and possibly a level table."""
 
+    with_levels = False
+
     def __init__(self, columns: Sequence[str], values: dict | None = None, levels: DataFrame | None = None):
         super().__init__()
         self.columns = list(columns)
@@ -113,6 +115,8 @@ class NullCategory(FittedStage):
 
 
 class ParetoBucketModel(FittedStage):
+    with_levels = True
+
     def _transform(self, df: DataFrame) -> DataFrame:
         for c in self.columns:
             kept = F.col("__kept").isNotNull() | F.coalesce(F.col(c) == MISSING, F.lit(False))
@@ -122,6 +126,8 @@ class ParetoBucketModel(FittedStage):
 
 
 class LabelEncodeModel(FittedStage):
+    with_levels = True
+
     def _transform(self, df: DataFrame) -> DataFrame:
         fallback = self.values["mode"]
         if self.values["unseen"] == "batch":
@@ -147,6 +153,8 @@ def _code_of(levels: DataFrame, feature: str, value: str | None) -> int | None:
 
 
 class MultiLabelEncodeModel(FittedStage):
+    with_levels = True
+
     @property
     def output_columns(self) -> list[str]:
         return [c + self.values["suffix"] for c in self.columns]
@@ -175,7 +183,28 @@ class OneHotModel(FittedStage):
         return df.withColumns(flags).drop(*self.columns)
 
 
+class LevelChain(FittedStage):
+    """A composed chain of categorical steps: one lookup per column, a default for levels that are not listed."""
+
+    with_levels = True
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        kind = self.values["type"]
+        if self.values["fill"]:
+            df = df.withColumns({c: null_category(F.col(f"`{c}`")) for c in self.columns})
+        if not self.values["lookup"]:
+            return df
+        for c in self.columns:
+            table = self.levels.where(F.col("feature") == c).select(F.col("value").alias("__value"), F.col("out").alias("__out"), F.lit(True).alias("__hit"))
+            joined = df.join(table, F.col(f"`{c}`").cast("string") == F.col("__value"), "left")
+            out = F.when(F.col("__hit"), F.col("__out")).otherwise(F.lit(self.values["default"].get(c)))
+            df = joined.withColumn(c, out.cast(kind)).drop("__value", "__out", "__hit")
+        return df
+
+
 class CategoryTypeModel(FittedStage):
+    with_levels = True
+
     def _transform(self, df: DataFrame) -> DataFrame:
         for c in self.columns:
             df = attach_level(df, self.levels, c, "value", "__kept")
@@ -281,6 +310,17 @@ class MultiLabelEncode(_Stage):
         return MultiLabelEncodeModel(columns, {"suffix": self.suffix, "handle_unknown": self.handle_unknown}, levels)
 
 
+def one_hot_of(counts: DataFrame, columns: Sequence[str]) -> OneHotModel:
+    """The dummies of listed levels (``feature, value``) and one for NULL."""
+    rows = counts.select("feature", "value").collect()  # max_levels per column
+    dummies = []
+    for c in columns:
+        values = sorted(r["value"] for r in rows if r["feature"] == c)
+        dummies += [(clean_name(f"{c}_ohe_{v}"), c, v) for v in values]
+        dummies.append((clean_name(f"{c}_ohe_nan"), c, None))
+    return OneHotModel(columns, {"dummies": dummies})
+
+
 class OneHot(_Stage):
     """A 0/1 column per training level and one for NULL.
 
@@ -297,13 +337,7 @@ class OneHot(_Stage):
         sizes = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
         if not sizes.where(F.col("n") > self.max_levels).isEmpty():
             raise ValueError(f"more than {self.max_levels} levels per column: bucket the levels before one-hot encoding")
-        rows = counts.select("feature", "value").collect()  # max_levels per column
-        dummies = []
-        for c in self.columns:
-            values = sorted(r["value"] for r in rows if r["feature"] == c)
-            dummies += [(clean_name(f"{c}_ohe_{v}"), c, v) for v in values]
-            dummies.append((clean_name(f"{c}_ohe_nan"), c, None))
-        return OneHotModel(self.columns, {"dummies": dummies})
+        return one_hot_of(counts, self.columns)
 
 
 class CategoryType(_Stage):
@@ -453,13 +487,12 @@ class Preprocessor(FittedStage):
         stages = []
         for i, d in enumerate(content["stages"]):
             kind = known[d["kind"]]
-            with_levels = kind in (ParetoBucketModel, LabelEncodeModel, MultiLabelEncodeModel, CategoryTypeModel)
-            levels = spark.read.parquet(f"{path}/levels_{i}") if with_levels else None
+            levels = spark.read.parquet(f"{path}/levels_{i}") if kind.with_levels else None
             stages.append(kind(d["columns"], d["values"], levels))
         return Preprocessor(stages, content["cat"], content["cont"])
 
 
-def encode_preprocess(
+def fit_stages(
     df: DataFrame,
     cat_features: Sequence[str],
     cont_features: Sequence[str],
@@ -467,7 +500,10 @@ def encode_preprocess(
     steps_cont: Sequence[str] = ("skip",),
     constants: Mapping | None = None,
 ) -> Preprocessor:
-    """Fit the configured categorical and numeric steps on ``df``."""
+    """Fit the configured steps one after the other, each on the rows as the steps before leave them.
+
+    ``chain.encode_preprocess`` gives the same results from one pass over the rows.
+    """
     settings = DEFAULT_CONSTANTS | dict(constants or {})
     stages: list[FittedStage] = []
     cat, cont = list(cat_features), list(cont_features)

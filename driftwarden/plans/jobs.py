@@ -18,7 +18,8 @@ from driftwarden.operators import metrics as M
 from driftwarden.operators import profile as P
 from driftwarden.operators import split as S
 from driftwarden.operators import training as T
-from driftwarden.operators.encode import Preprocessor, encode_preprocess
+from driftwarden.operators.chain import encode_preprocess
+from driftwarden.operators.encode import Preprocessor
 from driftwarden.operators.joins import enrich_features, leakage_guard
 from driftwarden.operators.quantiles import exact_percentiles
 from driftwarden.operators.windows import rolling_bands, select_features

@@ -12,6 +12,7 @@ from driftwarden.functions import text as TX
 from driftwarden.operators import columns as C
 from driftwarden.operators import drift as D
 from driftwarden.operators import encode as N
+from driftwarden.operators.chain import encode_preprocess
 from driftwarden.operators import metrics as M
 from driftwarden.operators import ordering as O
 from driftwarden.operators import profile as P
@@ -276,10 +277,11 @@ def test_one_hot_limits_levels(spark):
 
 def test_preprocessor_survives_saving(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.0), ("b", None), ("a", 5.0)], "c string, x double")
-    fitted = N.encode_preprocess(df, ["c"], ["x"], steps_cat=("null", "le"), steps_cont=("null", "ms"))
-    fitted.save(str(tmp_path / "pre"))
-    again = N.Preprocessor.load(spark, str(tmp_path / "pre"))
-    assert sorted(map(tuple, fitted.transform(df).collect())) == sorted(map(tuple, again.transform(df).collect()))
+    for k, fit in enumerate((encode_preprocess, N.fit_stages)):
+        fitted = fit(df, ["c"], ["x"], steps_cat=("null", "le"), steps_cont=("null", "ms"))
+        fitted.save(str(tmp_path / f"pre{k}"))
+        again = N.Preprocessor.load(spark, str(tmp_path / f"pre{k}"))
+        assert sorted(map(tuple, fitted.transform(df).collect())) == sorted(map(tuple, again.transform(df).collect()))
 
 
 # --------------------------------------------------------------- columns and joins
