@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftwarden.catalog.registry import query
+from driftwarden.common import written
+from driftwarden.operators import folds as N
 from driftwarden.operators import split as S
 from driftwarden.plans.scored import read
 
@@ -158,3 +160,32 @@ def _undersampled_kfold(spark, sf_dir):
         "o_orderkey", F.when(F.col("o_orderkey") % 29 == 0, 1).otherwise(0).alias("y")
     )
     return S.undersampled_kfold(rows, "o_orderkey", "y", ["o_orderkey"])
+
+
+# Undersampling and the leakage guard inside every fold; an entity's rows lie far apart, so most folds share some.
+MEMBER_SQL = f"""WITH o AS (SELECT o_orderkey, o_orderkey % 4001 AS entity, CASE WHEN o_orderkey % 29 = 0 THEN 1 ELSE 0 END AS y FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY y) AS n FROM o),
+f AS (SELECT o_orderkey, entity, y, {block_sql('i', 'n')} AS own FROM r),
+runs AS (SELECT f.*, CAST(g AS INTEGER) AS fold FROM f, (SELECT unnest(range(0, 5)) AS g)),
+a AS (SELECT fold, count(*) AS a FROM runs WHERE fold <> own AND y = 1 GROUP BY fold),
+t AS (SELECT *, row_number() OVER (PARTITION BY fold, y ORDER BY {OH}, o_orderkey) AS place FROM runs WHERE fold <> own),
+train AS (SELECT t.* FROM t JOIN a USING (fold) WHERE y = 1 OR place <= floor(a / 0.1::DOUBLE - a)),
+members AS (SELECT fold, 'training' AS role, y, entity FROM train UNION ALL
+  SELECT fold, 'validation', y, entity FROM runs WHERE fold = own
+    AND NOT EXISTS (SELECT 1 FROM train WHERE train.fold = runs.fold AND train.entity = runs.entity))"""
+
+
+@query(
+    "fold_members",
+    f"""{MEMBER_SQL} SELECT fold, role, y, count(*) AS n, CAST(0 AS BIGINT) AS shared_entities FROM members GROUP BY fold, role, y""",
+)
+def _members(spark, sf_dir):
+    key = F.col("o_orderkey")
+    rows = orders(spark, sf_dir).select("o_orderkey", (key % 4001).alias("entity"), F.when(key % 29 == 0, 1).otherwise(0).alias("y"))
+    folded = N.with_roles(S.stratified_kfold(rows, "y", ["o_orderkey"], 5, "own"), "own", 5)
+    thinned = N.undersampled(folded, ["o_orderkey"], "y", 5)
+    found = written(N.members(N.guarded(thinned, ["o_orderkey"], "entity", ["o_orderkey"], 5), ["entity", "y"]), "fold-members")
+    sides = found.groupBy("fold", "entity").agg(F.count_distinct("role").alias("sides"))
+    shared = sides.groupBy("fold").agg(F.count_if(F.col("sides") > 1).alias("shared_entities"))
+    counts = found.groupBy("fold", "role", "y").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(shared, "fold").select("fold", "role", "y", "n", "shared_entities")

@@ -7,7 +7,7 @@ or global row numbers, never from sorting a whole class in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,11 +56,44 @@ def three_way_split(
     return out.withColumn("split", _label("__part", "train", "validation", "test")).drop("__part")
 
 
+def _cut_in_order(
+    df: DataFrame, order: Sequence[str], part: Callable[[Column, Column], Column], name: str, label: str | None = None
+) -> DataFrame:
+    """``df`` with the part each row falls in when its class is cut at ranks of the order.
+
+    ``part(i, n)`` is the part of row ``i`` (from 0) of ``n``; parts rise with
+    ``i``. Only the order columns and the label are sorted. What comes back to
+    the rows is the first key of every part, by which each row places itself, so
+    the rows themselves are neither shuffled nor written. ``order`` ends in a
+    unique key; rows that are equal in it share the part of the last of them.
+    """
+    key = [F.col(f"`{c}`").alias(f"__o{i}") for i, c in enumerate(order)]
+    group = F.lit(0) if label is None else F.col(f"`{label}`")
+    narrow = df.select(group.alias("__class"), *key)
+    numbered = global_row_number(narrow, ["__class", *[f"__o{i}" for i in range(len(order))]], "__rn")
+    sizes = numbered.groupBy("__class").agg(F.min("__rn").alias("__start"), F.count(F.lit(1)).alias("__n"))
+    same = F.col("r.__class").eqNullSafe(F.col("s.__class"))
+    placed = numbered.alias("r").join(F.broadcast(sizes).alias("s"), same)  # one row per class
+    columns = [F.col(f"r.__o{i}").alias(f"__o{i}") for i in range(len(order))]
+    placed = placed.select("r.__class", F.struct(*columns).alias("__key"), part(F.col("__rn") - F.col("__start"), F.col("__n")).alias("__part"))
+    firsts = placed.groupBy("__class", "__part").agg(F.min("__key").alias("__key"))
+    firsts = firsts.groupBy("__class").agg(F.array_sort(F.collect_list(F.struct("__key", "__part"))).alias("__firsts"))  # one per part
+    own = F.struct(*key)
+    joined = df.withColumn("__own", own).withColumn("__class", group).alias("d").join(
+        F.broadcast(firsts).alias("f"), F.col("d.__class").eqNullSafe(F.col("f.__class"))
+    )
+    reached = F.element_at(F.filter("__firsts", lambda f: f["__key"] <= F.col("__own")), -1)["__part"]
+    return joined.select(*[F.col(f"d.`{c}`") for c in df.columns], reached.alias(name))
+
+
 def time_split(df: DataFrame, order: Sequence[str], test_size: float) -> DataFrame:
     """The first int((1 - test_size) * n) rows in time order train, the rest validate."""
-    numbered = global_row_number(df, order, "__rn")
-    limit = int(round(1 - test_size, 12) * df.count())
-    return numbered.withColumn("split", F.when(F.col("__rn") <= limit, "train").otherwise("validation")).drop("__rn")
+
+    def part(i: Column, n: Column) -> Column:
+        return F.when(i < F.floor(F.lit(round(1 - test_size, 12)) * n), 0).otherwise(1)
+
+    out = _cut_in_order(df, order, part, "__part")
+    return out.withColumn("split", F.when(F.col("__part") == 0, "train").otherwise("validation")).drop("__part")
 
 
 def group_split(df: DataFrame, group: Column) -> DataFrame:
@@ -105,18 +138,12 @@ def block_fold(i: Column, n: Column, k: int) -> Column:
 
 
 def kfold(df: DataFrame, order: Sequence[str], k: int = 5, name: str = "fold") -> DataFrame:
-    numbered = global_row_number(df, order, "__rn")
-    n = F.lit(df.count())
-    return numbered.withColumn(name, block_fold(F.col("__rn") - 1, n, k)).drop("__rn")
+    return _cut_in_order(df, order, lambda i, n: block_fold(i, n, k), name)
 
 
 def stratified_kfold(df: DataFrame, label: str, order: Sequence[str], k: int = 5, name: str = "fold") -> DataFrame:
-    """Contiguous blocks inside each class."""
-    numbered = global_row_number(df, [label, *order], "__rn")
-    classes = numbered.groupBy(label).agg(F.min("__rn").alias("__start"), F.count(F.lit(1)).alias("__n"))
-    placed = numbered.join(F.broadcast(classes), label)  # one row per class
-    fold = block_fold(F.col("__rn") - F.col("__start"), F.col("__n"), k)
-    return placed.withColumn(name, fold).select(*df.columns, name)
+    """Contiguous blocks inside each class; NULL is a class."""
+    return _cut_in_order(df, order, lambda i, n: block_fold(i, n, k), name, label)
 
 
 def timeseries_kfold(df: DataFrame, order: Sequence[str], k: int = 5, name: str = "fold") -> DataFrame:
@@ -125,13 +152,13 @@ def timeseries_kfold(df: DataFrame, order: Sequence[str], k: int = 5, name: str
     Rows that never validate get fold -1, so the training rows of fold f are
     exactly those with a smaller fold number.
     """
-    n = df.count()
-    block = n // (k + 1)
-    start = n - k * block
-    numbered = global_row_number(df, order, "__rn")
-    place = F.col("__rn") - 1 - F.lit(start)
-    fold = F.when(place < 0, -1).otherwise(F.floor(place / F.lit(max(block, 1)))).cast("int")
-    return numbered.withColumn(name, fold).drop("__rn")
+
+    def part(i: Column, n: Column) -> Column:
+        block = F.floor(n / F.lit(k + 1))
+        place = i - (n - F.lit(k) * block)
+        return F.when(place < 0, -1).otherwise(F.floor(place / F.greatest(block, F.lit(1)))).cast("int")
+
+    return _cut_in_order(df, order, part, name)
 
 
 def group_kfold(df: DataFrame, group: Column, name: str = "fold") -> DataFrame:

@@ -21,7 +21,8 @@ from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwarden.common import melt, scratch_path
+from driftwarden.common import melt, scratch_path, union_all
+from driftwarden.operators.folds import ROLES, VALIDATION
 
 # Send the helper functions themselves: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -307,6 +308,28 @@ def score_folds(
     return out.drop(*([fold] if fold in df.columns else [])).withColumnRenamed("fold_run", "fold")
 
 
+def train_members(
+    df: DataFrame, features: Sequence[str], label: str, n_classes: int, n_folds: int, params: Mapping | None = None
+) -> list[PipelineModel]:
+    """One model per fold from the roles of the rows: training rows fit, validation rows steer early stopping."""
+    models = []
+    for f in range(n_folds):
+        role = F.get(ROLES, F.lit(f))
+        rows = df.where(role.isNotNull()).withColumn("__validation", role == VALIDATION)
+        models.append(train_tabular(rows, features, label, n_classes, params, "__validation"))
+    return models
+
+
+def score_members(models: Sequence[PipelineModel], df: DataFrame, sub_cols: Sequence[str]) -> DataFrame:
+    """Every model's scores on the rows that have a role in its fold, tagged ``fold`` and ``split``."""
+    parts = []
+    for f, m in enumerate(models):
+        role = F.get(ROLES, F.lit(f))
+        rows = df.where(role.isNotNull()).withColumns({"split": role, "fold": F.lit(f)}).drop(ROLES)
+        parts.append(score(m, rows, sub_cols))
+    return union_all(parts)
+
+
 # ------------------------------------------------------------------ tree attribution
 
 

@@ -14,6 +14,7 @@ from driftwarden.functions.scalars import argmax_label
 from driftwarden.operators import columns as C
 from driftwarden.operators import drift as D
 from driftwarden.operators import explain as E
+from driftwarden.operators import folds as N
 from driftwarden.operators import metrics as M
 from driftwarden.operators import profile as P
 from driftwarden.operators import split as S
@@ -182,15 +183,31 @@ def split_rows(df: DataFrame, spec: ModelSpec, method: str, key: Sequence[str],
     raise ValueError(f"unknown split method {method}")
 
 
-def fold_column(df: DataFrame, spec: ModelSpec, method: str, key: Sequence[str], k: int, name: str) -> DataFrame:
+def fold_roles(
+    df: DataFrame, spec: ModelSpec, method: str, key: Sequence[str], k: int, guard: bool = False, c_min: float = 0.1, seed: int = S.SEED
+) -> tuple[DataFrame, int]:
+    """``df`` with a role per fold and row, and the number of folds.
+
+    Undersampling thins the training negatives of every fold, the guard takes
+    repeated ids and validation entities that train out of every fold.
+    """
     order = [spec.period, *[c for c in key if c != spec.period]]
     if method in ("stratified", "undersampling"):
-        return S.stratified_kfold(df, spec.name_target, order, k, name)
-    if method == "timeseries":
-        return S.timeseries_kfold(df, order, k, name)
-    if method == "group":
-        return S.group_kfold(df, F.month(spec.period), name)
-    return S.kfold(df, order, k, name)
+        folded = S.stratified_kfold(df, spec.name_target, order, k, "__own")
+    elif method == "timeseries":
+        folded = S.timeseries_kfold(df, order, k, "__own")
+    elif method == "group":
+        folded = S.group_kfold(df, F.month(spec.period), "__own")
+        k = folded.agg(F.max("__own")).first()[0] + 1
+    else:
+        folded = S.kfold(df, order, k, "__own")
+    out = N.with_roles(folded, "__own", k, method == "timeseries").drop("__own")
+    if method == "undersampling":
+        out = N.undersampled(written(out, "fold-roles"), key, spec.name_target, k, c_min, seed)
+    if guard:
+        entity = next(c for c in spec.id_features if c != spec.period)
+        out = N.guarded(out, key, entity, [spec.period], k)
+    return out, k
 
 
 def train_job(
@@ -248,12 +265,11 @@ def train_job(
                 {"fold": F.lit(0), "split": F.when(F.col("validation"), "validation").otherwise("training")}
             )
             return [model], scored
-        method = choice.get("method", "stratified")
-        folded = written(fold_column(coded, spec, method, key, n_folds, "own_fold"), "folds")
-        n = n_folds if method != "group" else folded.select("own_fold").distinct().count()
-        ordered = method == "timeseries"
-        models = T.cross_validate(folded, features, spec.name_target, spec.n_classes, "own_fold", n, params, ordered)
-        return models, T.score_folds(models, folded, "own_fold", spec.sub_cols, ordered)
+        method, guard = choice.get("method", "stratified"), bool(choice.get("leakage_guard"))
+        folded, n = fold_roles(coded, spec, method, key, n_folds, guard, seed=settings["seed"])
+        folded = written(folded, "folds")
+        models = T.train_members(folded, features, spec.name_target, spec.n_classes, n, params)
+        return models, T.score_members(models, folded, spec.sub_cols)
 
     fitted, coded = preprocessed(spec.cat_features, spec.cont_features)
     if "feature_selection" in steps:
