@@ -29,14 +29,28 @@ def blank_sql(expression: str, *patterns: str) -> str:
     return expression
 
 
+#: Characters with several letters that the tables and the noise may hold.
+LIGATURES = [c for c in X._SEVERAL if ord(c) < 0x2200 or 0xFB00 <= ord(c) <= 0xFB06]
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def fold_sql(expression: str) -> str:
-    return f"regexp_replace(translate({expression}, '{X.FOLD_FROM}', '{X.FOLD_TO}'), '{X.NON_ASCII}', '', 'g')"
+    for c in LIGATURES:
+        expression = f"replace({expression}, {quoted(c)}, {quoted(X._SEVERAL[c])})"
+    return f"regexp_replace(translate({expression}, {quoted(X.FOLD_FROM)}, {quoted(X.FOLD_TO)}), '{X.NON_ASCII}', '', 'g')"
+
+
+#: The references that the tables and the noise hold, the ampersand last.
+REFERENCES = {"copy": "©", "middot": "·", "eacute": "é", "#233": "é", "nbsp": "\u00a0", "lt": "<", "gt": ">", "quot": '"', "#39": "'", "amp": "&"}
 
 
 def html_sql(expression: str) -> str:
     expression = f"regexp_replace({expression}, '{X.TAG}', '', 'g')"
-    for entity, character in X.ENTITIES.items():
-        expression = f"""replace({expression}, '{entity}', '{character.replace("'", "''")}')"""
+    for name, character in REFERENCES.items():
+        expression = f"regexp_replace({expression}, '&{name};?', {quoted(character)}, 'g')"
     return expression
 
 

@@ -1,10 +1,12 @@
-"""Text cleaning as column expressions, with exact Python forms where Spark has no function."""
+"""Text cleaning as column expressions, with Python forms that parse markup and unfold characters by the library."""
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -44,20 +46,85 @@ _FAST = {
     NOT_WORD: r"[^\p{L}\p{N}_ ]",
     WHITESPACE: r"\s{2,}|[\t\n\r\f\x0B]",
 }
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+#: A character reference as HTML reads it: a number or a name, the semicolon being optional.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: Longest of the names that need no semicolon and may run on into a word.
+_OPEN = {k: v for k, v in html5.items() if not k.endswith(";")}
+_LONGEST = max(map(len, _OPEN))
 
 
-def _foldable() -> tuple[str, str]:
-    """Accented letters up to U+024F whose decomposition is one ASCII letter, and those letters."""
-    pairs = []
-    for code in range(0x80, 0x250):
+def _unfoldings() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters beyond ASCII whose compatibility decomposition holds one ASCII character, and those with several."""
+    one, several = {}, {}
+    for code in (*range(0x80, 0xD800), *range(0xE000, sys.maxunicode + 1)):
         base = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
-        if len(base) == 1:
-            pairs.append((chr(code), base))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+        if base:
+            (one if len(base) == 1 else several)[chr(code)] = base
+    return one, several
 
 
-FOLD_FROM, FOLD_TO = _foldable()
+_ONE, _SEVERAL = _unfoldings()
+FOLD_FROM, FOLD_TO = "".join(_ONE), "".join(_ONE.values())
+
+
+def _class_of(characters: Iterable[str]) -> str:
+    """A character class of runs of code points."""
+    runs: list[list[int]] = []
+    for code in sorted(map(ord, characters)):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in runs) + "]"
+
+
+_SEVERAL_CLASS = _class_of(_SEVERAL)
+
+
+def _constant_map(table: Mapping[str, str]) -> Column:
+    """A map that is computed once per query."""
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
+def _replace_each(text: Column, pattern: str, replaced: Callable[[Column], Column]) -> Column:
+    """Every match of ``pattern`` replaced by what a function makes of it, in one pass from left to right."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), replaced)
+    pieces = F.zip_with(F.split(text, pattern, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    return F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)
+
+
+def _character(code: Column) -> Column:
+    """The character a numeric reference stands for; what no text may hold gives nothing or the replacement character."""
+    # Numbers from 0x80 to 0x9F stand for the characters of the Windows code page.
+    old = {str(c): bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)} | {"0": "\ufffd", "13": "\r"}
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    low = code.between(1, 8) | (code == 11) | code.between(14, 31) | code.between(127, 159)
+    none = low | code.between(0xFDD0, 0xFDEF) | ((code % 65536) >= 65534)
+    return (
+        F.when((code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+        .otherwise(F.coalesce(_constant_map(old)[code.cast("string")], F.when(none, F.lit("")).otherwise(plain)))
+    )
+
+
+def _resolved(reference: Column) -> Column:
+    name = F.substring(reference, F.lit(2), F.length(reference))
+    digits = F.regexp_extract(name, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+    # More than eight digits are beyond any character; what an unsigned number can hold is not asked of them.
+    short = F.concat(F.lit("0"), F.substring(digits, F.lit(1), F.lit(8)))
+    number = F.when(name.rlike("^#[xX]"), F.conv(short, 16, 10)).otherwise(F.conv(short, 10, 10))
+    code = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(number.cast("bigint"))
+    open_names = _constant_map(_OPEN)
+    starts = [
+        F.when(F.length(name) > n, F.concat(open_names[F.substring(name, F.lit(1), F.lit(n))], F.substring(name, F.lit(n + 1), F.length(name))))
+        for n in range(_LONGEST, 1, -1)
+    ]
+    named = F.coalesce(_constant_map(html5)[name], *starts, reference)
+    return F.when(name.startswith("#"), _character(code)).otherwise(named)
+
+
+def resolve_references(text: Column) -> Column:
+    """All character references of HTML resolved once, named and numeric, as a browser does."""
+    return _replace_each(text, REFERENCE, _resolved)
 
 
 def _blank(text: Column, *patterns: str) -> Column:
@@ -79,8 +146,9 @@ def strip_urls(text: Column) -> Column:
 
 
 def fold_accents(text: Column) -> Column:
-    """Accented Latin letters to plain ones, everything else beyond ASCII away."""
-    return F.regexp_replace(F.translate(text, FOLD_FROM, FOLD_TO), NON_ASCII, "")
+    """Full compatibility decomposition, then ASCII only: accented letters become plain, ligatures their letters."""
+    unfolded = _replace_each(text, _SEVERAL_CLASS, lambda c: _constant_map(_SEVERAL)[c])
+    return F.regexp_replace(F.translate(unfolded, FOLD_FROM, FOLD_TO), NON_ASCII, "")
 
 
 @F.pandas_udf(T.StringType())
@@ -97,11 +165,8 @@ def fold_tildes(text: Column) -> Column:
 
 
 def strip_html(text: Column) -> Column:
-    """Text without tags, the common entities resolved."""
-    text = F.regexp_replace(text, TAG, "")
-    for entity, character in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    """Text without tags, all character references resolved."""
+    return resolve_references(F.regexp_replace(text, TAG, ""))
 
 
 class _TextOnly(HTMLParser):

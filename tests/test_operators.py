@@ -351,3 +351,18 @@ def test_exact_forms_follow_python(spark):
     folded, text = df.select(TX.fold_accents_exact("t"), TX.strip_html_exact("t")).first()
     assert folded == "fin Angstrom &eacute;&amp;<p>x</p>"
     assert text == "ﬁn Ångström é&x"
+
+
+def test_cleaning_in_the_engine_equals_the_library(spark):
+    draw = random.Random(8)
+    bits = ["&eacute;", "&#233;", "&#xE9", "&amp;lt;", "&notit;", "&bogus;", "&#0;", "&#128;", "&#55296;", "&#99999999999999999999999;", "&#x1F600;", "&copyright", "& ", "&", "&;", "&#", "&#x;", "&#65534;", "&#11;", "ﬁ", "½", "Ĳ", "é", "e\u0301", "Å", "ﬃ", "№", "Ａ", "①", "日", "ab", " ", "&CounterClockwiseContourIntegral;", "&ampx", "<b>", "</b>"]
+    texts = [("".join(draw.choice(bits) for _ in range(draw.randint(0, 12))),) for _ in range(1500)] + [(None,), ("",)]
+    df = spark.createDataFrame(texts, "t string")
+    plain = df.select("t", TX.fold_accents(F.col("t")).alias("a"), TX.fold_accents_exact("t").alias("b"))
+    assert plain.where("NOT (a <=> b)").head(3) == []
+    no_tags = df.withColumn("t", F.regexp_replace("t", "</?b>", " "))  # a reference cut by a tag is none for the parser
+    both = no_tags.select("t", TX.strip_html(F.col("t")).alias("a"), TX.strip_html_exact("t").alias("b"))
+    assert both.where("NOT (a <=> b)").head(3) == []
+    words = ["ab"]
+    whole = no_tags.select("t", TX.clean_text(F.col("t"), words).alias("a"), TX.clean_text(F.col("t"), words, exact=True).alias("b"))
+    assert whole.where("NOT (a <=> b)").head(3) == []
