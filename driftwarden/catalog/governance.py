@@ -142,17 +142,22 @@ def _numeric(spark, sf_dir):
     return rounded(jobs.numeric_summary(read(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], "l_returnflag"))
 
 
-@query(
-    "eda_density",
-    """WITH s AS (SELECT l_returnflag AS class, CAST(count(*) AS DOUBLE) AS n, min(l_discount) AS mn, max(l_discount) AS mx,
-      stddev_samp(l_discount) * count(*) ** -0.2::DOUBLE AS h, (SELECT count(*) FROM lineitem) AS total FROM lineitem GROUP BY 1),
+DENSITY = ["l_discount", "l_quantity", "l_tax"]
+DENSITY_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, class, x, density FROM (
+    WITH s AS (SELECT l_returnflag AS class, CAST(count(*) AS DOUBLE) AS n, min({c}) AS mn, max({c}) AS mx,
+      stddev_samp({c}) * count(*) ** -0.2::DOUBLE AS h, (SELECT count(*) FROM lineitem) AS total FROM lineitem GROUP BY 1),
     g AS (SELECT s.*, mn - 3 * h + (mx + 3 * h - (mn - 3 * h)) * (i / 49.0::DOUBLE) AS x FROM s, (SELECT unnest(range(0, 50)) AS i)),
-    v AS (SELECT l_returnflag AS class, l_discount AS y, count(*) AS c FROM lineitem GROUP BY ALL)
+    v AS (SELECT l_returnflag AS class, {c} AS y, count(*) AS c FROM lineitem GROUP BY ALL)
     SELECT g.class, round(x, 6) AS x, round(sum(c * exp(-0.5::DOUBLE * ((x - y) / h) ** 2)) / any_value(total * h * sqrt(2 * pi())), 6)
-    AS density FROM g JOIN v ON g.class = v.class GROUP BY g.class, x""",
+    AS density FROM g JOIN v ON g.class = v.class GROUP BY g.class, x)"""
+    for c in DENSITY
 )
+
+
+@query("eda_density", DENSITY_SQL)
 def _density(spark, sf_dir):
-    return rounded(jobs.kernel_density(read(spark, sf_dir, "lineitem"), "l_discount", "l_returnflag"))
+    return rounded(jobs.kernel_densities(read(spark, sf_dir, "lineitem"), DENSITY, "l_returnflag"))
 
 
 # Amounts in cents: sums of integers are the same in both engines, so rounding meets the same numbers.

@@ -19,10 +19,12 @@ from driftwarden.operators import metrics as M
 from driftwarden.operators import profile as P
 from driftwarden.operators import split as S
 from driftwarden.operators import training as T
+from driftwarden.operators import value_counts as V
 from driftwarden.operators.chain import encode_preprocess
 from driftwarden.operators.encode import Preprocessor
 from driftwarden.operators.joins import enrich_features, leakage_guard
 from driftwarden.operators.quantiles import exact_percentiles
+from driftwarden.operators.value_counts import same
 from driftwarden.operators.windows import rolling_bands, select_features
 from driftwarden.plans.periods import period_marts
 from driftwarden.plans.scored import build_scored
@@ -478,30 +480,45 @@ def numeric_summary(df: DataFrame, features: Sequence[str], label: str) -> DataF
     return joined.withColumn(label, F.col(label).cast("string")).withColumnRenamed(label, "class")
 
 
-def kernel_density(df: DataFrame, feature: str, label: str, points: int = 50, cut: float = 3.0) -> DataFrame:
-    """Gaussian density per class on an even grid, with the usual n**(-1/5) bandwidth.
+def kernel_densities(
+    df: DataFrame, features: Sequence[str], label: str, points: int = 50, cut: float = 3.0
+) -> DataFrame:
+    """Gaussian density per feature and class on an even grid, with the usual n**(-1/5) bandwidth.
 
     The grid spans each class's range, ``cut`` bandwidths further on both sides,
-    and classes weigh in with their share of rows. One pass over the rows adds
-    up all grid points of a class.
+    and classes weigh in with their share of the feature's rows. The rows are
+    read once, into counts of distinct values for all features; each value then
+    adds its bumps to all grid points at once. A class with one value or without
+    spread has no density.
     """
-    value = F.col(feature).cast("double")
-    rows = df.where(value.isNotNull()).select(F.col(label).alias("class"), value.alias("x"))
-    shape = rows.groupBy("class").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.stddev_samp("x").alias("s")
-    )
-    total = rows.select(F.count(F.lit(1))).scalar()
-    width = F.col("s") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    shape = shape.withColumns({"h": width, "total": total}).withColumns(
-        {"lo": F.col("lo") - cut * F.col("h"), "hi": F.col("hi") + cut * F.col("h")}
+    tagged = df.select(F.col(label).alias("class"), F.lit(V.CURRENT).alias("__side"), *[F.col(f"`{c}`").alias(f"__x{i}") for i, c in enumerate(features)])
+    counts = V.value_counts(tagged, [], [f"__x{i}" for i in range(len(features))], "__side", ["class"]).where("number IS NOT NULL")
+    counts = written(counts.select("class", "feature", "number", "n"), "value-counts")
+    n, x = F.col("n"), F.col("number")
+    shape = counts.groupBy("feature", "class").agg(
+        F.sum("n").alias("rows"), F.min("number").alias("lo"), F.max("number").alias("hi"), (F.sum(n * x) / F.sum("n")).alias("mean")
     )
+    shape = written(shape.withColumn("total", F.sum("rows").over(Window.partitionBy("feature"))), "value-shape")  # features x classes
+    keys = ["feature", "class"]
+    off = counts.alias("v").join(F.broadcast(shape).alias("s"), same("v", "s", keys))
+    spread = off.groupBy("v.feature", "v.class").agg(F.sqrt(F.try_divide(F.sum(n * F.pow(x - F.col("mean"), 2)), F.sum("n") - 1)).alias("s"))
+    wide = shape.alias("a").join(F.broadcast(spread).alias("b"), same("a", "b", keys)).select("a.*", "b.s")
+    wide = wide.withColumn("h", F.col("s") * F.pow(F.col("rows").cast("double"), F.lit(-0.2))).where("h > 0")
+    wide = wide.withColumns({"lo": F.col("lo") - cut * F.col("h"), "hi": F.col("hi") + cut * F.col("h")})
+    joined = counts.alias("v").join(F.broadcast(wide).alias("s"), same("v", "s", keys))
     grid = [F.col("lo") + (F.col("hi") - F.col("lo")) * F.lit(i / (points - 1)) for i in range(points)]
-    joined = rows.join(F.broadcast(shape), "class")  # one row per class
-    bumps = [F.sum(F.exp(-0.5 * F.pow((g - F.col("x")) / F.col("h"), F.lit(2)))).alias(f"d{i}") for i, g in enumerate(grid)]
-    sums = joined.groupBy("class", "lo", "hi", "h", "total").agg(*bumps)
+    bumps = [F.sum(n * F.exp(-0.5 * F.pow((g - x) / F.col("h"), F.lit(2)))).alias(f"d{i}") for i, g in enumerate(grid)]
+    sums = joined.groupBy(F.col("v.feature").alias("feature"), F.col("v.class").alias("class"), "lo", "hi", "h", "total").agg(*bumps)
     norm = F.col("total") * F.col("h") * F.lit(2.5066282746310002)  # sqrt(2 pi)
     cells = F.array(*[F.struct(g.alias("x"), (F.col(f"d{i}") / norm).alias("density")) for i, g in enumerate(grid)])
-    return sums.select(F.col("class").cast("string").alias("class"), F.inline(cells))
+    names = F.array(*[F.lit(f) for f in features])
+    name = F.get(names, F.substring("feature", F.lit(4), F.length("feature")).cast("int")).alias("feature")
+    return sums.select(name, F.col("class").cast("string").alias("class"), F.inline(cells))
+
+
+def kernel_density(df: DataFrame, feature: str, label: str, points: int = 50, cut: float = 3.0) -> DataFrame:
+    """The densities of one feature."""
+    return kernel_densities(df, [feature], label, points, cut).drop("feature")
 
 
 def eda_tables(df: DataFrame, spec: ModelSpec, label: str, window_pct: float = 0.2) -> dict[str, DataFrame]:
@@ -517,9 +534,7 @@ def eda_tables(df: DataFrame, spec: ModelSpec, label: str, window_pct: float = 0
     if spec.cont_features:
         tables["correlation"] = P.correlation_matrix(df, spec.cont_features)
         tables["numeric_summary"] = numeric_summary(df, spec.cont_features, label)
-        tables["density"] = union_all(
-            [kernel_density(df, f, label).withColumn("feature", F.lit(f)) for f in spec.cont_features]
-        )
+        tables["density"] = kernel_densities(df, spec.cont_features, label)
     if spec.cat_features:
         tables["levels"] = level_counts_by_class(df, spec.cat_features, label)
     return tables
