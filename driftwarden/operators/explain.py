@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwarden.common import union_all
@@ -12,6 +13,40 @@ from driftwarden.operators.metrics import reported_as
 from driftwarden.spec import ModelSpec
 
 
+@dataclass(frozen=True)
+class Attribution:
+    """Attributions as arrays: one line per row and class, ``shap`` in the order of ``features``.
+
+    Sums over rows are taken element by element, so rows x features x classes
+    lines are never made.
+    """
+
+    rows: DataFrame
+    features: tuple[str, ...]
+
+
+def long_form(shap: Attribution) -> DataFrame:
+    """One line per row, feature and class."""
+    columns = [c for c in shap.rows.columns if c != "shap"]
+    listed = F.array(*[F.lit(f) for f in shap.features])
+    pairs = F.inline(F.arrays_zip(listed.alias("feature"), F.col("shap").alias("value")))
+    return shap.rows.select(*columns, pairs).toDF(*columns, "feature", "value")
+
+
+def absolute_sums(shap: DataFrame | Attribution, keys: Sequence[str | Column]) -> DataFrame:
+    """keys, feature, name_classes, s and n: sum and number of the absolute attributions."""
+    if isinstance(shap, DataFrame):
+        return shap.groupBy(*keys, "feature", "name_classes").agg(F.sum(F.abs("value")).alias("s"), F.count("value").alias("n"))
+    cells = [F.get("shap", F.lit(i)) for i in range(len(shap.features))]
+    sums = shap.rows.groupBy(*keys, "name_classes").agg(
+        F.array(*[F.sum(F.abs(c)) for c in cells]).alias("s"), F.array(*[F.count(c) for c in cells]).alias("n")
+    )
+    listed = F.array(*[F.lit(f) for f in shap.features]).alias("feature")
+    own = [c for c in sums.columns if c not in ("s", "n", "name_classes")]
+    out = sums.select(*own, "name_classes", F.inline(F.arrays_zip(listed, "s", "n"))).toDF(*own, "name_classes", "feature", "s", "n")
+    return out.select(*own, "feature", "name_classes", "s", "n")
+
+
 def linear_shap(
     df: DataFrame, row_id: str, coefficients: Mapping[str, Mapping[str, float]], keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -33,11 +68,9 @@ def linear_shap(
     return df.withColumn("__means", means).select(row_id, *keep, F.inline(F.array(*cells)))
 
 
-def shap_summary(shap: DataFrame, spec: ModelSpec, values: Sequence[str]) -> DataFrame:
+def shap_summary(shap: DataFrame | Attribution, spec: ModelSpec, values: Sequence[str]) -> DataFrame:
     """Mean absolute attribution per feature and class, with the class mean as ``all``; all rows and per segment."""
-    partial = shap.groupBy(spec.segment, "feature", "name_classes").agg(
-        F.sum(F.abs("value")).alias("s"), F.count("value").alias("n")
-    )
+    partial = absolute_sums(shap, [spec.segment])
     labelled = partial.withColumn("__label", reported_as(spec.segment, values))
     means = labelled.groupBy("__label", "feature", "name_classes").agg((F.sum("s") / F.sum("n")).alias("value"))
     overall = means.groupBy("__label", "feature").agg(F.avg("value").alias("value"))
@@ -62,8 +95,12 @@ def best_features(importance: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def shap_individual(shap: DataFrame, row_id: str, best: DataFrame, k: int = 10, by: Sequence[str] = ()) -> DataFrame:
+def shap_individual(shap: DataFrame | Attribution, row_id: str, best: DataFrame, k: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """One line per row and class with the attributions of the best features as columns."""
+    if isinstance(shap, Attribution):
+        place = {r["name"]: shap.features.index(r["feature"]) for r in best.collect() if r["feature"] in shap.features}  # k rows
+        cells = {f"feature_{i}": F.get("shap", F.lit(place.get(f"feature_{i}"))) for i in range(k)}
+        return shap.rows.groupBy(*by, row_id, "name_classes").agg(*[F.max(c).alias(n) for n, c in cells.items()])
     named = shap.join(F.broadcast(best.select("feature", "name")), "feature")  # k rows
     return named.groupBy(*by, row_id, "name_classes").agg(
         *[F.max(F.when(F.col("name") == f"feature_{i}", F.col("value"))).alias(f"feature_{i}") for i in range(k)]

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwarden.common import melt, scratch_path, union_all
+from driftwarden.operators.explain import Attribution, long_form
 from driftwarden.operators.folds import ROLES, VALIDATION
 
 # Send the helper functions themselves: executors need not have this package installed.
@@ -416,10 +417,10 @@ def leaf_attribution(x: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
     return out
 
 
-def tree_shap(
+def tree_attribution(
     model: PipelineModel, df: DataFrame, row_id: str, features: Sequence[str], sub_cols: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Attribution of a tree ensemble's output, one line per row, feature and class.
+    """Attribution of a tree ensemble's output: one line per row and class, with an array over the features.
 
     The leaves travel to the tasks with the function; the rows stay where they are.
     """
@@ -437,7 +438,11 @@ def tree_shap(
 
     source = df.select(*columns, *[F.col(f).cast("double").alias(f) for f in names])
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*columns).schema.fields)
-    wide = source.mapInPandas(attribute, f"{kept}, name_classes string, shap array<double>")
-    listed = F.array(*[F.lit(f) for f in names])
-    pairs = F.inline(F.arrays_zip(listed.alias("feature"), F.col("shap").alias("value")))
-    return wide.select(*columns, "name_classes", pairs).toDF(*columns, "name_classes", "feature", "value")
+    return source.mapInPandas(attribute, f"{kept}, name_classes string, shap array<double>")
+
+
+def tree_shap(
+    model: PipelineModel, df: DataFrame, row_id: str, features: Sequence[str], sub_cols: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """The same attributions with one line per row, feature and class."""
+    return long_form(Attribution(tree_attribution(model, df, row_id, features, sub_cols, keep), tuple(features)))

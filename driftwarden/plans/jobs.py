@@ -113,7 +113,7 @@ def spec_constants(spark: SparkSession, spec: ModelSpec) -> DataFrame:
 def governance_marts(
     scored: DataFrame,
     spec: ModelSpec,
-    shap: DataFrame,
+    shap: DataFrame | E.Attribution,
     importance: DataFrame,
     numeric_features: Sequence[str],
     row_id: str,
@@ -363,7 +363,7 @@ def governance_run(
     values = M.segment_values(scored.where("set_analysis = 'predict'"), spec)
     spec = spec.with_(segment_values=tuple(values))
     numeric = [f for f in features if f != spec.segment]
-    shap = written(T.tree_shap(trained.model, coded, ROW_ID, features, spec.sub_cols, [spec.segment]), "shap")
+    shap = E.Attribution(written(T.tree_attribution(trained.model, coded, ROW_ID, features, spec.sub_cols, [spec.segment]), "shap"), tuple(features))
     importance = T.gain_importance(trained.model, spark, features)
     marts = governance_marts(scored, spec, shap, importance, numeric, ROW_ID, costs, coded)
     if source == "training":
@@ -394,7 +394,7 @@ def period_run(trained: Training | SavedModel, reference: DataFrame, production:
     features = trained.preprocessor.output_columns
     scored, coded = scored_sides(trained, reference, production, spec)
     keep = list(dict.fromkeys([spec.segment, spec.period]))
-    shap = written(T.tree_shap(trained.model, coded, ROW_ID, features, spec.sub_cols, keep), "shap")
+    shap = E.Attribution(written(T.tree_attribution(trained.model, coded, ROW_ID, features, spec.sub_cols, keep), "shap"), tuple(features))
     numeric = [f for f in features if f != spec.segment]
     marts = period_marts(scored, spec, shap, numeric, coded)
     best = E.best_features(T.gain_importance(trained.model, reference.sparkSession, features))

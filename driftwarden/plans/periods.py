@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from driftwarden.common import melt, melt_text, ratio, union_all, written
 from driftwarden.functions.scalars import band_label, band_number
 from driftwarden.operators import drift as D
+from driftwarden.operators import explain as E
 from driftwarden.operators import metrics as M
 from driftwarden.operators import partial_sums as S
 from driftwarden.operators import profile as P
@@ -139,11 +140,9 @@ def distribution_lines(rows: DataFrame, limits: DataFrame, spec: ModelSpec, by:
     return shares.select(*columns).unionByName(detail.select(*columns))
 
 
-def shap_lines(shap: DataFrame, segments: DataFrame, spec: ModelSpec, by: Sequence[str]) -> DataFrame:
+def shap_lines(shap: DataFrame | E.Attribution, segments: DataFrame, spec: ModelSpec, by: Sequence[str]) -> DataFrame:
     """Mean absolute attribution per run, segment, feature and class, with the class mean as ``all``."""
-    partial = shap.groupBy(*by, F.col(spec.segment).alias("segment"), "feature", "name_classes").agg(
-        F.sum(F.abs("value")).alias("s"), F.count("value").alias("n")
-    )
+    partial = E.absolute_sums(shap, [*by, F.col(spec.segment).alias("segment")])
     means = S.labelled(partial, segments, by).groupBy(*by, "segment", "feature", "name_classes").agg(
         F.try_divide(F.sum("s"), F.sum("n")).alias("value")
     )
@@ -214,7 +213,7 @@ def board_lines(performance: DataFrame, general: DataFrame, explainer: DataFrame
 def period_marts(
     scored: DataFrame,
     spec: ModelSpec,
-    shap: DataFrame | None = None,
+    shap: DataFrame | E.Attribution | None = None,
     numeric_features: Sequence[str] = (),
     coded: DataFrame | None = None,
     by: Sequence[str] = (),

@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from driftwarden.operators import explain as E
 from driftwarden.operators import training as T
 from driftwarden.plans import jobs
 from driftwarden.spec import ModelSpec
@@ -125,3 +126,19 @@ def test_train_and_reload(spark, rows, tmp_path):
     assert again.spec == trained.spec
     first = T.score(again.model, again.preprocessor.transform(table), ["q0", "q1"]).count()
     assert first == 600
+
+
+def test_attributions_as_arrays_have_the_same_sums(spark, rows):
+    model = T.train_tabular(rows, FEATURES, "y", 2, {"n_estimators": 3, "max_depth": 3})
+    tagged = rows.withColumn("segment", F.when(F.col("id") % 3 == 0, "u").when(F.col("id") % 3 == 1, "v"))
+    wide = E.Attribution(T.tree_attribution(model, tagged, "id", FEATURES, ["q0", "q1"], ["segment"]), tuple(FEATURES))
+    long = T.tree_shap(model, tagged, "id", FEATURES, ["q0", "q1"], ["segment"])
+    assert wide.rows.count() * len(FEATURES) == long.count()
+    spec = ModelSpec(id_features=("id",), cat_features=(), cont_features=tuple(FEATURES), sub_cols=("q0", "q1"))
+
+    def lines(frame):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else str(v) for v in r) for r in frame.collect())
+
+    assert lines(E.shap_summary(wide, spec, ["u"])) == lines(E.shap_summary(long, spec, ["u"]))
+    best = E.best_features(T.gain_importance(model, spark, FEATURES), 2)
+    assert lines(E.shap_individual(wide, "id", best)) == lines(E.shap_individual(long, "id", best))
