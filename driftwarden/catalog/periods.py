@@ -114,21 +114,22 @@ def _groups() -> str:
     rows = [f"SELECT CAST(periodo AS VARCHAR) || '/{c}' AS feature, {c} AS group_feature, target, prediction, p0_cut, p1_cut, p2_cut FROM pred" for c in CAT]
     for c in CONT:
         low, high = f"min({c}) OVER (PARTITION BY periodo)", f"max({c}) OVER (PARTITION BY periodo)"
-        band = f"'P' || lpad(CAST(10 * CAST(least(greatest(ceil(({c} - {low}) / ({high} - {low}) * 10.0), 1), 10) AS INTEGER) AS VARCHAR), 3, '0')"
+        # A column with one value in a period falls in the middle band.
+        number = f"CASE WHEN {high} = {low} THEN 5 ELSE CAST(least(greatest(ceil(({c} - {low}) / ({high} - {low}) * 10.0), 1), 10) AS INTEGER) END"
+        band = f"'P' || lpad(CAST(10 * {number} AS VARCHAR), 3, '0')"
         rows.append(f"SELECT CAST(periodo AS VARCHAR) || '/{c}', {band}, target, prediction, p0_cut, p1_cut, p2_cut FROM pred")
     return f"feat AS ({' UNION ALL '.join(rows)})"
 
 
+# Numbers are written alike by both engines only as whole ones: cutoffs count their steps.
 PERIODS_SQL = f"""{PERIOD_CTES}, {DRIFT_CTES}, {_groups()},
-lines AS (SELECT 'perf__general_metrics' AS mart, periodo, segment || '/' || type_metric || coalesce('/' || round(cutoff, 6)::VARCHAR, '') AS subject,
+lines AS (SELECT 'perf__general_metrics' AS mart, periodo, segment || '/' || type_metric || coalesce('/' || CAST(round(cutoff * 49) AS INTEGER)::VARCHAR, '') AS subject,
     name_classes || '/' || percentil AS part, metric, value FROM ({PERIOD_MART})
   UNION ALL SELECT 'drift__general', CAST(run AS DATE), 'all', 'all', metric, value FROM ({melt_sql('drift_general', ['run'], GENERAL_NAMES)})
   UNION ALL SELECT 'drift__specific', CAST(left(feature, 10) AS DATE), substr(feature, 12), 'all', metric, value FROM specific
   UNION ALL SELECT 'feature__distribution', CAST(left(feature, 10) AS DATE), substr(feature, 12) || '/' || group_feature || '/' || type_metric,
     name_classes || '/' || flg_target, metric, value FROM ({DISTRIBUTION}))
-SELECT mart, periodo, subject, part, metric, round(value, 3) AS value FROM lines WHERE cutoff_free(subject)"""
-# Numbers are written alike by both engines only as whole ones: cutoffs count their steps.
-PERIODS_SQL = PERIODS_SQL.replace("round(cutoff, 6)::VARCHAR", "CAST(round(cutoff * 49) AS INTEGER)::VARCHAR").replace(" WHERE cutoff_free(subject)", "")
+SELECT mart, periodo, subject, part, metric, round(value, 3) AS value FROM lines"""
 
 
 def _lines(marts: dict[str, DataFrame], period: str) -> DataFrame:
