@@ -78,7 +78,8 @@ def _class_of(characters: Iterable[str]) -> str:
     return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in runs) + "]"
 
 
-_SEVERAL_CLASS = _class_of(_SEVERAL)
+# ASCII is ruled out first: the class is tried on few characters.
+_SEVERAL_CLASS = r"(?=[^\x00-\x7F])" + _class_of(_SEVERAL)
 
 
 def _constant_map(table: Mapping[str, str]) -> Column:
@@ -88,9 +89,14 @@ def _constant_map(table: Mapping[str, str]) -> Column:
 
 def _replace_each(text: Column, pattern: str, replaced: Callable[[Column], Column]) -> Column:
     """Every match of ``pattern`` replaced by what a function makes of it, in one pass from left to right."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), replaced)
-    pieces = F.zip_with(F.split(text, pattern, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
-    return F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)
+
+    def one(t: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), replaced)
+        pieces = F.zip_with(F.split(t, pattern, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+        return F.when(t.rlike(pattern), F.array_join(pieces, "")).otherwise(t)
+
+    # Bound to a variable, so that what makes the text is computed once.
+    return F.get(F.transform(F.array(text), one), F.lit(0))
 
 
 def _character(code: Column) -> Column:
