@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from driftwarden.catalog.registry import query, rounded
@@ -9,6 +10,7 @@ from driftwarden.common import scratch_path, written
 from driftwarden.functions.scalars import argmax_label
 from driftwarden.operators import metrics as M
 from driftwarden.operators import split as S
+from driftwarden.operators import text_features as TF
 from driftwarden.operators import training as T
 from driftwarden.operators.chain import encode_preprocess
 from driftwarden.plans.scored import ORDERS_SPEC, read, scored_frame
@@ -69,12 +71,29 @@ def labelled_documents(spark, sf_dir):
 @query("train_text")
 def _train_text(spark, sf_dir):
     rows = written(S.stratified_split(labelled_documents(spark, sf_dir), "doc_id", "quality", 0.33), "documents")
-    model = T.train_text(rows.where("split = 'train'"), "text", "quality", min_df=2, max_iter=20)
+    model = T.train_text(rows.where("split = 'train'"), "text", "quality", min_df=2, max_iter=20, sublinear=True)
     spec = BINARY.with_(name_target="quality")
     scored = T.score(model, rows.withColumn("validation", F.col("split") == "validation"), spec.sub_cols)
     return quality(scored, spec)
 
 
+@query(
+    "text_model_weights",
+    f"""WITH labelled AS (SELECT doc_id, text FROM documents JOIN labels USING (doc_id)),
+    tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{TF.TOKEN}')) AS token FROM labelled),
+    counts AS (SELECT doc_id, token, count(*) AS tf FROM tokens GROUP BY ALL),
+    vocabulary AS (SELECT token, count(*) AS df FROM counts GROUP BY token HAVING count(*) >= 3),
+    raw AS (SELECT doc_id, token, (1 + ln(tf)) * (ln((1.0::DOUBLE + (SELECT count(*) FROM labelled)) / (1 + df)) + 1) AS raw
+      FROM counts JOIN vocabulary USING (token))
+    SELECT doc_id, token, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""",
+)
+def _text_weights(spark, sf_dir):
+    rows = labelled_documents(spark, sf_dir)
+    path = scratch_path(spark, "text-model")
+    T.train_text(rows, "text", "quality", min_df=3, max_iter=20, sublinear=True).save(path)
+    return rounded(TF.term_weights(PipelineModel.load(path), rows, "doc_id"))
+
+
 @query("tune")
 def _tune(spark, sf_dir):
     rows, _ = encoded_orders(spark, sf_dir)

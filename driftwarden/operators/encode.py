@@ -8,11 +8,22 @@ lookup only when it is below ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwarden.common import melt, melt_text, written
@@ -88,21 +99,73 @@ def attach_level(df: DataFrame, levels: DataFrame, column: str, wanted: str, nam
 # --------------------------------------------------------------------------- stages
 
 
-class FittedStage(Model):
-    """A fitted stage: its columns, a dictionary of scalars, and possibly a level table."""
+class StageWriter(MLWriter):
+    """Params and uid as Spark ML metadata; level table and inner stages in folders beside it."""
+
+    def __init__(self, stage: "FittedStage"):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path: str) -> None:
+        levels, inner = self.stage.levels, self.stage.stages
+        beside = {"levels": levels is not None, "stages": len(inner)}
+        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession, extraMetadata=beside)
+        if levels is not None:
+            levels.write.parquet(f"{path}/levels")
+        for i, stage in enumerate(inner):
+            stage.write().session(self.sparkSession).save(f"{path}/stages/{i}")
 
-    with_levels = False
 
-    def __init__(self, columns: Sequence[str], values: dict | None = None, levels: DataFrame | None = None):
+class StageReader(MLReader):
+    def __init__(self, kind: type["FittedStage"]):
         super().__init__()
-        self.columns = list(columns)
-        self.values = values or {}
+        self.kind = kind
+
+    def load(self, path: str) -> "FittedStage":
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        stage = self.kind()
+        stage._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(stage, metadata)
+        if metadata["levels"]:
+            stage.levels = self.sparkSession.read.parquet(f"{path}/levels")
+        inner = range(metadata["stages"])
+        stage.stages = [DefaultParamsReader.loadParamsInstance(f"{path}/stages/{i}", self.sparkSession) for i in inner]
+        return stage
+
+
+class FittedStage(Model, HasInputCols, MLReadable, MLWritable):
+    """A fitted stage: its columns and a dictionary of scalars as Params, and possibly a level table.
+
+    A ``PipelineModel`` of such stages is saved and loaded by Spark ML like any other.
+    """
+
+    scalars = Param(Params._dummy(), "scalars", "fitted numbers and settings by name")
+    stages: Sequence["FittedStage"] = ()
+
+    def __init__(self, columns: Sequence[str] = (), values: dict | None = None, levels: DataFrame | None = None):
+        super().__init__()
+        self._set(inputCols=list(columns), scalars=values or {})
         self.levels = levels
 
+    @property
+    def columns(self) -> list[str]:
+        return self.getInputCols()
+
+    @property
+    def values(self) -> dict:
+        return self.getOrDefault(self.scalars)
+
     @property
     def output_columns(self) -> list[str]:
         return self.columns
 
+    def write(self) -> StageWriter:
+        return StageWriter(self)
+
+    @classmethod
+    def read(cls) -> StageReader:
+        return StageReader(cls)
+
 
 class Passthrough(FittedStage):
     def _transform(self, df: DataFrame) -> DataFrame:
@@ -115,8 +178,6 @@ class NullCategory(FittedStage):
 
 
 class ParetoBucketModel(FittedStage):
-    with_levels = True
-
     def _transform(self, df: DataFrame) -> DataFrame:
         for c in self.columns:
             kept = F.col("__kept").isNotNull() | F.coalesce(F.col(c) == MISSING, F.lit(False))
@@ -126,8 +187,6 @@ class ParetoBucketModel(FittedStage):
 
 
 class LabelEncodeModel(FittedStage):
-    with_levels = True
-
     def _transform(self, df: DataFrame) -> DataFrame:
         fallback = self.values["mode"]
         if self.values["unseen"] == "batch":
@@ -153,8 +212,6 @@ def _code_of(levels: DataFrame, feature: str, value: str | None) -> int | None:
 
 
 class MultiLabelEncodeModel(FittedStage):
-    with_levels = True
-
     @property
     def output_columns(self) -> list[str]:
         return [c + self.values["suffix"] for c in self.columns]
@@ -186,8 +243,6 @@ class OneHotModel(FittedStage):
 class LevelChain(FittedStage):
     """A composed chain of categorical steps: one lookup per column, a default for levels that are not listed."""
 
-    with_levels = True
-
     def _transform(self, df: DataFrame) -> DataFrame:
         kind = self.values["type"]
         if self.values["fill"]:
@@ -203,8 +258,6 @@ class LevelChain(FittedStage):
 
 
 class CategoryTypeModel(FittedStage):
-    with_levels = True
-
     def _transform(self, df: DataFrame) -> DataFrame:
         for c in self.columns:
             df = attach_level(df, self.levels, c, "value", "__kept")
@@ -239,23 +292,29 @@ class ClipOutliersModel(FittedStage):
         )
 
 
-class _Stage(Estimator):
-    def __init__(self, columns: Sequence[str]):
+class _Stage(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    def __init__(self, columns: Sequence[str] = (), **settings):
         super().__init__()
-        self.columns = list(columns)
+        self._set(inputCols=list(columns), **settings)
+
+    @property
+    def columns(self) -> list[str]:
+        return self.getInputCols()
 
 
 class ParetoBucket(_Stage):
     """Keep the frequent levels while their running share is below ``threshold``; the rest become one level."""
 
-    def __init__(self, columns: Sequence[str], threshold: float = 0.8):
-        super().__init__(columns)
-        self.threshold = threshold
+    threshold = Param(Params._dummy(), "threshold", "running share below which levels are kept", TypeConverters.toFloat)
+
+    def __init__(self, columns: Sequence[str] = (), threshold: float = 0.8):
+        super().__init__(columns, threshold=threshold)
 
     def _fit(self, df: DataFrame) -> ParetoBucketModel:
+        threshold = self.getOrDefault(self.threshold)
         shares = cumulative_share(level_counts(df, self.columns))
-        kept = shares.where(F.col("cumulative_share") < self.threshold).select("feature", "value")
-        return ParetoBucketModel(self.columns, {"threshold": self.threshold}, written(kept, "pareto"))
+        kept = shares.where(F.col("cumulative_share") < threshold).select("feature", "value")
+        return ParetoBucketModel(self.columns, {"threshold": threshold}, written(kept, "pareto"))
 
 
 class LabelEncode(_Stage):
@@ -266,15 +325,17 @@ class LabelEncode(_Stage):
     ``'own'`` gives them the next free code.
     """
 
-    def __init__(self, columns: Sequence[str], unseen: str = "training"):
-        super().__init__(columns)
-        self.unseen = unseen
+    unseen = Param(Params._dummy(), "unseen", "code of an unseen level: training, batch or own", TypeConverters.toString)
+
+    def __init__(self, columns: Sequence[str] = (), unseen: str = "training"):
+        super().__init__(columns, unseen=unseen)
 
     def _fit(self, df: DataFrame) -> LabelEncodeModel:
+        unseen = self.getOrDefault(self.unseen)
         counts = written(level_counts(df, self.columns), "level-counts")  # the one pass over the rows
         common = modes(counts)
         levels = written(level_codes(counts), "codes")
-        if self.unseen == "own":
+        if unseen == "own":
             free = {r["feature"]: r["count"] for r in levels.groupBy("feature").count().collect()}  # one per column
             return LabelEncodeModel(self.columns, {"mode": common, "codes": {c: free.get(c, 0) for c in self.columns}, "unseen": "own"}, levels)
         listed = [F.col("feature").eqNullSafe(c) & F.col("value").eqNullSafe(v) for c, v in common.items()]
@@ -282,15 +343,20 @@ class LabelEncode(_Stage):
         for c in listed[1:]:
             condition = condition | c
         code = {r["feature"]: r["code"] for r in levels.where(condition).collect()}
-        if self.unseen == "batch":
+        if unseen == "batch":
             codes = {c: {common[c]: code[c]} for c in common}
         else:
             codes = {c: code.get(c) for c in self.columns}
-        return LabelEncodeModel(self.columns, {"mode": common, "codes": codes, "unseen": self.unseen}, levels)
+        return LabelEncodeModel(self.columns, {"mode": common, "codes": codes, "unseen": unseen}, levels)
 
 
 class MultiLabelEncode(_Stage):
-    """Label codes for many columns as double; nulls and unseen levels stay NULL."""
+    """Label codes for many columns as double; nulls and unseen levels stay NULL. Without columns: all texts."""
+
+    exclude = Param(Params._dummy(), "exclude", "columns left as they are", TypeConverters.toListString)
+    suffix = Param(Params._dummy(), "suffix", "added to the names of the coded columns", TypeConverters.toString)
+    handleUnknown = Param(Params._dummy(), "handleUnknown", "unseen levels are allowed", TypeConverters.toBoolean)
+    every = Param(Params._dummy(), "every", "all text columns instead of the named ones", TypeConverters.toBoolean)
 
     def __init__(
         self,
@@ -299,15 +365,15 @@ class MultiLabelEncode(_Stage):
         suffix: str = "",
         handle_unknown: bool = True,
     ):
-        super().__init__(columns or [])
-        self.every = columns is None
-        self.exclude, self.suffix, self.handle_unknown = list(exclude), suffix, handle_unknown
+        every = columns is None
+        super().__init__(columns or (), exclude=list(exclude), suffix=suffix, handleUnknown=handle_unknown, every=every)
 
     def _fit(self, df: DataFrame) -> MultiLabelEncodeModel:
-        chosen = [n for n, t in df.dtypes if t == "string"] if self.every else self.columns
-        columns = [c for c in chosen if c not in self.exclude]
+        chosen = [n for n, t in df.dtypes if t == "string"] if self.getOrDefault(self.every) else self.columns
+        columns = [c for c in chosen if c not in self.getOrDefault(self.exclude)]
         levels = written(level_codes(level_counts(df, columns)), "codes")
-        return MultiLabelEncodeModel(columns, {"suffix": self.suffix, "handle_unknown": self.handle_unknown}, levels)
+        settings = {"suffix": self.getOrDefault(self.suffix), "handle_unknown": self.getOrDefault(self.handleUnknown)}
+        return MultiLabelEncodeModel(columns, settings, levels)
 
 
 def one_hot_of(counts: DataFrame, columns: Sequence[str]) -> OneHotModel:
@@ -328,15 +394,17 @@ class OneHot(_Stage):
     ``max_levels`` per column and fitting fails beyond it; bucket first.
     """
 
-    def __init__(self, columns: Sequence[str], max_levels: int = 1000):
-        super().__init__(columns)
-        self.max_levels = max_levels
+    maxLevels = Param(Params._dummy(), "maxLevels", "most levels of a column", TypeConverters.toInt)
+
+    def __init__(self, columns: Sequence[str] = (), max_levels: int = 1000):
+        super().__init__(columns, maxLevels=max_levels)
 
     def _fit(self, df: DataFrame) -> OneHotModel:
+        most = self.getOrDefault(self.maxLevels)
         counts = level_counts(df, self.columns)
         sizes = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-        if not sizes.where(F.col("n") > self.max_levels).isEmpty():
-            raise ValueError(f"more than {self.max_levels} levels per column: bucket the levels before one-hot encoding")
+        if not sizes.where(F.col("n") > most).isEmpty():
+            raise ValueError(f"more than {most} levels per column: bucket the levels before one-hot encoding")
         return one_hot_of(counts, self.columns)
 
 
@@ -360,23 +428,25 @@ def percentiles_of(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 class Impute(_Stage):
     """Fill numeric gaps with the mean, the median or the most frequent value."""
 
-    def __init__(self, columns: Sequence[str], strategy: str = "median"):
-        super().__init__(columns)
+    strategy = Param(Params._dummy(), "strategy", "mean, median or most_frequent", TypeConverters.toString)
+
+    def __init__(self, columns: Sequence[str] = (), strategy: str = "median"):
+        super().__init__(columns, strategy=strategy)
         if strategy not in ("mean", "median", "most_frequent"):
             raise ValueError(f"unknown strategy {strategy}")
-        self.strategy = strategy
 
     def _fit(self, df: DataFrame) -> ImputeModel:
-        if self.strategy == "mean":
+        strategy = self.getOrDefault(self.strategy)
+        if strategy == "mean":
             present = [F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in self.columns]
             fill = df.agg(*present).first().asDict()
-        elif self.strategy == "median":
+        elif strategy == "median":
             fill = {c: v.get(0.5) for c, v in percentiles_of(df, self.columns, [0.5]).items()}
         else:
             long = melt(df, [], self.columns, "feature").where(F.col("value").isNotNull() & ~F.isnan("value"))
             counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
             fill = modes(counts)
-        return ImputeModel(self.columns, {"fill": fill, "strategy": self.strategy})
+        return ImputeModel(self.columns, {"fill": fill, "strategy": strategy})
 
 
 class StandardScale(_Stage):
@@ -420,13 +490,14 @@ class MinMaxScale(_Stage):
 class ClipOutliers(_Stage):
     """Clamp to [Q1 - r*IQR, Q3 + r*IQR]."""
 
-    def __init__(self, columns: Sequence[str], outlier_range: float = 1.5):
-        super().__init__(columns)
-        self.outlier_range = outlier_range
+    outlierRange = Param(Params._dummy(), "outlierRange", "interquartile ranges beyond the quartiles that are kept", TypeConverters.toFloat)
+
+    def __init__(self, columns: Sequence[str] = (), outlier_range: float = 1.5):
+        super().__init__(columns, outlierRange=outlier_range)
 
     def _fit(self, df: DataFrame) -> ClipOutliersModel:
         q = {c: v or {0.25: 0.0, 0.75: 0.0} for c, v in percentiles_of(df, self.columns, [0.25, 0.75]).items()}
-        reach = {c: self.outlier_range * (q[c][0.75] - q[c][0.25]) for c in q}
+        reach = {c: self.getOrDefault(self.outlierRange) * (q[c][0.75] - q[c][0.25]) for c in q}
         return ClipOutliersModel(
             self.columns,
             {"low": {c: q[c][0.25] - reach[c] for c in q}, "high": {c: q[c][0.75] + reach[c] for c in q}},
@@ -456,9 +527,23 @@ DEFAULT_CONSTANTS = {"num_fill_null": "median", "cat_pareto": 0.8, "num_outlier_
 class Preprocessor(FittedStage):
     """Fitted chain of stages; its output features are the categorical, then the numeric ones."""
 
-    def __init__(self, stages: Sequence[FittedStage], cat_features: Sequence[str], cont_features: Sequence[str]):
+    catFeatures = Param(Params._dummy(), "catFeatures", "categorical output columns", TypeConverters.toListString)
+    contFeatures = Param(Params._dummy(), "contFeatures", "numeric output columns", TypeConverters.toListString)
+
+    def __init__(
+        self, stages: Sequence[FittedStage] = (), cat_features: Sequence[str] = (), cont_features: Sequence[str] = ()
+    ):
         super().__init__([*cat_features, *cont_features])
-        self.stages, self.cat_features, self.cont_features = list(stages), list(cat_features), list(cont_features)
+        self._set(catFeatures=list(cat_features), contFeatures=list(cont_features))
+        self.stages = list(stages)
+
+    @property
+    def cat_features(self) -> list[str]:
+        return self.getOrDefault(self.catFeatures)
+
+    @property
+    def cont_features(self) -> list[str]:
+        return self.getOrDefault(self.contFeatures)
 
     @property
     def output_columns(self) -> list[str]:
@@ -470,27 +555,6 @@ class Preprocessor(FittedStage):
         rest = [c for c in df.columns if c not in self.output_columns]
         return df.select(*rest, *self.output_columns)
 
-    def save(self, path: str) -> None:
-        """Scalars of all stages as one JSON text, each level table as parquet beside it."""
-        spark = SparkSession.getActiveSession()
-        described = [{"kind": type(s).__name__, "columns": s.columns, "values": s.values} for s in self.stages]
-        text = json.dumps({"stages": described, "cat": self.cat_features, "cont": self.cont_features})
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/stages")
-        for i, s in enumerate(self.stages):
-            if s.levels is not None:
-                s.levels.write.mode("overwrite").parquet(f"{path}/levels_{i}")
-
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> "Preprocessor":
-        content = json.loads(spark.read.text(f"{path}/stages").first()["value"])
-        known = {c.__name__: c for c in FittedStage.__subclasses__()}
-        stages = []
-        for i, d in enumerate(content["stages"]):
-            kind = known[d["kind"]]
-            levels = spark.read.parquet(f"{path}/levels_{i}") if kind.with_levels else None
-            stages.append(kind(d["columns"], d["values"], levels))
-        return Preprocessor(stages, content["cat"], content["cont"])
-
 
 def fit_stages(
     df: DataFrame,

@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import SparseVector, Vector, Vectors, VectorUDT
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +61,41 @@ def tfidf(
     return raw.select(doc, "token", (F.col("raw") / length).alias("weight"))
 
 
+class LogTermFrequency(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Counts ``n`` of a vector column as ``1 + ln(n)``; places without a count stay empty, NULL stays NULL.
+
+    Vectors keep their sparse form: an Arrow function sees the counts of a
+    document, never an array as long as the vocabulary.
+    """
+
+    def __init__(self, inputCol: str | None = None, outputCol: str | None = None):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        @F.udf(VectorUDT(), useArrow=True)
+        def damped(counts: Vector | None) -> SparseVector | None:
+            if counts is None:
+                return None
+            places = counts.indices if isinstance(counts, SparseVector) else np.arange(len(counts))
+            numbers = counts.values
+            held = numbers > 0
+            return Vectors.sparse(len(counts), places[held], 1.0 + np.log(numbers[held]))
+
+        return df.withColumn(self.getOutputCol(), damped(F.col(f"`{self.getInputCol()}`")))
+
+
+def term_weights(model: PipelineModel, df: DataFrame, key: str, features: str = "features") -> DataFrame:
+    """``key, token, weight``: the sparse features that a trained text model gives to each row."""
+    counter = next(s for s in model.stages if isinstance(s, CountVectorizerModel))
+    spark = df.sparkSession
+    names = spark.createDataFrame(list(enumerate(counter.vocabulary)), "place int, token string")
+    prepared = PipelineModel(model.stages[:-1]).transform(df)
+    parts = prepared.select(key, F.unwrap_udt(features).alias("v"))
+    terms = parts.select(key, F.inline(F.arrays_zip(F.col("v.indices").alias("place"), F.col("v.values").alias("weight"))))
+    return terms.join(names, "place").select(key, "token", "weight")
+
+
 def review_table(
     df: DataFrame, key: str, text: str, score: str, score_map: Mapping, words: Sequence[str], exact: bool = False
 ) -> DataFrame:

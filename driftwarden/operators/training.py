@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from driftwarden.common import melt, scratch_path, union_all
 from driftwarden.operators.explain import Attribution, long_form
 from driftwarden.operators.folds import ROLES, VALIDATION
+from driftwarden.operators.text_features import TOKEN, LogTermFrequency
 
 # Send the helper functions themselves: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -96,12 +97,13 @@ def train_text(
     use_idf: bool = True,
     max_iter: int = 100,
     c: float = 1.0,
+    sublinear: bool = False,
 ) -> PipelineModel:
-    """Token counts, idf + 1 weights, rows of length one, multinomial logistic regression.
+    """Token counts or 1 + ln(counts), idf + 1 weights, rows of length one, multinomial logistic regression.
 
-    ``c`` is the inverse penalty on the summed loss; Spark's penalty is on the mean loss.
+    The features are those of ``text_features.tfidf``. ``c`` is the inverse penalty on the summed loss; Spark's penalty is on the mean loss.
     """
-    tokenizer = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=r"(?U)\w\w+", gaps=False)
+    tokenizer = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=TOKEN, gaps=False)
     # Every token counts: the vocabulary is as large as the texts make it, not Spark's default.
     found = tokenizer.transform(df).select(F.explode("tokens").alias("token")).distinct().count()
     counter = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=min_df, vocabSize=max(found, 1))
@@ -109,13 +111,14 @@ def train_text(
     counted = counting.transform(df)
     idf = IDF(inputCol="counts", outputCol="weighted").fit(counted).idf.toArray()
     weights = Vectors.dense(idf + 1.0 if use_idf else np.ones_like(idf))
-    weigher = ElementwiseProduct(scalingVec=weights, inputCol="counts", outputCol="weighted")
-    normalizer = Normalizer(p=2.0, inputCol="weighted", outputCol="features")
-    vectors = normalizer.transform(weigher.transform(counted)).select("features", label)
+    frequency = [LogTermFrequency("counts", "frequencies")] if sublinear else []
+    weigher = ElementwiseProduct(scalingVec=weights, inputCol="frequencies" if sublinear else "counts", outputCol="weighted")
+    features = [*frequency, weigher, Normalizer(p=2.0, inputCol="weighted", outputCol="features")]
+    vectors = PipelineModel(features).transform(counted).select("features", label)
     regression = LogisticRegression(
         labelCol=label, family="multinomial", maxIter=max_iter, regParam=1.0 / (c * vectors.count()), standardization=False
     )
-    return PipelineModel([*counting.stages, weigher, normalizer, regression.fit(vectors)])
+    return PipelineModel([*counting.stages, *features, regression.fit(vectors)])
 
 
 def classifier_of(model: PipelineModel):

@@ -31,7 +31,7 @@ def save_model(saved: SavedModel, root: str) -> str:
     spark = SparkSession.getActiveSession()
     path = model_path(root, saved.spec)
     saved.model.write().overwrite().save(f"{path}/model")
-    saved.preprocessor.save(f"{path}/preprocess")
+    saved.preprocessor.write().overwrite().save(f"{path}/preprocess")
     text = json.dumps(asdict(saved.spec))
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/spec")
     return path
@@ -40,7 +40,7 @@ def save_model(saved: SavedModel, root: str) -> str:
 def load_model(spark: SparkSession, path: str) -> SavedModel:
     content = json.loads(spark.read.text(f"{path}/spec").first()["value"])
     spec = ModelSpec(**{k: tuple(v) if isinstance(v, list) else v for k, v in content.items()})
-    return SavedModel(PipelineModel.load(f"{path}/model"), Preprocessor.load(spark, f"{path}/preprocess"), spec)
+    return SavedModel(PipelineModel.load(f"{path}/model"), Preprocessor.load(f"{path}/preprocess"), spec)
 
 
 def load_models(spark: SparkSession, prefix: str) -> dict[str, SavedModel]:

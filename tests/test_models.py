@@ -4,9 +4,12 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from driftwarden.operators import explain as E
+from driftwarden.operators import text_features as TF
 from driftwarden.operators import training as T
 from driftwarden.plans import jobs
 from driftwarden.spec import ModelSpec
@@ -99,6 +102,28 @@ def test_tuning_judges_on_the_named_rows(spark, rows):
     assert [set(p) for p in study.points] == [{"C"}, {"C"}]
 
 
+def test_log_term_frequency_trains_and_reloads(spark, tmp_path):
+    texts = [("uno uno uno dos", 1), ("dos tres", 0), ("uno tres tres", 1), ("", 0), (None, 0), ("dos dos", 0)]
+    df = spark.createDataFrame([(i, t or "", y) for i, (t, y) in enumerate(texts)], "id int, t string, y int")
+    model = T.train_text(df, "t", "y", max_iter=20, sublinear=True)
+    model.save(str(tmp_path / "text"))
+    again = PipelineModel.load(str(tmp_path / "text"))
+    got = {(r["id"], r["token"]): r["weight"] for r in TF.term_weights(again, df, "id").collect()}
+    want = {(r["id"], r["token"]): r["weight"] for r in TF.tfidf(df, "id", "t").collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+    plain = {(r["id"], r["token"]): r["weight"] for r in TF.term_weights(T.train_text(df, "t", "y", max_iter=2), df, "id").collect()}
+    assert plain[(0, "uno")] > got[(0, "uno")]
+    scores = [T.score(m, df, ["q0", "q1"]).orderBy("id").select("q1").collect() for m in (model, again)]
+    assert scores[0] == scores[1]
+
+
+def test_log_term_frequency_of_dense_and_absent_vectors(spark):
+    rows = [(0, Vectors.dense([0.0, 1.0, np.e])), (1, Vectors.sparse(3, {})), (2, None)]
+    df = spark.createDataFrame(rows, T_.StructType().add("i", T_.IntegerType()).add("v", VectorUDT()))
+    out = {r["i"]: r["w"] for r in TF.LogTermFrequency("v", "w").transform(df).collect()}
+    assert out == {0: Vectors.sparse(3, {1: 1.0, 2: 2.0}), 1: Vectors.sparse(3, {}), 2: None}
+
+
 def test_ordered_folds_train_on_earlier_rows_only(spark, rows):
     folded = rows.withColumn("fold_of", (F.col("id") % 4 - 1).cast("int"))
     models = T.cross_validate(folded, FEATURES, "y", 2, "fold_of", 3, {"n_estimators": 2}, ordered=True)

@@ -5,6 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from driftwarden.functions import scalars as X
@@ -280,10 +283,47 @@ def test_preprocessor_survives_saving(spark, tmp_path):
     for k, fit in enumerate((encode_preprocess, N.fit_stages)):
         fitted = fit(df, ["c"], ["x"], steps_cat=("null", "le"), steps_cont=("null", "ms"))
         fitted.save(str(tmp_path / f"pre{k}"))
-        again = N.Preprocessor.load(spark, str(tmp_path / f"pre{k}"))
+        again = N.Preprocessor.load(str(tmp_path / f"pre{k}"))
         assert sorted(map(tuple, fitted.transform(df).collect())) == sorted(map(tuple, again.transform(df).collect()))
 
 
+def test_chain_and_classifier_are_one_pipeline_for_spark_ml(spark, tmp_path):
+    data = [("a", 1.0, 0), ("b", None, 1), ("a", 5.0, 0), (None, 2.0, 1), ("c", 9.0, 1)]
+    df = spark.createDataFrame(data, "c string, x double, y int")
+    for k, steps in enumerate((("null", "le"), ("null", "pareto", "ohe"))):
+        fitted = N.fit_stages(df, ["c"], ["x"], steps_cat=steps, steps_cont=("null", "outlier", "ss"))
+        assembler = VectorAssembler(inputCols=fitted.output_columns, outputCol="features")
+        trees = DecisionTreeClassifier(labelCol="y").fit(assembler.transform(fitted.transform(df)))
+        path = str(tmp_path / f"pipeline{k}")
+        PipelineModel([fitted, assembler, trees]).save(path)
+        again = PipelineModel.load(path)
+        assert [s.uid for s in again.stages] == [fitted.uid, assembler.uid, trees.uid]
+        assert again.stages[0].cont_features == ["x"] and again.stages[0].cat_features == fitted.cat_features
+        one, two = (PipelineModel(m).transform(df).select("features", "prediction") for m in ([fitted, assembler, trees], again.stages))
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
+def test_settings_of_a_stage_are_params(spark, tmp_path):
+    df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",)], "c string")
+    stage = N.ParetoBucket(["c"], 0.65)
+    stage.save(str(tmp_path / "stage"))
+    stage = N.ParetoBucket.load(str(tmp_path / "stage"))
+    assert stage.getOrDefault("threshold") == 0.65 and stage.getInputCols() == ["c"]
+
+    def levels(model):
+        return {r["c"] for r in model.transform(df).collect()}
+
+    # A grid sets other values without touching the stage itself.
+    assert levels(stage.fit(df, {stage.threshold: 0.95})) == {"a", "b", "OTROS"}
+    assert levels(stage.fit(df)) == {"a", "OTROS"}
+    for other in (N.LabelEncode(["c"], "own"), N.Impute(["c"], "mean"), N.ClipOutliers(["c"], 2.0), N.OneHot(["c"], 7),
+                  N.MultiLabelEncode(exclude=["z"], suffix="_x", handle_unknown=False)):
+        path = str(tmp_path / type(other).__name__)
+        other.save(path)
+        again = type(other).load(path)
+        assert {p.name: v for p, v in again.extractParamMap().items()} == {p.name: v for p, v in other.extractParamMap().items()}
+
+
 # --------------------------------------------------------------- columns and joins
 
 
