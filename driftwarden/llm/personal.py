@@ -24,13 +24,16 @@ _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]")
-_WORD = re.compile(r"\w+")
-#: An identifier-like token is a run without white space of at most so many characters that holds a digit or an @.
-LONGEST = 64
-#: Characters on each side in which the words of a context are looked for.
+#: Numbers that may be parts of one identifier, what may stand between them, and most digits of an identifier.
+_NUMBER = re.compile(r"[0-9][0-9().-]*")
+_GAP = re.compile(r"\)? ?-? ?\(?")
+DIGITS = 19
+#: Characters other than letters, digits and underscores over which a context reaches from word to word.
 REACH = 60
-#: Rounds of scoring, least confidence of a pattern and of an instance, weight of an instance of unknown kind.
-ROUNDS, SURE_PATTERN, SURE_INSTANCE, UNKNOWN = 3, 0.8, 0.9, 0.25
+#: A longer word stands in a pattern by its digest.
+_SPELT = 64
+#: Least confidence of a pattern and of an instance, weight of an instance of unknown kind.
+SURE_PATTERN, SURE_INSTANCE, UNKNOWN = 0.8, 0.9, 0.25
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -83,8 +86,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return [(k, a, b) for k, find in enumerate(finders) for a, b in find(text)]
 
 
-def _candidates(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Identifier-like tokens that no base match touches, without the punctuation around them."""
+def _tokens(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Runs without white space that hold a digit or an @ and touch no base match, without the punctuation around them."""
     done, i = 0, 0
     taken = sorted(taken)
     for hint in _HINT.finditer(text):
@@ -103,19 +106,68 @@ def _candidates(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int,
             end -= 1
         while i < len(taken) and taken[i][1] <= start:
             i += 1
-        if 0 < end - start <= LONGEST and not (i < len(taken) and taken[i][0] < end):
+        if start < end and not (i < len(taken) and taken[i][0] < end):
+            yield start, end
+
+
+def _candidates(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Identifier-like spans: tokens, and numbers written in groups as one span unless they hold more than DIGITS digits."""
+    chain: list[tuple[int, int]] = []
+
+    def closed() -> list[tuple[int, int]]:
+        if len(chain) > 1 and sum(c.isdigit() for c in text[chain[0][0] : chain[-1][1]]) <= DIGITS:
+            return [(chain[0][0], chain[-1][1])]
+        return chain
+
+    for start, end in _tokens(text, taken):
+        number = _NUMBER.fullmatch(text, start, end) is not None
+        if chain and not (number and start > chain[-1][1] and _GAP.fullmatch(text, chain[-1][1], start)):
+            yield from closed()
+            chain = []
+        if number:
+            chain.append((start, end))
+        else:
             yield start, end
+    yield from closed()
+
+
+def _word_before(text: str, end: int) -> tuple[int, int]:
+    """The span of the last word that ends within REACH characters before ``end``; empty where there is none."""
+    low = max(0, end - REACH)
+    while end > low and not (text[end - 1].isalnum() or text[end - 1] == "_"):
+        end -= 1
+    start = end
+    while start > 0 and (text[start - 1].isalnum() or text[start - 1] == "_"):
+        start -= 1
+    return start, end
+
+
+def _word_after(text: str, start: int) -> tuple[int, int]:
+    high = min(len(text), start + REACH)
+    while start < high and not (text[start].isalnum() or text[start] == "_"):
+        start += 1
+    end = start
+    while end < len(text) and (text[end].isalnum() or text[end] == "_"):
+        end += 1
+    return start, end
+
+
+def _spelt(word: str) -> str:
+    word = word.lower()
+    return word if len(word) <= _SPELT else hashlib.md5(word.encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def contexts(text: str, start: int, end: int) -> list[str]:
     """The patterns of one occurrence: one and two words before it, with and without the word after it."""
-    left = _WORD.findall(text[max(0, start - REACH) : start].lower())[-2:]
-    right = _WORD.findall(text[end : end + REACH].lower())[:1]
-    out = [f"{left[-1]} _"] if left else []
-    if len(left) == 2:
-        out.append(f"{left[0]} {left[1]} _")
+    near = _word_before(text, start)
+    far = _word_before(text, near[0])
+    after = _word_after(text, end)
+    left, before, right = (_spelt(text[a:b]) for a, b in (near, far, after))
+    out = [f"{left} _"] if left else []
+    if left and before:
+        out.append(f"{before} {left} _")
     if left and right:
-        out.append(f"{left[-1]} _ {right[0]}")
+        out.append(f"{left} _ {right}")
     return out
 
 
@@ -159,46 +211,50 @@ def _finder():
     return find
 
 
-def learnt_patterns(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """Score the graph of patterns and instances.
+def learnt_patterns(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Score the graph of patterns and instances until a round finds no further instance.
 
     ``edges`` (pattern, value, kind; -1 where unknown), each once. A pattern
     trusts a kind by the instances of that kind among those it holds, others
     against it and unknown ones at UNKNOWN, with two doubts added; so it takes
     eight seeds at least. An unknown instance is of a kind unless all its
-    trusted patterns of that kind err. Instances found in one round are seeds
-    of the next. Returns (pattern, kind) trusted and (value, kind) found.
+    trusted patterns of that kind err; of several kinds the likeliest counts,
+    the first one listed among equals. What a round finds is a seed of the next
+    and stays found, a trusted pattern stays trusted: so every round but the last
+    adds instances, and the rounds end. Returns (pattern, kind, trust) trusted
+    and (value, kind, belief) found.
     """
-    seeds = edges.where("kind >= 0").select("pattern", "value", "kind", F.lit(1.0).alias("belief"))
     unknown = written(edges.where("kind < 0").select("pattern", "value"), "pii-unknown")
     held = written(
-        seeds.groupBy("pattern", "kind").agg(F.count(F.lit(1)).cast("double").alias("own")), "pii-held"
+        edges.where("kind >= 0").groupBy("pattern", "kind").agg(F.count(F.lit(1)).cast("double").alias("own")), "pii-held"
     )
-    doubts = unknown.groupBy("pattern").agg(F.count(F.lit(1)).alias("unknown"))
-    found = None
-    for _ in range(rounds):
-        own = held
-        if found is not None:
-            more = unknown.join(found, "value").groupBy("pattern", "kind").agg(F.sum("belief").alias("own"))
-            own = held.unionByName(more).groupBy("pattern", "kind").agg(F.sum("own").alias("own"))
+    spark = edges.sparkSession
+    value = edges.schema["value"].dataType.simpleString()
+    found = spark.createDataFrame([], f"value {value}, kind int, belief double")
+    trusted = spark.createDataFrame([], "pattern string, kind int, trust double")
+    while True:
+        more = unknown.join(found, "value").groupBy("pattern", "kind").agg(F.sum("belief").alias("own"))
+        own = held.unionByName(more).groupBy("pattern", "kind").agg(F.sum("own").alias("own"))
+        open_ = unknown.join(found.select("value"), "value", "left_anti")
         total = own.groupBy("pattern").agg(F.sum("own").alias("all"))
+        doubts = open_.groupBy("pattern").agg(F.count(F.lit(1)).alias("unknown"))
         trust = F.col("own") / (F.col("all") + F.lit(UNKNOWN) * F.coalesce("unknown", F.lit(0)) + 2)
-        trusted = written(
+        now = (
             own.join(total, "pattern")
             .join(doubts, "pattern", "left")
             .select("pattern", "kind", trust.alias("trust"))
-            .where(F.col("trust") >= SURE_PATTERN),
-            "pii-patterns",
+            .where(F.col("trust") >= SURE_PATTERN)
         )
-        belief = 1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))
-        found = written(
-            unknown.join(trusted, "pattern")
-            .groupBy("value", "kind")
-            .agg(belief.alias("belief"))
-            .where(F.col("belief") >= SURE_INSTANCE),
-            "pii-instances",
+        trusted = written(
+            trusted.unionByName(now).groupBy("pattern", "kind").agg(F.max("trust").alias("trust")), "pii-patterns"
         )
-    return trusted, found
+        belief = 1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))
+        fresh = open_.join(trusted, "pattern").groupBy("value", "kind").agg(belief.alias("belief"))
+        fresh = fresh.groupBy("value").agg(F.max_by(F.struct("kind", "belief"), F.struct("belief", -F.col("kind"))).alias("b"))
+        fresh = written(fresh.select("value", "b.*").where(F.col("belief") >= SURE_INSTANCE), "pii-instances")
+        if fresh.isEmpty():
+            return trusted, found
+        found = written(found.unionByName(fresh), "pii-found")
 
 
 def _of_kind(kind: int) -> Column:
@@ -211,9 +267,11 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     Columns: doc_id, n_email, n_ip, n_card, n_phone (base matches),
     base_sha256, spans (base and learnt ones, "kind:start:end" by kind and
     start), n_learnt. Base matches are the seeds: the words around them induce
-    patterns, the graph of patterns and instances is scored in rounds, and
-    identifier-like tokens whose patterns are trusted are added under the kind
-    of those patterns. They touch no base match; base matches always stay. A
+    patterns, the graph of patterns and instances is scored in rounds until
+    nothing new is found, and identifier-like spans whose patterns are trusted
+    are added under the kind of those patterns. Such a span holds a digit or an @,
+    as all four kinds do: a run without white space, or numbers joined by the
+    separators of the base patterns. It touches no base match; base matches always stay. A
     NULL or empty text has no spans; repeated rows count as one seed per value
     and get equal results; an empty table gives no rows. Texts are read once;
     only occurrences and their contexts are shuffled, a very common context or

@@ -77,6 +77,89 @@ def test_contexts_find_unseen_identifiers(spark):
     assert got[0]["n_phone"] == 1
 
 
+def test_spaced_numbers_are_one_span(spark):
+    texts = ["my phone is 0171 234 5678 please", "my phone is (0171) 234-5678 please", "my phone is 0171 - 2345 please"]
+    texts += ["my phone is " + "9" * 70 + " please", "my phone is 12 34 56 78 90 12 34 56 78 90 please"]
+    texts += [f"my phone is +49 30 1234 {1000 + i} please" for i in range(30)]
+    got = {r["doc_id"]: r["spans"] for r in personal.personal_data(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(4)] == ["phone:12:25", "phone:13:27", "phone:12:23", "phone:12:82"]
+    assert got[4] == "phone:12:14"  # too many digits for one identifier: the numbers stand alone
+
+
+def candidates(text):
+    return [text[a:b] for a, b in personal._candidates(text, [(a, b) for _, a, b in personal.base_spans(text)])]
+
+
+def test_candidates():
+    assert candidates("at 12 34 then a1 5 6, 7 (8) 9.") == ["12 34", "a1", "5 6", "7 (8) 9"]
+    assert candidates("1\n2 3. 4 -5") == ["1", "2 3", "4 -5"]
+    assert candidates("a@b +49 170 1234567 12") == ["a@b"]  # the base phone takes the 12 as well
+    assert candidates("") == [] and candidates("@ . @") == []
+    assert candidates("1 " * 30) == ["1"] * 30
+
+
+def test_contexts_hold_whole_words():
+    long = "x" * 100
+    digest = hashlib.md5(long.encode()).hexdigest()
+    text = f"to {long} 12 {long}"
+    assert personal.contexts(text, 104, 106) == [f"{digest} _", f"to {digest} _", f"{digest} _ {digest}"]
+    assert personal.contexts("12", 0, 2) == [] and personal.contexts("a" + " " * 61 + "12", 62, 64) == []
+
+
+def plain_scores(edges):
+    """Patterns and instances by the rule of ``learnt_patterns``, in dictionaries; also the rounds taken."""
+    found, trusted, rounds = {}, {}, 0
+    unknown = [(p, v) for p, v, k in edges if k < 0]
+    while True:
+        own, loose = Counter(), Counter(p for p, v in unknown if v not in found)
+        for p, v, k in edges:
+            if k >= 0:
+                own[p, k] += 1
+            elif v in found:
+                own[p, found[v][0]] += found[v][1]
+        total = Counter()
+        for (p, _), n in own.items():
+            total[p] += n
+        for (p, k), n in own.items():
+            trust = n / (total[p] + 0.25 * loose[p] + 2)
+            if trust >= 0.8:
+                trusted[p, k] = max(trust, trusted.get((p, k), 0))
+        doubt = {}
+        for p, v in unknown:
+            for k in range(4):
+                if v not in found and (p, k) in trusted:
+                    doubt[v, k] = doubt.get((v, k), 1.0) * (1 - min(trusted[p, k], 0.999))
+        fresh = {}
+        for (v, k), d in sorted(doubt.items()):
+            if 1 - d >= 0.9 and (v not in fresh or 1 - d > fresh[v][1]):
+                fresh[v] = (k, 1 - d)
+        if not fresh:
+            return trusted, found, rounds
+        rounds += 1
+        found |= fresh
+
+
+def test_patterns_are_scored_until_nothing_is_new(spark):
+    sizes = [200, 100, 60, 40, 30, 20]
+    edges = []
+    for step, n in enumerate(sizes):
+        for i in range(n):
+            name, kind = f"v{step}-{i}", 3 if step == 0 else -1
+            edges += [(f"{c}{step} _", name, kind) for c in "abc"]
+            if step:
+                edges += [(f"{c}{step - 1} _", name, -1) for c in "abc"]
+    rng = random.Random(8)
+    edges += [(f"w{rng.randrange(4)} _", f"r{i}", rng.choice([-1, -1, 0, 1])) for i in range(200)]
+    edges += [("mail _", f"m{i}", 0) for i in range(30)] + [("mail _", "r-both", -1), ("a0 _", "r-both", -1)]
+    edges = sorted(set(edges))
+    trusted, found = personal.learnt_patterns(spark.createDataFrame(edges, "pattern string, value string, kind int"))
+    want_trusted, want_found, rounds = plain_scores(edges)
+    assert rounds == 5 and sum(v.startswith("v") for v in want_found) == sum(sizes[1:])
+    assert {r["value"]: r["kind"] for r in found.collect()} == {v: k for v, (k, _) in want_found.items()}
+    got = {(r["pattern"], r["kind"]): r["trust"] for r in trusted.collect()}
+    assert got.keys() == want_trusted.keys() and all(got[k] == pytest.approx(want_trusted[k]) for k in got)
+
+
 # Lines -------------------------------------------------------------------------------------------------------------
 
 
