@@ -12,12 +12,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftwarden.common import written
 from driftwarden.operators.windows import keep_last
 
 
 def feedback_join(data: DataFrame, outcomes: DataFrame, keys: Sequence[str], period: str = "periodo") -> DataFrame:
-    """Inner join on all keys; if that matches nothing, on the first key with the outcomes' period left out."""
-    full = data.join(outcomes, list(keys))
+    """Inner join on all keys; if that matches nothing, on the first key with the outcomes' period left out.
+
+    The join is written, so that looking whether it is empty does not run it a second time.
+    """
+    full = written(data.join(outcomes, list(keys)), "feedback")
     if not full.isEmpty():
         return full
     timeless = outcomes.select(*[c for c in outcomes.columns if period not in c])

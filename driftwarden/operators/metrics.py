@@ -47,8 +47,11 @@ def segment_values(df: DataFrame, spec: ModelSpec) -> list[str]:
 
 
 def reported_as(segment: str, values: Sequence[str]) -> Column:
-    """The labels a row, or a partial sum, counts under: ``all`` and its own segment if listed."""
-    own = F.array(F.lit("all"), F.col(segment).cast("string"))
+    """The labels a row, or a partial sum, counts under: ``all`` and its own segment if listed.
+
+    A segment that is itself named ``all`` has no line of its own and counts once.
+    """
+    own = F.array_distinct(F.array(F.lit("all"), F.col(segment).cast("string")))
     return F.explode(F.when(F.col(segment).isin(*values), own).otherwise(F.array(F.lit("all"))))
 
 

@@ -74,7 +74,7 @@ def labelled(df: DataFrame, segments: DataFrame, by: Sequence[str]) -> DataFrame
     """Every line under ``all`` and, if its segment is reported, under that; the label replaces the segment."""
     listed = segments.withColumn("__listed", F.lit(True))
     joined = df.alias("d").join(F.broadcast(listed).alias("s"), same("d", "s", [*by, "segment"]), "left")  # k per group
-    own = F.array(F.lit("all"), F.col("d.segment").cast("string"))
+    own = F.array_distinct(F.array(F.lit("all"), F.col("d.segment").cast("string")))
     label = F.explode(F.when(F.col("__listed"), own).otherwise(F.array(F.lit("all"))))
     return joined.select(label.alias("label"), *[F.col(f"d.{c}") for c in df.columns if c != "segment"]).withColumnRenamed("label", "segment")
 

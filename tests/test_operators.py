@@ -259,6 +259,12 @@ def test_encoders_keep_missing_and_unseen_apart(spark):
     assert sorted(codes) == [0, 0, 2]  # a, unseen -> a, missing_value
 
 
+def test_segment_named_all_counts_once(spark):
+    df = spark.createDataFrame([("all", 1), ("a", 2), ("b", 4)], "segment string, x int")
+    got = M.grouping_all_and_segment(df, "segment", ["all", "a"], {"x": F.col("x")})
+    assert {r["segment"]: r["x"] for r in got.collect()} == {"all": 7, "a": 2}
+
+
 def test_pareto_keeps_missing_and_is_strict(spark):
     df = spark.createDataFrame([("a",)] * 8 + [("b",)] * 1 + [("missing_value",)] * 1, "c string")
     out = {r["c"] for r in N.ParetoBucket(["c"], 0.8).fit(df).transform(df).collect()}
