@@ -19,7 +19,18 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: A word is a maximal run of characters other than space, tab, newline, vertical tab, form feed and carriage return.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-__all__ = ["WORD", "columns_of", "components", "groups_of", "held_out", "read", "unit_hash", "written"]
+__all__ = [
+    "WORD",
+    "columns_of",
+    "components",
+    "filter_bits",
+    "groups_of",
+    "held_out",
+    "may_hold",
+    "read",
+    "unit_hash",
+    "written",
+]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -60,6 +71,41 @@ def groups_of(batches: Iterable[pd.DataFrame], key: str) -> Iterator[pd.DataFram
         yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
 
 
+#: Bits of a filter per key, and the most and least bits of one as powers of two (16 MB at most).
+_BITS, _LEAST_BITS, _MOST_BITS = 16, 16, 27
+
+
+def filter_bits(keys: DataFrame) -> tuple[DataFrame, int]:
+    """A hash filter of the 64-bit numbers ``key``: (block, bits) in blocks of 32 768 bits, and its bits as a power of two.
+
+    At most 4 096 blocks of 4 KB, however many keys there are: a filter that is
+    too small for its keys lets more through.
+    """
+    n = max(1, keys.count())
+    power = min(_MOST_BITS, max(_LEAST_BITS, (n * _BITS - 1).bit_length()))
+    place = F.col("key").bitwiseAND(F.lit((1 << power) - 1)) + 1
+    blocks = keys.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    return blocks, power
+
+
+def may_hold(df: DataFrame, key: Column, keys: DataFrame, name: str) -> DataFrame:
+    """``df`` with a boolean ``name``: false only where the 64-bit number ``key`` is none of ``keys`` (key).
+
+    Wide rows stay where they lie; only those marked need a join with the keys.
+    """
+    blocks, power = filter_bits(keys)
+    blocks = F.broadcast(written(blocks, "filter").withColumnsRenamed({"block": "__block", "bits": "__bits"}))  # 16 MB at most
+    low = key.bitwiseAND(F.lit((1 << power) - 1))
+    marked = df.withColumn("__low", F.coalesce(low, F.lit(0))).withColumn("__at", F.shiftright("__low", 15) + 1)
+    bit = F.col("__low").bitwiseAND(F.lit((1 << 15) - 1))
+    byte = F.conv(F.hex(F.substring("__bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    set_ = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8 + 1).cast("int"))) > 0
+    joined = marked.join(blocks, F.col("__at") == F.col("__block"), "left")
+    return joined.withColumn(name, F.coalesce(set_, F.lit(False))).drop("__low", "__at", "__block", "__bits")
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v); the component is its smallest node.
 

@@ -9,57 +9,43 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwarden.llm import shingles
-from driftwarden.llm.common import columns_of
+from driftwarden.llm.common import columns_of, filter_bits, may_hold, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Least words of a tile; share of a test item's words that tiles must cover.
 TILE, COVERAGE = 4, 0.5
-#: Bytes of benchmark text that one scan carries to the executors; a larger benchmark takes more scans.
-SLICE_BYTES = 8 << 20
 _WORD = re.compile(r"\w+")
-
-
-def _matches_type(item_id: str) -> str:
-    tiles = "array<struct<item_start:int,doc_start:int,words:int>>"
-    return f"array<struct<item_id:{item_id},item_words:int,covered:int,tiles:{tiles}>>"
-
-
-
-class Seeds:
-    """The test items of one slice and the places of every run of TILE words, in order of the runs' hashes."""
-
-    def __init__(self, items: list[tuple[int, str | None]]):
-        self.ids = [i for i, _ in items]
-        words = [shingles.word_hashes(_WORD.findall((t or "").lower())) for _, t in items]
-        self.lengths = np.array([len(w) for w in words], np.int64)
-        runs = [shingles.shingle_hashes(w, TILE) if len(w) >= TILE else np.zeros(0, np.uint64) for w in words]
-        hashes = np.concatenate([np.zeros(0, np.uint64), *runs])
-        item = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
-        place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(r)) for r in runs]]).astype(np.int64)
-        order = np.argsort(hashes, kind="stable")
-        self.item, self.place = item[order], place[order]
-        self.keys, first = np.unique(hashes[order], return_index=True)
-        self.first = np.append(first, len(hashes))
-
-    def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, place in the item, place in the text) of every run of TILE words that both hold."""
-        none = np.zeros(0, np.int64)
-        if len(words) < TILE or not len(self.keys):
-            return none, none, none
-        runs = shingles.shingle_hashes(words, TILE)
-        at = np.minimum(np.searchsorted(self.keys, runs), len(self.keys) - 1)
-        where = np.flatnonzero(self.keys[at] == runs)
-        if not len(where):
-            return none, none, none
-        low, high = self.first[at[where]], self.first[at[where] + 1]
-        size = high - low
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        return self.item[entry], self.place[entry], np.repeat(where, size)
+_RUNS = "struct<words:int,runs:array<struct<hash:bigint,places:array<int>>>>"
+_TILED = "struct<covered:int,tiles:array<struct<item_start:int,doc_start:int,words:int>>>"
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the words of a text: runs of letters, digits and underscores in lower case."""
+    return shingles.word_hashes(_WORD.findall((text or "").lower()))
+
+
+def runs_of(words: np.ndarray, bits: np.ndarray | None = None) -> list[dict]:
+    """The hash of every run of TILE words with its places; with ``bits`` only runs whose bit is set."""
+    if len(words) < TILE:
+        return []
+    runs = shingles.shingle_hashes(words, TILE)
+    where = np.arange(len(runs))
+    if bits is not None:
+        low = runs & np.uint64(8 * len(bits) - 1)
+        where = np.flatnonzero((bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1)
+    if not len(where):
+        return []
+    order = where[np.argsort(runs[where], kind="stable")]
+    hashes, first = np.unique(runs[order], return_index=True)
+    return [
+        {"hash": h, "places": p.astype(np.int32)}
+        for h, p in zip(hashes.view(np.int64).tolist(), np.split(order, first[1:]), strict=True)
+    ]
 
 
 def tiling(place: np.ndarray, spot: np.ndarray, length: int, least: int = TILE) -> list[tuple[int, int, int]]:
@@ -100,61 +86,53 @@ def tiling(place: np.ndarray, spot: np.ndarray, length: int, least: int = TILE)
     return sorted(tiles)
 
 
-def matches(text: str | None, seeds: Seeds, coverage: float) -> list[tuple[int, int, int, list[tuple[int, int, int]]]]:
-    """(item, its words, words covered, tiles) of every test item that the tiles cover enough."""
-    item, place, spot = seeds.hits(shingles.word_hashes(_WORD.findall((text or "").lower())))
-    found = []
-    for k in np.unique(item):
-        own, length = item == k, int(seeds.lengths[k])
-        reach = np.zeros(length + 1, np.int64)
-        starts = np.unique(place[own])
-        np.add.at(reach, starts, 1)
-        np.add.at(reach, starts + TILE, -1)
-        if int((np.cumsum(reach)[:length] > 0).sum()) < coverage * length:
-            continue  # no tiling can cover more than the seeds touch
-        tiles = tiling(place[own], spot[own], length)
-        covered = sum(t[2] for t in tiles)
-        if covered >= coverage * length:
-            found.append((seeds.ids[k], length, covered, tiles))
-    return found
-
-
-def _slices(benchmark: DataFrame) -> list[list[tuple[int, str | None]]]:
-    """The benchmark in pieces of at most SLICE_BYTES (or one item), one piece on the driver at a time when read."""
-    sized = benchmark.where("text IS NOT NULL").withColumn("bytes", F.octet_length("text").cast("bigint"))
-    before = Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, -1)
-    cut = F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / F.lit(SLICE_BYTES))
-    total = sized.agg(F.sum("bytes")).first()[0] or 0
-    if total <= SLICE_BYTES:
-        return [[tuple(r) for r in sized.select("item_id", "text").collect()]] if total else []
-    cutted = sized.withColumn("cut", cut)
-    return [
-        [tuple(r) for r in cutted.where(F.col("cut") == k).select("item_id", "text").collect()]
-        for k in range(int(total // SLICE_BYTES) + 1)
-    ]
-
-
-def _finder(seeds: Seeds, coverage: float, items: DataFrame):
-    @F.pandas_udf(_matches_type(items.schema["item_id"].dataType.simpleString()))
-    def find(texts: pd.Series) -> pd.Series:
-        out = []
+def covering(hits: list, length: int, coverage: float) -> tuple[int, list[tuple[int, int, int]]]:
+    """(words covered, tiles) of one item in one text from the places of their common runs, or nothing if too few."""
+    starts = np.concatenate([np.asarray(p, np.int64) for p, _ in hits])
+    reach = np.zeros(length + 1, np.int64)
+    np.add.at(reach, starts, 1)
+    np.add.at(reach, starts + TILE, -1)
+    if int((np.cumsum(reach)[:length] > 0).sum()) < coverage * length:
+        return 0, []  # no tiling can cover more than the seeds touch
+    place = np.concatenate([np.repeat(np.asarray(p, np.int64), len(s)) for p, s in hits])
+    spot = np.concatenate([np.tile(np.asarray(s, np.int64), len(p)) for p, s in hits])
+    tiles = tiling(place, spot, length)
+    return sum(t[2] for t in tiles), tiles
+
+
+def _runs(bits: np.ndarray | None = None):
+    @F.pandas_udf(_RUNS)
+    def find(texts: pd.Series) -> pd.DataFrame:
+        rows = []
         for text in texts:
-            out.append(
-                [
-                    {
-                        "item_id": i,
-                        "item_words": n,
-                        "covered": c,
-                        "tiles": [{"item_start": a, "doc_start": b, "words": w} for a, b, w in tiles],
-                    }
-                    for i, n, c, tiles in matches(text, seeds, coverage)
-                ]
-            )
-        return pd.Series(out)
+            words = word_hashes(text)
+            rows.append((len(words), runs_of(words, bits)))
+        return pd.DataFrame(rows, columns=["words", "runs"])
 
     return find
 
 
+def _tiled(coverage: float):
+    @F.pandas_udf(_TILED)
+    def tile(hits: pd.Series, lengths: pd.Series) -> pd.DataFrame:
+        rows = []
+        for pairs, length in zip(hits, lengths, strict=True):
+            covered, tiles = covering(list(pairs), int(length), coverage)
+            rows.append((covered, [{"item_start": a, "doc_start": b, "words": w} for a, b, w in tiles]))
+        return pd.DataFrame(rows, columns=["covered", "tiles"])
+
+    return tile
+
+
+def _packed(seeds: DataFrame) -> np.ndarray:
+    """The filter of the seeds' hashes as bytes: 16 MB at most."""
+    blocks, power = filter_bits(seeds.select(F.col("hash").alias("key")).distinct())
+    out = np.zeros(max(4096, (1 << power) // 8), np.uint8)
+    for r in blocks.collect():
+        out[(r["block"] - 1) * 4096 : r["block"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -171,34 +149,50 @@ def contaminated(
     any order in the document, so reordered passages are found; each word of
     item and document belongs to one tile at most. NULL and empty texts, on
     either side, match nothing, like items shorter than a tile; repeated rows
-    give repeated results; empty tables give no rows. Documents are scanned
-    where they lie and nothing but matches leaves a task.
+    give repeated results; empty tables give no rows.
+
+    The seeds are a table (hash of a run of words, item, places). Documents are
+    scanned once, where they lie: a filter of the seeds' hashes, 16 MB at most,
+    lets through the runs that an item may hold, and these are joined with the
+    seeds, a run that a text or an item repeats being one row. Tiles are found
+    per document and item, from no more than the common runs of the two.
     """
     rows = columns_of(docs, doc_id=key, text=text)
-    items = columns_of(benchmark, item_id=item, text=item_text)
-    found = []
-    for piece in _slices(items):
-        find = _finder(Seeds(piece), coverage, items)
-        hit = rows.select("doc_id", F.explode(find(F.col("text"))).alias("m"))
-        found.append(hit.select("doc_id", "m.item_id", "m.item_words", "m.covered", "m.tiles"))
-    if not found:
-        find = _finder(Seeds([]), coverage, items)
-        empty = rows.limit(0).select("doc_id", F.explode(find(F.col("text"))).alias("m"))
-        found.append(empty.select("doc_id", "m.item_id", "m.item_words", "m.covered", "m.tiles"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.select(
-        "doc_id", "item_id", "item_words", "covered", (F.col("covered") / F.col("item_words")).alias("coverage"), "tiles"
+    items = columns_of(benchmark, item_id=item, text=item_text).where("text IS NOT NULL")
+    numbered = items.select("item_id", F.monotonically_increasing_id().alias("item"), _runs()(F.col("text")).alias("r"))
+    numbered = written(numbered.select("item_id", "item", F.col("r.words").alias("item_words"), "r.runs"), "benchmark-runs")
+    seeds = numbered.select("item_id", "item", "item_words", F.inline("runs").alias("hash", "places"))
+    held = rows.select("doc_id", F.monotonically_increasing_id().alias("row"), _runs(_packed(seeds))(F.col("text")).alias("r"))
+    held = written(held.select("doc_id", "row", "r.runs").where(F.size("runs") > 0), "document-runs")
+    spots = held.select("doc_id", "row", F.inline("runs").alias("hash", "spots"))
+    pairs = (
+        spots.join(seeds, "hash")
+        .groupBy("row", "doc_id", "item", "item_id", "item_words")
+        .agg(F.sum(F.size("places")).alias("starts"), F.collect_list(F.array("places", "spots")).alias("hits"))
+        .where(F.col("starts") * TILE >= F.col("item_words") * F.lit(float(coverage)))
+    )
+    found = pairs.select("doc_id", "item_id", "item_words", _tiled(coverage)(F.col("hits"), F.col("item_words")).alias("t"))
+    found = found.select("doc_id", "item_id", "item_words", "t.covered", "t.tiles")
+    share = F.col("covered") / F.col("item_words")
+    return found.where(F.col("covered") >= F.lit(float(coverage)) * F.col("item_words")).where("covered > 0").select(
+        "doc_id", "item_id", "item_words", "covered", share.alias("coverage"), "tiles"
     )
 
 
 def without_benchmark(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
-    """``docs`` without the documents that hold a test item, all columns as they are. NULL and empty texts stay."""
-    items = columns_of(benchmark, item_id=item, text=item_text)
-    for piece in _slices(items):
-        find = _finder(Seeds(piece), COVERAGE, items)
-        docs = docs.where(F.coalesce(F.size(find(F.col(f"`{text}`"))), F.lit(0)) <= 0)
-    return docs
+    """``docs`` without the documents that hold a test item, all columns as they are. NULL and empty texts stay.
+
+    Texts are known by their md5. Only rows that a filter of the contaminated
+    ones marks are joined with them; all others stay where they lie.
+    """
+    digest = F.md5(F.col(f"`{text}`").cast("binary"))
+    rows = docs.select(digest.alias("digest"), F.col(f"`{text}`").alias("text"))
+    hit = contaminated(rows, benchmark, "digest", "text", item, item_text).select(F.col("doc_id").alias("__digest"))
+    hit = written(hit.distinct(), "contaminated")
+    marked = may_hold(docs.withColumn("__md5", digest), F.xxhash64("__md5"), hit.select(F.xxhash64("__digest").alias("key")), "__may")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    clean = marked.where(~F.col("__may")).select(*columns)
+    rest = marked.where("__may").join(hit, F.col("__md5") == F.col("__digest"), "left_anti").select(*columns)
+    return clean.unionByName(rest)

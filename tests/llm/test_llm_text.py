@@ -13,7 +13,7 @@ from llm_cases import documents
 from pyspark.sql import functions as F
 
 from driftwarden.llm import decontamination as D
-from driftwarden.llm import licenses, lines, near, personal, quality, toxicity
+from driftwarden.llm import common, licenses, lines, near, personal, quality, toxicity
 from driftwarden.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -398,9 +398,9 @@ def slow_tiling(item, doc, least):
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.sampled_from("abc"), min_size=4, max_size=12), st.lists(st.sampled_from("abc"), min_size=4, max_size=16))
 def test_tiles_cover_what_greedy_tiling_covers(item, doc):
-    seeds = D.Seeds([(1, " ".join(item))])
-    _, place, spot = seeds.hits(D.shingles.word_hashes(doc))
-    got = D.tiling(place, spot, len(item)) if len(place) else []
+    own, theirs = ({r["hash"]: r["places"] for r in D.runs_of(D.shingles.word_hashes(w))} for w in (item, doc))
+    hits = [(places, theirs[h]) for h, places in own.items() if h in theirs]
+    got = D.covering(hits, len(item), 0.0)[1] if hits else []
     want = slow_tiling(item, doc, D.TILE)
     assert sorted((k for _, _, k in got), reverse=True)[:1] == sorted((k for _, _, k in want), reverse=True)[:1]
     assert all(item[i : i + k] == doc[j : j + k] for i, j, k in got)
@@ -419,11 +419,40 @@ def test_reordered_passage_is_found(spark):
     assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {1, 2, 3, 4}
 
 
-def test_slices_give_the_same_matches(spark, monkeypatch):
+def test_seed_join_is_the_plain_tiling(spark, monkeypatch):
+    """Every document against every item, also where the filter of the seeds lets nearly every run through."""
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
-    whole = D.contaminated(docs, bench).drop("tiles").collect()
-    monkeypatch.setattr(D, "SLICE_BYTES", 2_000)
-    assert sorted(D.contaminated(docs, bench).drop("tiles").collect()) == sorted(whole)
+    texts = {r["doc_id"]: D.word_hashes(r["text"]) for r in docs.collect()}
+    want = {}
+    for r in bench.collect():
+        words = D.word_hashes(r["text"])
+        own = {h["hash"]: h["places"] for h in D.runs_of(words)}
+        for i, text in texts.items():
+            hits = [(own[h["hash"]], h["places"]) for h in D.runs_of(text) if h["hash"] in own]
+            covered, tiles = D.covering(hits, len(words), D.COVERAGE) if hits else (0, [])
+            if covered >= D.COVERAGE * len(words) > 0:
+                want[i, r["item_id"]] = (len(words), covered, tiles)
+
+    def rows():
+        found = D.contaminated(docs, bench).collect()
+        return {(r["doc_id"], r["item_id"]): (r["item_words"], r["covered"], [tuple(t) for t in r["tiles"]]) for r in found}
+
+    assert want and rows() == want
+    left = {r["doc_id"] for r in D.without_benchmark(docs, bench).collect()}
+    assert left == set(texts) - {i for i, _ in want}
+    monkeypatch.setattr(common, "_LEAST_BITS", 15)
+    monkeypatch.setattr(common, "_MOST_BITS", 15)
+    assert rows() == want
+
+
+def test_filter_marks_every_key(spark):
+    keys = spark.range(0, 3000, 3).select(F.xxhash64("id").alias("key"))
+    marked = common.may_hold(spark.range(6000), F.xxhash64("id"), keys, "may")
+    got = {r["id"]: r["may"] for r in marked.collect()}
+    assert len(got) == 6000 and all(got[i] for i in range(0, 3000, 3))
+    assert sum(got.values()) < 2000  # few others: two thirds of the bits would be far more
+    none = common.may_hold(spark.range(5).withColumn("n", F.lit(None).cast("long")), F.col("n"), keys.limit(0), "may")
+    assert none.columns == ["id", "n", "may"] and not any(r["may"] for r in none.collect())
 
 
 # Awkward tables ----------------------------------------------------------------------------------------------------
