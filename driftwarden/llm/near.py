@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftwarden.llm import shingles
-from driftwarden.llm.common import columns_of, components, groups_of, written
+from driftwarden.llm.common import columns_of, components, groups_of, may_hold, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -265,9 +265,18 @@ def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     fields = "bucket bigint, path bigint, side int, node bigint"
     active = written(_sorted(_bucketed(leaves, sketched)).mapInPandas(_taken_up, fields), "near-active")
-    wanted = sets.join(active.select("node").distinct(), "node").select("node", "rep", F.col("raw").alias("rep_raw"))
+    wanted = written(
+        sets.join(active.select("node").distinct(), "node").select("node", "rep", F.col("raw").alias("rep_raw")), "near-wanted"
+    )
+    # Only the texts of documents that stand for a wanted set leave the place where they lie.
+    marked = may_hold(
+        rows.withColumn("raw", F.md5(F.col("text").cast("binary"))),
+        F.xxhash64("doc_id", "raw"),
+        wanted.select(F.xxhash64("rep", "rep_raw").alias("key")),
+        "may",
+    )
     members = written(
-        rows.withColumn("raw", F.md5(F.col("text").cast("binary")))
+        marked.where("may")
         .join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("raw") == F.col("rep_raw")))
         .dropDuplicates(["node"])
         .select("node", _members(F.col("text")).alias("members")),
@@ -328,16 +337,20 @@ def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     The document with the smallest id stays; of rows that repeat it, the one
     whose columns have the least hash, so that the choice does not depend on how
-    the rows lie.
+    the rows lie. Documents that a filter of the copied and linked ones does not
+    mark stay where they lie; the others are joined.
     """
-    found = near_documents(docs, key, text).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("raw").alias("__raw"), (F.col("n_copies") > 1).alias("__copied")
-    )
-    found = found.groupBy("__id", "__raw").agg(F.max("__copied").alias("__copied"))
-    mine = docs.withColumn("__md5", F.md5(F.col(f"`{text}`").cast("binary")))
-    joined = mine.join(found, F.col(f"`{key}`").eqNullSafe(F.col("__id")) & F.col("__md5").eqNullSafe(F.col("__raw")))
+    result = written(near_documents(docs, key, text), "near-result")
+    touched = result.where("NOT kept OR n_copies > 1").select(F.xxhash64("doc_id", "raw").alias("key"))
+    found = result.where("kept").groupBy(F.col("doc_id").alias("__id"), F.col("raw").alias("__raw"))
+    found = found.agg(F.max(F.col("n_copies") > 1).alias("__copied"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    mine = docs.withColumn("__md5", F.md5(F.col(f"`{text}`").cast("binary")))
+    marked = may_hold(mine, F.xxhash64(F.col(f"`{key}`"), "__md5"), touched, "__may")
+    joined = marked.where("__may").join(
+        found, F.col(f"`{key}`").eqNullSafe(F.col("__id")) & F.col("__md5").eqNullSafe(F.col("__raw"))
+    )
     again = Window.partitionBy("__id", "__raw").orderBy(F.xxhash64(*columns))
     alone = joined.where(~F.col("__copied")).select(*columns)
     first = joined.where("__copied").withColumn("__n", F.row_number().over(again)).where("__n = 1").select(*columns)
-    return alone.unionByName(first)
+    return marked.where(~F.col("__may")).select(*columns).unionByName(alone).unionByName(first)
