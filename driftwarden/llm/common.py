@@ -72,7 +72,7 @@ def groups_of(batches: Iterable[pd.DataFrame], key: str) -> Iterator[pd.DataFram
 
 
 #: Bits of a filter per key, and the most and least bits of one as powers of two (16 MB at most).
-_BITS, _LEAST_BITS, _MOST_BITS = 16, 16, 27
+_BITS, _LEAST_BITS, _MOST_BITS = 256, 16, 27
 
 
 def filter_bits(keys: DataFrame) -> tuple[DataFrame, int]:
