@@ -10,7 +10,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import SparseVector, Vector, Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwarden.common import written
@@ -23,9 +23,37 @@ TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
 def token_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """``doc, token, tf``. A document sits in one task, so partial counts leave one row per token to shuffle."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    return df.select(doc, F.explode(tokens).alias("token")).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
+    """``doc, token, tf``, the tokens of a text counted inside its row.
+
+    What a task holds is one text, however many it reads. Only documents that
+    lie in several rows are added up by document and token; NULL is a document.
+    """
+    ids = df.groupBy(F.col(doc).alias("__id")).agg(F.count(F.lit(1)).alias("__rows"))
+    several = ids.where("__rows > 1").select("__id")
+    same = F.col(doc).eqNullSafe(F.col("__id"))
+    rows = df.select(doc, text)
+    repeated = _counted(rows.join(several, same, "left_semi"), doc, text).groupBy(doc, "token").agg(F.sum("tf").alias("tf"))
+    return _counted(rows.join(several, same, "left_anti"), doc, text).unionByName(repeated)
+
+
+def _counted(rows: DataFrame, doc: str, text: str) -> DataFrame:
+    """``doc, token, tf`` of every row: the lengths of the runs of its sorted tokens."""
+    tokens = F.sort_array(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)))
+
+    def runs(found: Column) -> Column:
+        n = F.size(found)
+        places = F.sequence(F.lit(0), n - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(found, i) != F.get(found, i - 1)))
+        # Bound to a variable, as the tokens are: an outer expression would be computed once per element.
+        counted = F.transform(F.array(starts), lambda at: _lengths(found, at, n))
+        return F.when(n > 0, F.get(counted, F.lit(0)))
+
+    return rows.select(doc, F.inline(F.get(F.transform(F.array(tokens), runs), F.lit(0))))
+
+
+def _lengths(found: Column, starts: Column, n: Column) -> Column:
+    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(n))
+    return F.zip_with(starts, ends, lambda a, b: F.struct(F.get(found, a).alias("token"), (b - a).cast("bigint").alias("tf")))
 
 
 def vocabulary(counts: DataFrame, min_df: int = 1) -> DataFrame:

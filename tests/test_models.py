@@ -1,5 +1,7 @@
 """Training, attribution and saving."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -167,3 +169,18 @@ def test_attributions_as_arrays_have_the_same_sums(spark, rows):
     assert lines(E.shap_summary(wide, spec, ["u"])) == lines(E.shap_summary(long, spec, ["u"]))
     best = E.best_features(T.gain_importance(model, spark, FEATURES), 2)
     assert lines(E.shap_individual(wide, "id", best)) == lines(E.shap_individual(long, "id", best))
+
+
+def test_tokens_are_counted_inside_their_rows(spark):
+    rows = [(1, "Ab ab cd"), (2, None), (3, ""), (None, "xx yy"), (None, "xx"), (1, "cd zz"), (4, "ab"), (5, "a")]
+    counted = TF.token_counts(spark.createDataFrame(rows, "d int, t string"), "d", "t")
+    got = {(r["d"], r["token"]): r["tf"] for r in counted.collect()}
+    assert got == {(1, "ab"): 2, (1, "cd"): 2, (1, "zz"): 1, (None, "xx"): 2, (None, "yy"): 1, (4, "ab"): 1}
+    assert counted.count() == len(got)
+    # Only documents in several rows are grouped by token: a task keeps no table of all its documents' tokens.
+    whole = counted._jdf.queryExecution().optimizedPlan()
+    while "Union" not in whole.nodeName():
+        whole = whole.children().head()
+    plans = [whole.children().apply(i).toString() for i in range(whole.children().size())]
+    grouped = [re.search(r"Aggregate \[d#\d+, token#", p) is not None for p in plans]
+    assert sorted(grouped) == [False, True]
