@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwarden.common import melt, melt_text, ratio, union_all, written
+from driftwarden.common import melt, melt_text, ratio, together, union_all, written
 from driftwarden.functions.scalars import band_label, band_number
 from driftwarden.operators import drift as D
 from driftwarden.operators import explain as E
@@ -63,7 +64,8 @@ def sums_of(rows: DataFrame, spec: ModelSpec, by: Sequence[str]) -> Sums:
 
 
 def kept(sums: Sums) -> Sums:
-    return Sums(written(sums.cells, "cells"), written(sums.scores, "scores"), written(sums.counts, "value-counts"))
+    named = {"cells": sums.cells, "scores": sums.scores, "value-counts": sums.counts}
+    return Sums(*together(sums.cells.sparkSession, *[partial(written, df, name) for name, df in named.items()]))
 
 
 def performance_lines(sums: Sums, limits: DataFrame, spec: ModelSpec, by: Sequence[str]) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftwarden.common import written
+from driftwarden.common import together, written
 from driftwarden.operators import value_counts as V
 from driftwarden.operators.drift import drift_of
 from driftwarden.plans import periods as R
@@ -71,10 +72,13 @@ def monitor_stream_periods(
         spark = batch.sparkSession
         rows = written(batch, "arrived")
         own = R.sums_of(rows, spec, by)
-        for name in names:
+
+        def store(name: str) -> None:
             sums = getattr(own, name).select("*", key, F.lit(batch_id).alias("batch_id"))
             writer = sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(PERIOD, "batch_id").parquet(f"{root}/sums/{name}")
+
+        together(spark, *[partial(store, name) for name in names])
         touched = [r[0] for r in rows.select(key).distinct().collect()]  # periods of one batch
         if not touched:
             return
@@ -87,16 +91,20 @@ def monitor_stream_periods(
         parts = R.Sums(*[so_far(name) for name in names])
         whole = R.added([parts], by)
         sums = R.kept(R.Sums(whole.cells, whole.scores, whole.counts.unionByName(known)))
-        drift = drift_of(sums.counts, spec.cat_features, spec.cont_features, by)
-        marts = {
-            "perf__general_metrics": R.performance_lines(sums, limits, spec, by),
-            "drift__general": drift.general,
-            "drift__specific": drift.specific,
-        }
-        for name, mart in marts.items():
+
+        def replace(name: str, mart: DataFrame) -> None:
             writer = mart.select("*", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(PERIOD).parquet(f"{root}/{name}")
 
+        def performance() -> None:
+            replace("perf__general_metrics", R.performance_lines(sums, limits, spec, by))
+
+        def drift() -> None:
+            found = drift_of(sums.counts, spec.cat_features, spec.cont_features, by)
+            together(spark, partial(replace, "drift__general", found.general), partial(replace, "drift__specific", found.specific))
+
+        together(spark, performance, drift)
+
     return (
         arriving.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)

@@ -22,7 +22,7 @@ from driftwarden.operators import profile as P
 from driftwarden.operators import split as S
 from driftwarden.operators import windows as W
 from driftwarden.operators.joins import feedback_join
-from driftwarden.operators.quantiles import exact_percentiles
+from driftwarden.operators.quantiles import bucket_of, exact_percentiles, value_cuts
 from driftwarden.spec import ModelSpec
 
 TWO = ModelSpec(id_features=("id",), cat_features=(), cont_features=("x",), sub_cols=("p0", "p1"))
@@ -412,3 +412,15 @@ def test_cleaning_in_the_engine_equals_the_library(spark):
     words = ["ab"]
     whole = no_tags.select("t", TX.clean_text(F.col("t"), words).alias("a"), TX.clean_text(F.col("t"), words, exact=True).alias("b"))
     assert whole.where("NOT (a <=> b)").head(3) == []
+
+
+def test_buckets_count_the_borders_below_by_halving(spark):
+    values = [(float(v % 700), "a") for v in range(2000)] + [(5.0, "b")] * 3 + [(None, "b"), (float("inf"), "a"), (-1.5, "a")]
+    df = spark.createDataFrame(values, "v double, g string")
+    placed = df.join(value_cuts(df, ["g"], "v"), "g").withColumn("bucket", bucket_of("v"))
+    flat = F.flatten("__fine")
+    # Coarse borders lie between the fine ones of two neighbouring groups.
+    want = F.size(F.filter("__coarse", lambda b: b < F.col("v"))) + F.size(F.filter(flat, lambda b: b < F.col("v")))
+    assert placed.where(~F.col("bucket").eqNullSafe(want) & F.col("v").isNotNull()).count() == 0
+    assert placed.where("v IS NULL").first()["bucket"] == 0
+    assert placed._jdf.queryExecution().optimizedPlan().toString().count("filter(") == 0

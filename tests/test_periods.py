@@ -1,13 +1,15 @@
 """Marts of all periods at once against each period on its own, sums in parts, reruns, awkward groups."""
 
 import random
+import threading
 from collections import Counter
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from driftwarden.catalog.explaining import WEIGHTS, shap_importance
-from driftwarden.common import written
+from driftwarden.common import together, written
 from driftwarden.functions.scalars import equal_width_bands
 from driftwarden.operators import drift as D
 from driftwarden.operators import explain as E
@@ -196,3 +198,15 @@ def test_performance_of_two_classes_and_listed_segments(spark):
         alone = equal_width_bands(alone, ["p0", "p1"])
         want = M.general_metric_mart(alone, spec)
         assert lines(mart.where(F.col("run") == run).drop("run"), want.columns) == lines(want, want.columns)
+
+
+def test_independent_jobs_run_at_the_same_time(spark):
+    meet = threading.Barrier(3, timeout=60)
+
+    def job(n):
+        meet.wait()
+        return spark.range(n).count()
+
+    assert together(spark, *[partial(job, n) for n in (1, 2, 3)]) == [1, 2, 3]
+    with pytest.raises(ZeroDivisionError):
+        together(spark, lambda: 1, lambda: 1 / 0)
