@@ -53,6 +53,15 @@ def tokens_of(members: np.ndarray) -> np.ndarray:
     return best
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """Tokens as bytes, the lowest byte of all of them first: these TOKENS bytes are the set's sketch."""
+    return tokens.view(np.uint8).reshape(TOKENS, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, TOKENS).T.copy().view(np.uint32).ravel()
+
+
 def extended(path: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Children of each path: the tokens that a hash of path and token chooses. All sets choose alike."""
     named = shingles.scramble((np.arange(TOKENS, dtype=np.uint64) << np.uint64(32)) + tokens.astype(np.uint64))
@@ -84,7 +93,7 @@ def _signed(texts: pd.Series) -> pd.DataFrame:
         members = np.unique(shingles.shingle_hashes(shingles.word_hashes(words)))
         tokens = tokens_of(members)
         key = hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest()
-        rows.append((key, len(members), tokens.tobytes(), extended(_ROOTS, tokens).view(np.int64)))
+        rows.append((key, len(members), packed(tokens), extended(_ROOTS, tokens).view(np.int64)))
     return pd.DataFrame(rows, columns=["key", "n", "tokens", "paths"])
 
 
@@ -92,7 +101,7 @@ def _signed(texts: pd.Series) -> pd.DataFrame:
 def _children(path: pd.Series, tokens: pd.Series) -> pd.Series:
     return pd.Series(
         [
-            extended(np.array([p], np.int64).view(np.uint64), np.frombuffer(t, np.uint32)).view(np.int64)
+            extended(np.array([p], np.int64).view(np.uint64), unpacked(t)).view(np.int64)
             for p, t in zip(path, tokens, strict=True)
         ]
     )
@@ -112,7 +121,7 @@ def likely_pairs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     none = np.zeros(0, np.int64)
     if g < 2:
         return none, none
-    sketch = np.stack([np.frombuffer(t, np.uint8)[::4] for t in group["tokens"]])
+    sketch = np.stack([np.frombuffer(t, np.uint8) for t in group["sketch"]])
     least = int(np.ceil(SKETCHED * TOKENS))
     close = np.zeros((g, g), bool)
     for i in range(g - 1):
@@ -261,7 +270,7 @@ def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     leaves = written(_leaves(sets), "near-leaves")
     of_node = leaves.groupBy("node").agg(F.collect_set("path").alias("paths"))  # some tens of numbers
     sketched = written(
-        sets.select("node", "tokens", "copies").join(of_node, "node"), "near-sketched"
+        sets.select("node", F.substring("tokens", 1, TOKENS).alias("sketch"), "copies").join(of_node, "node"), "near-sketched"
     )
     fields = "bucket bigint, path bigint, side int, node bigint"
     active = written(_sorted(_bucketed(leaves, sketched)).mapInPandas(_taken_up, fields), "near-active")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from compare import connect, difference
 from llm_cases import documents
+from pyspark.sql import functions as F
 
 from driftwarden.llm import mixing, near, sharding, shingles, vectors
 from driftwarden.llm.common import components
@@ -276,3 +277,19 @@ def test_pipeline(spark):
     assert max(Counter(ids["mixing"]).values()) <= 2
     rows = P.run(spark, SF).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(ids["mixing"])
+
+
+def test_buckets_carry_sketches_not_tokens(spark, monkeypatch):
+    tokens = np.random.default_rng(3).integers(0, 1 << 32, near.TOKENS, dtype=np.uint32)
+    data = near.packed(tokens)
+    assert (near.unpacked(data) == tokens).all()
+    assert data[: near.TOKENS] == tokens.tobytes()[::4]
+    seen = []
+    plain = near._sorted
+    monkeypatch.setattr(near, "_sorted", lambda rows: seen.append(rows) or plain(rows))
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "other words")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near.near_documents(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+    assert len(seen) == 2 and all("tokens" not in rows.columns for rows in seen)
+    assert {r["n"] for rows in seen for r in rows.select(F.length("sketch").alias("n")).collect()} == {near.TOKENS}
