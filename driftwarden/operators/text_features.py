@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.linalg import SparseVector, Vector, Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
@@ -18,8 +22,13 @@ from driftwarden.functions.scalars import recode_values
 from driftwarden.functions.text import clean_text
 from driftwarden.operators.windows import keep_first, row_surrogate_id
 
+# Send the helper functions themselves: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: a token is a run of at least two word characters.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
+# Vectors worked on at a time, so that a batch needs no working arrays of its own length.
+_AT_ONCE = 1024
 
 
 def token_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -92,8 +101,9 @@ def tfidf(
 class LogTermFrequency(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Counts ``n`` of a vector column as ``1 + ln(n)``; places without a count stay empty, NULL stays NULL.
 
-    Vectors keep their sparse form: an Arrow function sees the counts of a
-    document, never an array as long as the vocabulary.
+    Vectors keep their sparse form, and a batch stays the few Arrow arrays that
+    it travels as: no object per document or number, never an array as long as
+    the vocabulary.
     """
 
     def __init__(self, inputCol: str | None = None, outputCol: str | None = None):
@@ -101,18 +111,37 @@ class LogTermFrequency(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
         self._set(inputCol=inputCol, outputCol=outputCol)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        @F.udf(VectorUDT(), useArrow=True)
-        def damped(counts: Vector | None) -> SparseVector | None:
-            if counts is None:
-                return None
-            places = counts.indices if isinstance(counts, SparseVector) else np.arange(len(counts))
-            numbers = counts.values
-            held = numbers > 0
-            return Vectors.sparse(len(counts), places[held], 1.0 + np.log(numbers[held]))
+        @F.arrow_udf(VectorUDT())
+        def damped(counts: pa.Array) -> pa.Array:
+            return pa.concat_arrays([_damped(counts[i : i + _AT_ONCE]) for i in range(0, max(len(counts), 1), _AT_ONCE)])
 
         return df.withColumn(self.getOutputCol(), damped(F.col(f"`{self.getInputCol()}`")))
 
 
+def _damped(vectors: pa.StructArray) -> pa.StructArray:
+    """Sparse vectors of ``1 + ln(n)`` for the counts above zero of a batch of vectors."""
+    _, size, indices, values = vectors.flatten()
+    lengths = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
+    counts = values.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    dense = pc.and_(vectors.is_valid(), pc.is_null(indices)).to_numpy(zero_copy_only=False)
+    place = np.arange(len(counts)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # of a dense vector
+    place[~dense[row]] = indices.flatten().to_numpy(zero_copy_only=False)
+    held = counts > 0
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row[held], minlength=len(lengths)))]).astype(np.int32)
+    fields = list(vectors.type)
+    return pa.StructArray.from_arrays(
+        [
+            pa.array(np.zeros(len(lengths), np.int8)),
+            pa.array(np.where(dense, lengths, pc.fill_null(size, 0).to_numpy(zero_copy_only=False)).astype(np.int32)),
+            pa.ListArray.from_arrays(ends, place[held].astype(np.int32), type=fields[2].type),
+            pa.ListArray.from_arrays(ends, 1.0 + np.log(counts[held]), type=fields[3].type),
+        ],
+        fields=fields,
+        mask=vectors.is_null(),
+    )
+
+
 def term_weights(model: PipelineModel, df: DataFrame, key: str, features: str = "features") -> DataFrame:
     """``key, token, weight``: the sparse features that a trained text model gives to each row."""
     counter = next(s for s in model.stages if isinstance(s, CountVectorizerModel))

@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -184,3 +185,24 @@ def test_tokens_are_counted_inside_their_rows(spark):
     plans = [whole.children().apply(i).toString() for i in range(whole.children().size())]
     grouped = [re.search(r"Aggregate \[d#\d+, token#", p) is not None for p in plans]
     assert sorted(grouped) == [False, True]
+
+
+def test_damped_counts_of_a_batch_stay_arrow_arrays():
+    kinds = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    batch = pa.array(
+        [
+            {"type": 1, "size": None, "indices": None, "values": [0.0, 1.0, np.e]},
+            {"type": 0, "size": 9, "indices": [2, 5, 7], "values": [np.e, 0.0, 1.0]},
+            None,
+            {"type": 0, "size": 9, "indices": [], "values": []},
+        ],
+        kinds,
+    )
+    want = [
+        {"type": 0, "size": 3, "indices": [1, 2], "values": [1.0, 2.0]},
+        {"type": 0, "size": 9, "indices": [2, 7], "values": [2.0, 1.0]},
+        None,
+        {"type": 0, "size": 9, "indices": [], "values": []},
+    ]
+    assert TF._damped(batch).to_pylist() == want and TF._damped(batch[1:3]).to_pylist() == want[1:3]
+    assert TF._damped(batch[:0]).to_pylist() == []
