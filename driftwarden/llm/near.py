@@ -28,6 +28,7 @@ SKETCHED = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / TOKENS) ** 0.5
 _SEEDS = np.random.default_rng(5)
 _MULTIPLIERS = _SEEDS.integers(1, 1 << 32, TOKENS, dtype=np.uint32) | np.uint32(1)
 _SHIFTS = _SEEDS.integers(0, 1 << 32, TOKENS, dtype=np.uint32)
+_UNDONE = np.array([pow(int(m), -1, 1 << 32) for m in _MULTIPLIERS], np.uint32)
 #: A token is taken for a path with probability 1 / (threshold x tokens): one in the mean for two sets at the threshold.
 _CHANCE = np.uint64(int(2**64 / (THRESHOLD * TOKENS)))
 
@@ -42,9 +43,13 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(shingles.shingle_hashes(shingles.word_hashes(words_of(text))))
 
 
+def _folded(members: np.ndarray) -> np.ndarray:
+    return (members >> np.uint64(32)).astype(np.uint32) ^ members.astype(np.uint32)
+
+
 def tokens_of(members: np.ndarray) -> np.ndarray:
     """The least member of a set under each of TOKENS hashes."""
-    low = (members >> np.uint64(32)).astype(np.uint32) ^ members.astype(np.uint32)
+    low = _folded(members)
     best = np.full(TOKENS, np.uint32(0xFFFFFFFF))
     for at in range(0, len(low), 2048):
         mixed = low[at : at + 2048, None] * _MULTIPLIERS[None, :] + _SHIFTS[None, :]
@@ -53,6 +58,18 @@ def tokens_of(members: np.ndarray) -> np.ndarray:
     return best
 
 
+def named(members: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The members of a set that its tokens stand for, all 64 bits of them.
+
+    Tokens are least numbers, so those of different members meet once in some
+    10 million sets at a few hundred members each; members do not.
+    """
+    low = _folded(members)
+    order = np.argsort(low, kind="stable")
+    mixed = tokens ^ (tokens >> np.uint32(15)) ^ (tokens >> np.uint32(30))
+    return members[order[np.searchsorted(low, (mixed - _SHIFTS) * _UNDONE, sorter=order)]]
+
+
 def packed(tokens: np.ndarray) -> bytes:
     """Tokens as bytes, the lowest byte of all of them first: these TOKENS bytes are the set's sketch."""
     return tokens.view(np.uint8).reshape(TOKENS, 4).T.tobytes()
@@ -75,7 +92,7 @@ _ROOTS = shingles.scramble(np.arange(1, RUNS + 1, dtype=np.uint64))
 
 _SIGNED = (
     T.StructType()
-    .add("key", T.StringType())
+    .add("key", T.BinaryType())
     .add("n", T.IntegerType())
     .add("tokens", T.BinaryType())
     .add("paths", T.ArrayType(T.LongType()))
@@ -92,8 +109,9 @@ def _signed(texts: pd.Series) -> pd.DataFrame:
             continue
         members = np.unique(shingles.shingle_hashes(shingles.word_hashes(words)))
         tokens = tokens_of(members)
-        key = hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest()
-        rows.append((key, len(members), packed(tokens), extended(_ROOTS, tokens).view(np.int64)))
+        key = hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest()
+        paths = extended(_ROOTS, named(members, tokens)).view(np.int64)
+        rows.append((key, len(members), packed(tokens), paths))
     return pd.DataFrame(rows, columns=["key", "n", "tokens", "paths"])
 
 
@@ -107,11 +125,6 @@ def _children(path: pd.Series, tokens: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf(T.BinaryType())
-def _members(texts: pd.Series) -> pd.Series:
-    return pd.Series([shingle_set(t).tobytes() for t in texts])
-
-
 def likely_pairs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one bucket whose sketches agree and that meet in no bucket of a smaller name.
 
@@ -148,7 +161,7 @@ def likely_pairs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _verified(group: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which pairs have a Jaccard similarity of THRESHOLD or more, exactly."""
     used = np.unique(np.concatenate([a, b]))
-    sets = {i: np.frombuffer(group["members"].iloc[i], np.uint64) for i in used}
+    sets = {i: shingle_set(group["text"].iloc[i]) for i in used}
     if len(a) <= 4 * len(used) + 64:
         shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(a, b, strict=True)])
     else:
@@ -240,8 +253,9 @@ def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     with a path in common share a bucket, and a bucket above SMALL sets is split
     by further tokens, DEPTH times at most. What is still larger (a group of
     near copies) is compared block by block, so no task holds more than two
-    blocks. Pairs with agreeing sketches are verified on whole shingle sets, in
-    the one bucket of least name that both share, and leave the task as counts
+    blocks. Buckets carry sketches; tokens stay with the documents' own rows,
+    but for sets in a bucket to be split, and texts follow only to pairs with
+    agreeing sketches. These are verified on whole shingle sets, in the one bucket of least name that both share, and leave the task as counts
     and cluster edges, never as pairs. A pair at the threshold shares no path
     of one step in all rounds with probability exp(-1)^10, of three steps with
     0.63^10: the recall aimed at is 0.99 or more.
@@ -253,48 +267,35 @@ def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = columns_of(docs, doc_id=key, text=text)
     base = written(
         rows.select("doc_id", F.md5(F.col("text").cast("binary")).alias("raw"), _signed(F.col("text")).alias("s")).select(
-            "doc_id", "raw", "s.*"
+            "doc_id", "raw", "s.*", F.monotonically_increasing_id().alias("node")
         ),
         "near-base",
     )
     counted = base.where("key IS NOT NULL").groupBy("key").agg(
         F.count(F.lit(1)).alias("copies"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("at"), "doc_id", "raw", "tokens", "paths")).alias("s"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("at"), "doc_id", "raw", "node")).alias("s"),
     )
     sets = written(
-        counted.select(
-            "key", F.col("s.doc_id").alias("rep"), "copies", "s.raw", "s.tokens", "s.paths", F.monotonically_increasing_id().alias("node")
-        ),
+        counted.select("key", F.col("s.doc_id").alias("rep"), "copies", F.struct("s.doc_id", "s.raw").alias("who"), "s.node"),
         "near-sets",
     )
-    leaves = written(_leaves(sets), "near-leaves")
+    leaves = _leaves(base, sets)
     of_node = leaves.groupBy("node").agg(F.collect_set("path").alias("paths"))  # some tens of numbers
-    sketched = written(
-        sets.select("node", F.substring("tokens", 1, TOKENS).alias("sketch"), "copies").join(of_node, "node"), "near-sketched"
-    )
+    sketches = base.select("node", F.substring("tokens", 1, TOKENS).alias("sketch"))
+    sketched = written(of_node.join(sketches, "node").join(sets.select("node", "copies"), "node"), "near-sketched")
     fields = "bucket bigint, path bigint, side int, node bigint"
     active = written(_sorted(_bucketed(leaves, sketched)).mapInPandas(_taken_up, fields), "near-active")
-    wanted = written(
-        sets.join(active.select("node").distinct(), "node").select("node", "rep", F.col("raw").alias("rep_raw")), "near-wanted"
-    )
+    asked = written(active.join(sketched, "node").join(sets.select("node", "who"), "node"), "near-asked")
     # Only the texts of documents that stand for a wanted set leave the place where they lie.
     marked = may_hold(
-        rows.withColumn("raw", F.md5(F.col("text").cast("binary"))),
-        F.xxhash64("doc_id", "raw"),
-        wanted.select(F.xxhash64("rep", "rep_raw").alias("key")),
+        rows.withColumn("who", F.struct("doc_id", F.md5(F.col("text").cast("binary")).alias("raw"))),
+        F.xxhash64("who.doc_id", "who.raw"),
+        asked.select("who").distinct().select(F.xxhash64("who.doc_id", "who.raw").alias("key")),
         "may",
     )
-    members = written(
-        marked.where("may")
-        .join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("raw") == F.col("rep_raw")))
-        .dropDuplicates(["node"])
-        .select("node", _members(F.col("text")).alias("members")),
-        "near-members",
-    )
+    texts = marked.where("may").select("who", "text").dropDuplicates(["who"])
     found = written(
-        _sorted(active.join(sketched, "node").join(members, "node")).mapInPandas(
-            _linked, "node bigint, links bigint, root bigint"
-        ),
+        _sorted(asked.join(texts, "who").drop("who")).mapInPandas(_linked, "node bigint, links bigint, root bigint"),
         "near-links",
     )
     joined = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
@@ -317,14 +318,15 @@ def near_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def _leaves(sets: DataFrame) -> DataFrame:
+def _leaves(base: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, path, size) of the final buckets with two sets or more."""
-    now = sets.select("node", F.explode("paths").alias("path"))
+    first = base.select("node", "paths").join(sets.select("node"), "node", "left_semi")
+    now = first.select("node", F.explode("paths").alias("path"))
     done = []
     for depth in range(DEPTH):
         now = written(now, "near-paths")
         sizes = now.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        sized = now.join(sizes, "path")
+        sized = written(now.join(sizes, "path").select("node", "path", "size"), "near-sized")
         if depth == DEPTH - 1:
             done.append(sized)
             break
@@ -332,12 +334,15 @@ def _leaves(sets: DataFrame) -> DataFrame:
         large = sized.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
-        now = large.join(sets.select("node", "tokens"), "node").select(
+        # Only the tokens of sets in a large bucket leave the place where they lie.
+        node = F.xxhash64("node")
+        held = may_hold(base.select("node", "tokens"), node, large.select("node").distinct().select(node.alias("key")), "may")
+        now = large.join(held.where("may").select("node", "tokens"), "node").select(
             "node", F.explode(_children(F.col("path"), F.col("tokens"))).alias("path")
         )
-    out = done[0].select("node", "path", "size")
+    out = done[0]
     for more in done[1:]:
-        out = out.unionByName(more.select("node", "path", "size"))
+        out = out.unionByName(more)
     return out
 
 

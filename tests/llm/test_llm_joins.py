@@ -293,3 +293,34 @@ def test_buckets_carry_sketches_not_tokens(spark, monkeypatch):
     assert got == {1: 1, 2: 1, 3: 3}
     assert len(seen) == 2 and all("tokens" not in rows.columns for rows in seen)
     assert {r["n"] for rows in seen for r in rows.select(F.length("sketch").alias("n")).collect()} == {near.TOKENS}
+
+
+def test_different_members_with_one_token_share_no_path():
+    """Tokens have 32 bits: over many sets they meet by chance, which must not make buckets grow faster than the input."""
+    rng = np.random.default_rng(6)
+    a = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    turned = rng.integers(1, 1 << 32, len(a), dtype=np.uint64)
+    b = np.sort(a ^ (turned << np.uint64(32)) ^ turned)
+    tokens = near.tokens_of(a)
+    assert (near.tokens_of(b) == tokens).all() and not set(a.tolist()) & set(b.tolist())
+    mine, others = near.named(a, tokens), near.named(b, tokens)
+    assert set(mine.tolist()) <= set(a.tolist()) and set(others.tolist()) <= set(b.tolist())
+    assert all(near.tokens_of(np.array([m], np.uint64))[i] == tokens[i] for i, m in enumerate(mine))
+    paths = [set(near.extended(near._ROOTS, x).tolist()) for x in (mine, others)]
+    assert paths[0] and paths[1] and not paths[0] & paths[1]
+
+
+def test_tokens_and_shingle_sets_are_written_once(spark, monkeypatch):
+    """Ids that are NULL or repeated, splits at work: what travels is sketches, and texts only to likely pairs."""
+    seen, marked, plain, held = [], [], near.written, near.may_hold
+    monkeypatch.setattr(near, "written", lambda df, label: seen.append((label, df.columns)) or plain(df, label))
+    monkeypatch.setattr(near, "may_hold", lambda df, key, keys, name: marked.append(df.columns) or held(df, key, keys, name))
+    monkeypatch.setattr(near, "SMALL", 2)
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text), (2, text + " end"), (2, text + " end"), (3, text + " last"), (4, "other words"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r["doc_id"] or 0, r["class_id"] or 0, r["n_links"], r["n_copies"]) for r in near.near_documents(docs).collect())
+    assert got == [(0, 2, 3, 1), (2, 2, 3, 2), (2, 2, 3, 2), (3, 2, 3, 1), (4, 4, 0, 1), (5, 5, 0, 1)]
+    assert {label for label, columns in seen if "tokens" in columns} == {"near-base"}
+    assert not any("members" in columns or "text" in columns for _, columns in seen)
+    assert ["node", "tokens"] in marked
