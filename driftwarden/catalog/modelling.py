@@ -44,7 +44,7 @@ def binary_model(rows):
 def quality(scored, spec):
     """Log-loss and AUC on training and validation rows."""
     side = F.when(F.col("validation"), "validation").otherwise("training")
-    sides = written(scored.withColumn("side", side), "scores")
+    sides = written(scored.select(side.alias("side"), spec.name_target, *spec.sub_cols), "scores")
     loss = M.metric_log_loss(sides, spec, ["side"])
     return loss.join(M.metric_auc(sides, spec, ["side"]), "side")
 

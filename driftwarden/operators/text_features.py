@@ -47,17 +47,21 @@ def token_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
 
 def _counted(rows: DataFrame, doc: str, text: str) -> DataFrame:
     """``doc, token, tf`` of every row: the lengths of the runs of its sorted tokens."""
-    tokens = F.sort_array(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)))
+    return rows.select(doc, runs(F.sort_array(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)))))
 
-    def runs(found: Column) -> Column:
+
+def runs(tokens: Column) -> Column:
+    """``token, tf`` lines of a sorted array of tokens."""
+
+    def counted(found: Column) -> Column:
         n = F.size(found)
         places = F.sequence(F.lit(0), n - 1)
         starts = F.filter(places, lambda i: (i == 0) | (F.get(found, i) != F.get(found, i - 1)))
         # Bound to a variable, as the tokens are: an outer expression would be computed once per element.
-        counted = F.transform(F.array(starts), lambda at: _lengths(found, at, n))
-        return F.when(n > 0, F.get(counted, F.lit(0)))
+        lengths = F.transform(F.array(starts), lambda at: _lengths(found, at, n))
+        return F.when(n > 0, F.get(lengths, F.lit(0)))
 
-    return rows.select(doc, F.inline(F.get(F.transform(F.array(tokens), runs), F.lit(0))))
+    return F.inline(F.get(F.transform(F.array(tokens), counted), F.lit(0)))
 
 
 def _lengths(found: Column, starts: Column, n: Column) -> Column:
@@ -144,6 +148,8 @@ def _damped(vectors: pa.StructArray) -> pa.StructArray:
 
 def term_weights(model: PipelineModel, df: DataFrame, key: str, features: str = "features") -> DataFrame:
     """``key, token, weight``: the sparse features that a trained text model gives to each row."""
+    if hasattr(model.stages[-1], "weights"):  # a model whose vocabulary is a table
+        return model.stages[-1].weights(df, key)
     counter = next(s for s in model.stages if isinstance(s, CountVectorizerModel))
     spark = df.sparkSession
     names = spark.createDataFrame(list(enumerate(counter.vocabulary)), "place int, token string")

@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import TrainValidationSplit
@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwarden.common import melt, scratch_path, union_all
+from driftwarden.operators import wide_text
 from driftwarden.operators.explain import Attribution, long_form
 from driftwarden.operators.folds import ROLES, VALIDATION
-from driftwarden.operators.text_features import TOKEN, LogTermFrequency
+from driftwarden.operators.text_features import LogTermFrequency
 
 # Send the helper functions themselves: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,6 +33,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Defaults of a training.
 DEFAULTS = {"seed": 60, "test_size": 0.33, "l_rate": 0.06, "n_estimators": 3000, "max_depth": 5}
 
+# Fixed value: tokens times classes up to which a text model is held by the driver; its search holds some 25 numbers of each.
+DRIVER_COEFFICIENTS = 1 << 18
+
 # Searched ranges per model kind as (type, low, high, logarithmic).
 SEARCH_SPACES = {
     "LGB": {
@@ -102,10 +106,14 @@ def train_text(
     """Token counts or 1 + ln(counts), idf + 1 weights, rows of length one, multinomial logistic regression.
 
     The features are those of ``text_features.tfidf``. ``c`` is the inverse penalty on the summed loss; Spark's penalty is on the mean loss.
+    A vocabulary too large for the driver gives the same model with its tokens and coefficients in a table (``wide_text``).
     """
-    tokenizer = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=TOKEN, gaps=False)
+    tokenizer = wide_text.tokenizer(text)
     # Every token counts: the vocabulary is as large as the texts make it, not Spark's default.
     found = tokenizer.transform(df).select(F.explode("tokens").alias("token")).distinct().count()
+    classes = (df.agg(F.max(F.col(label).cast("double"))).first()[0] or 0.0) + 1.0
+    if found * classes > DRIVER_COEFFICIENTS:
+        return PipelineModel([wide_text.fit(df, text, label, int(classes), min_df, use_idf, max_iter, c, sublinear)])
     counter = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=min_df, vocabSize=max(found, 1))
     counting = Pipeline(stages=[tokenizer, counter]).fit(df)
     counted = counting.transform(df)

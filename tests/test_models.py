@@ -14,6 +14,7 @@ from pyspark.sql import types as T_
 from driftwarden.operators import explain as E
 from driftwarden.operators import text_features as TF
 from driftwarden.operators import training as T
+from driftwarden.operators import wide_text as W
 from driftwarden.plans import jobs
 from driftwarden.spec import ModelSpec
 
@@ -206,3 +207,47 @@ def test_damped_counts_of_a_batch_stay_arrow_arrays():
     ]
     assert TF._damped(batch).to_pylist() == want and TF._damped(batch[1:3]).to_pylist() == want[1:3]
     assert TF._damped(batch[:0]).to_pylist() == []
+
+
+def test_vocabulary_beyond_the_driver_gives_the_same_text_model(spark, tmp_path, monkeypatch):
+    draw = np.random.default_rng(5)
+    likely = 1 / np.arange(1, 121)
+    texts = [""]
+    for i in range(1, 150):
+        shares = likely * np.where(np.arange(120) % 3 == i % 3, 2.0, 1.0)
+        texts.append(" ".join(draw.choice([f"w{k}" for k in range(120)], draw.integers(0, 30), p=shares / shares.sum())))
+    df = spark.createDataFrame([(i, t, i % 3 if i % 5 else 0) for i, t in enumerate(texts)], "id int, t string, y int").repartition(3).checkpoint()
+    settings = {"min_df": 2, "max_iter": 7, "sublinear": True}
+    held = T.train_text(df, "t", "y", **settings)
+    # Few tokens in a block and in a part, so that all of what is shared out has several pieces.
+    for name, value in {"_BLOCK_TOKENS": 300, "_PART_COEFFICIENTS": 60}.items():
+        monkeypatch.setattr(W, name, value)
+    monkeypatch.setattr(T, "DRIVER_COEFFICIENTS", 0)
+    wide = T.train_text(df, "t", "y", **settings)
+    assert not any(hasattr(s, "vocabulary") or hasattr(s, "coefficientMatrix") for s in wide.stages)
+    wide.save(str(tmp_path / "wide"))
+    wide = PipelineModel.load(str(tmp_path / "wide"))
+    last, (counter, regression) = wide.stages[-1], (held.stages[1], held.stages[-1])
+    assert last.getOrDefault("objectiveHistory") == pytest.approx(list(regression.summary.objectiveHistory), abs=1e-12)
+    assert last.getOrDefault("intercepts") == pytest.approx(list(regression.interceptVector.toArray()), abs=1e-9)
+    got = {r["token"]: r["coefficients"] for r in last.terms.collect()}
+    want = dict(zip(counter.vocabulary, regression.coefficientMatrix.toArray().T))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(list(want[k]), abs=1e-9) for k in want)
+
+    def lines(model):
+        scored = T.score(model, df, ["p0", "p1", "p2"]).join(model.transform(df).select("id", "prediction"), "id")
+        return {r["id"]: tuple(r[c] for c in ("t", "y", "p0", "p1", "p2", "prediction")) for r in scored.collect()}
+
+    a, b = lines(wide), lines(held)
+    assert a.keys() == b.keys() and all(a[i][:2] == b[i][:2] and a[i][2:] == pytest.approx(b[i][2:], abs=1e-9) for i in b)
+    weights = [{(r["id"], r["token"]): r["weight"] for r in TF.term_weights(m, df, "id").collect()} for m in (wide, held)]
+    assert weights[0].keys() == weights[1].keys() and all(weights[0][k] == pytest.approx(v, abs=1e-12) for k, v in weights[1].items())
+
+
+def test_wide_text_model_of_one_class_and_of_no_class(spark, monkeypatch):
+    df = spark.createDataFrame([(0, "uno dos", 1), (1, "dos", 1), (2, "", 1)], "id int, t string, y int")
+    held = T.score(T.train_text(df, "t", "y", max_iter=3), df, ["p0", "p1"]).orderBy("id").collect()
+    monkeypatch.setattr(T, "DRIVER_COEFFICIENTS", 0)
+    assert T.score(T.train_text(df, "t", "y", max_iter=3), df, ["p0", "p1"]).orderBy("id").collect() == held
+    with pytest.raises(ValueError, match="1 labels"):
+        T.train_text(df.withColumn("y", F.when(F.col("id") > 0, F.col("y"))), "t", "y", max_iter=3)
