@@ -1,7 +1,7 @@
 """The trained text model over more tokens than a driver can hold: its vocabulary is a table, its vectors lie in tasks.
 
 Documents are coded in blocks, each with a dictionary of its own, so that what is shuffled is a line per block and word,
-not per document and word. The regression is the one of Spark ML (multinomial, scaled and centred features, penalty on the
+not per document and word. A group of blocks is one task, and what it is sent and sends is a number per word of the group. The regression is the one of Spark ML (multinomial, scaled and centred features, penalty on the
 unscaled coefficients) with the same steps: L-BFGS with a strong Wolfe line search. The driver sees only products of the
 search's vectors with each other; the vectors themselves are arrays in parts of the vocabulary. Classes sum to zero in every
 vector, so the last one is not kept.
@@ -36,8 +36,10 @@ from driftwarden.operators.text_features import TOKEN, runs
 # Send the helper functions themselves: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Tokens of a block, words of all blocks and coefficients in one part of the vocabulary.
-_BLOCK_TOKENS, _PART_WORDS, _PART_COEFFICIENTS = 1 << 21, 1 << 19, 1 << 16
+# Tokens of a block, words of its blocks in a group, words of all blocks and coefficients in a part of the vocabulary.
+_BLOCK_TOKENS, _GROUP_WORDS, _PART_WORDS, _PART_COEFFICIENTS = 1 << 21, 1 << 21, 1 << 19, 1 << 16
+# A word's number in its part is below this bit, in a key the part's number lies above it.
+_PART_BIT = 40
 # Fixed values of Spark's regression: steps remembered, tolerance, values compared, line search.
 _MEMORY, _TOLERANCE, _VALUES, _TRIES, _ARMIJO, _CURVATURE = 10, 1e-6, 20, 10, 1e-4, 0.9
 # Iterations between two cuts of the lineage.
@@ -141,29 +143,62 @@ def _moments(x: dict) -> np.ndarray:
     return np.stack([n, first + total / n, np.maximum(np.bincount(codes, apart * apart, words) - total * total / n, 0.0)], axis=1)
 
 
+def _merge(total: np.ndarray, at: np.ndarray, moments: np.ndarray) -> None:
+    (count, mean, apart), (more, other, beside) = total[at].T, moments.T
+    delta, both = other - mean, count + more
+    total[at] = np.stack([both, mean + delta * more / both, apart + beside + delta * delta * count * more / both], axis=1)
+
+
+def _add(total: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    total[at] += values
+
+
 # ------------------------------------------------------------------------ parts
 
 
+def _keys(parts: int, place: np.ndarray) -> np.ndarray:
+    """Places in the order of the parts they lie in."""
+    return (place % parts) << _PART_BIT | place // parts
+
+
 def _linked(parts: int, links: pa.Table) -> pa.Table:
-    """One part of the vocabulary: the positions of its words in the order in which each block lists them."""
-    block, local, place = (links.column(c).to_numpy() for c in ("block", "local", "place"))
-    order = np.lexsort((local, block))
-    blocks, starts = np.unique(block[order], return_index=True)
-    positions = np.split((place[order] // parts).astype(np.int32), starts[1:])
-    held = pickle.dumps({int(b): p for b, p in zip(blocks, positions)}, 5)
+    """One part of the vocabulary: the positions of its words that each group holds."""
+    group, place = (links.column(c).to_numpy() for c in ("group", "place"))
+    cells = np.unique(group << _PART_BIT | place // parts)
+    groups, starts = np.unique(cells >> _PART_BIT, return_index=True)
+    positions = np.split((cells & ((1 << _PART_BIT) - 1)).astype(np.int32), starts[1:])
+    held = pickle.dumps(dict(zip(groups.tolist(), positions)), 5)
     return pa.table({"part": pa.array([int(place[0]) % parts], pa.int64()), "held": pa.array([held], pa.binary())})
 
 
+def _listed(parts: int, links: pa.Table) -> pa.Table:
+    """The keys of the words of a group, in order."""
+    held = np.unique(_keys(parts, links.column("place").to_numpy())).tobytes()
+    return pa.table({"group": pa.array([links.column("group")[0].as_py()], pa.int64()), "held": pa.array([held], pa.binary())})
+
+
 def _matrix(parts: int, sublinear: bool, coded: pa.Table, links: pa.Table) -> pa.Table:
-    """A block over the known words, and which of them lie in which part."""
+    """A block over the known words, in the order of their keys."""
     line = coded.to_pylist()[0]
-    local, place = links.column("local").to_numpy(), links.column("place").to_numpy()
-    order = np.argsort(local)
-    x = _entries(line, local[order], links.column("weight").to_numpy()[order], sublinear)
-    part = place[order] % parts
-    x["parts"] = {int(p): np.flatnonzero(part == p).astype(np.int32) for p in np.unique(part)}
-    x["labels"] = np.frombuffer(line["tags"], float).astype(np.int64)
-    return pa.table({"block": pa.array([line["block"]], pa.int64()), "held": pa.array([pickle.dumps(x, 5)], pa.binary())})
+    keys = _keys(parts, links.column("place").to_numpy())
+    order = np.argsort(keys)
+    x = _entries(line, links.column("local").to_numpy()[order], links.column("weight").to_numpy()[order], sublinear)
+    x |= {"block": line["block"], "keys": keys[order], "labels": np.frombuffer(line["tags"], float).astype(np.int64)}
+    return pa.table({"group": pa.array([line["group"]], pa.int64()), "held": pa.array([pickle.dumps(x, 5)], pa.binary())})
+
+
+def _placed(parts: int) -> Callable:
+    """Blocks with the places of their words among those of the group, and where the group's words of every part begin."""
+
+    def use(items: Iterator) -> Iterator[tuple]:
+        for group, held, _, sent in _met(items):
+            listed = np.frombuffer(sent[group][0][0], np.int64) if group in sent else np.zeros(0, np.int64)
+            x = pickle.loads(held)
+            x["at"] = np.searchsorted(listed, x.pop("keys")).astype(np.int32)
+            x["cuts"] = np.searchsorted(listed, np.arange(parts + 1) << _PART_BIT)
+            yield group, (_HELD, x)
+
+    return use
 
 
 def _over(use: Callable, *sides: RDD) -> RDD:
@@ -186,35 +221,43 @@ def _kept(rdd: RDD) -> RDD:
 
 
 def _met(items: Iterator) -> Iterator[tuple]:
-    """Key, held value, document state and what was sent by whom, of a stream that ends with the held values."""
+    """Key and held value, and all document states and what was sent by key, of a stream that ends with the held values."""
     sent, docs = defaultdict(list), {}
     for key, (kind, *value) in items:
         if kind == _SENT:
             sent[key].append(value)
         elif kind == _DOCS:
-            docs[key] = value
+            docs[value[0]] = value[1:]
         else:
-            yield key, value[0], docs.pop(key, None), sorted(sent.pop(key, []), key=lambda v: v[0])
+            yield key, value[0], docs, sent
+
+
+def _summed(items: Iterator, of: Callable, into: Callable, columns: int) -> Iterator[tuple]:
+    """To every part what ``of`` gives for the words of its blocks, put together for a group."""
+    totals = {}
+    for group, x, docs, _ in _met(items):
+        _, total = totals.setdefault(group, (x["cuts"], np.zeros((x["cuts"][-1], columns))))
+        into(total, x["at"], of(x, docs))
+    for group, (cuts, total) in totals.items():
+        for part in np.flatnonzero(np.diff(cuts)).tolist():
+            yield part, (_SENT, group, total[cuts[part] : cuts[part + 1]])
 
 
-def _to_parts(block: int, x: dict, values: np.ndarray) -> Iterator[tuple]:
-    for part, words in x["parts"].items():
-        yield part, (_SENT, block, values[words])
+def _received(sent: list) -> list:
+    """In the order of the senders."""
+    return sorted(sent, key=lambda v: v[0])
 
 
 def _scaled(n: int, columns: int) -> Callable:
-    """Parts with the scale and shift of their words, from the moments that the blocks have sent."""
+    """Parts with the scale and shift of their words, from the moments that the groups have sent."""
 
     def use(items: Iterator) -> Iterator[tuple]:
         for part, links, _, sent in _met(items):
             size = 1 + max(int(p.max()) for p in links.values())
-            count, mean, apart = np.zeros(size), np.zeros(size), np.zeros(size)
-            for block, moments in sent:
-                at, (m, other, more) = links[block], moments.T
-                delta, both = other - mean[at], count[at] + m
-                apart[at] += more + delta * delta * count[at] * m / both
-                mean[at] += delta * m / both
-                count[at] = both
+            total = np.zeros((size, 3))
+            for group, moments in _received(sent.pop(part)):
+                _merge(total, links[group], moments)
+            count, mean, apart = total.T
             variance = (apart + mean * mean * count * (n - count) / n) / max(n - 1, 1)
             inverse = np.divide(1.0, np.sqrt(variance), out=np.zeros(size), where=variance > 0)
             state = {"links": links, "inverse": inverse, "shift": mean * count / n * inverse, "s": [], "y": []}
@@ -224,13 +267,13 @@ def _scaled(n: int, columns: int) -> Callable:
 
 
 def _directed(coefficients: np.ndarray) -> Callable:
-    """To every block the words' share in the next direction, a sum of the search's vectors."""
+    """To every group its words' share in the next direction, a sum of the search's vectors."""
 
     def use(items: Iterator) -> Iterator[tuple]:
         for part, (_, state) in items:
             values = np.tensordot(coefficients, _basis(state), 1) * state["inverse"][:, None]
-            for block, at in state["links"].items():
-                yield block, (_SENT, part, values[at])
+            for group, at in state["links"].items():
+                yield group, (_SENT, part, values[at])
 
     return use
 
@@ -239,11 +282,12 @@ def _moved(step: float, intercept: np.ndarray) -> Callable:
     """Margins after the last step, and along the next direction."""
 
     def use(items: Iterator) -> Iterator[tuple]:
-        for block, x, (labels, margins, along), sent in _met(items):
-            values = np.zeros((len(x["weights"]), len(intercept)))
-            for part, share in sent:
-                values[x["parts"][part]] = share
-            yield block, (_DOCS, labels, margins + step * along, _times(x, values) + intercept)
+        shares = {}
+        for group, x, docs, sent in _met(items):
+            if group not in shares:
+                shares[group] = np.concatenate([np.zeros((0, len(intercept))), *(v for _, v in _received(sent.pop(group, [])))])
+            labels, margins, along = docs.pop(x["block"])
+            yield group, (_DOCS, x["block"], labels, margins + step * along, _times(x, shares[group][x["at"]]) + intercept)
 
     return use
 
@@ -263,19 +307,19 @@ def _residuals(labels: np.ndarray, margins: np.ndarray) -> tuple[float, np.ndarr
 
 def _tried(step: float) -> Callable:
     def use(item: tuple) -> tuple:
-        block, (_, labels, margins, along) = item
+        _, (_, block, labels, margins, along) = item
         loss, apart = _residuals(labels, margins + step * along)
         return block, loss, float((apart * along).sum() + (apart.sum(axis=1) * along.sum(axis=1)).sum()), apart.sum(axis=0)
 
     return use
 
 
-def _gradients(step: float) -> Callable:
-    def use(items: Iterator) -> Iterator[tuple]:
-        for block, x, (labels, margins, along), _ in _met(items):
-            yield from _to_parts(block, x, _transposed_times(x, _residuals(labels, margins + step * along)[1]))
+def _gradients(step: float, columns: int) -> Callable:
+    def of(x: dict, docs: dict) -> np.ndarray:
+        labels, margins, along = docs.pop(x["block"])
+        return _transposed_times(x, _residuals(labels, margins + step * along)[1])
 
-    return use
+    return lambda items: _summed(items, of, _add, columns)
 
 
 def _updated(step: float, coefficients: np.ndarray | None, intercept: np.ndarray, n: int, penalty: float, memory: int) -> Callable:
@@ -284,8 +328,8 @@ def _updated(step: float, coefficients: np.ndarray | None, intercept: np.ndarray
     def use(items: Iterator) -> Iterator[tuple]:
         for part, old, _, sent in _met(items):
             total = np.zeros_like(old["w"])
-            for block, values in sent:
-                total[old["links"][block]] += values
+            for group, values in _received(sent.pop(part)):
+                total[old["links"][group]] += values
             new = dict(old)
             moved = None if coefficients is None else step * np.tensordot(coefficients, _basis(old), 1)
             if moved is not None:
@@ -402,11 +446,16 @@ class _Fitted:
 
 def _minimised(spark: SparkSession, x: RDD, parts: RDD, labels: np.ndarray, max_iter: int, penalty: float) -> _Fitted:
     """The mean loss's minimum over the coefficients, by the steps of Spark's regression from the classes' shares."""
-    n, columns, blocks, pieces = int(labels.sum()), len(labels) - 1, x.getNumPartitions(), parts.getNumPartitions()
+    n, columns, tasks, pieces = int(labels.sum()), len(labels) - 1, x.getNumPartitions(), parts.getNumPartitions()
     start = np.log1p(labels)
     point = (start - start.mean())[:-1]
     intercepts = [point]
-    docs = _kept(x.map(lambda v: (v[0], (_DOCS, v[1][1]["labels"], *[np.tile(r, (len(v[1][1]["labels"]), 1)) for r in (point, point * 0)])), True))
+
+    def begun(item: tuple) -> tuple:
+        group, (_, held) = item
+        return group, (_DOCS, held["block"], held["labels"], *(np.tile(v, (len(held["labels"]), 1)) for v in (point, 0 * point)))
+
+    docs = _kept(x.map(begun, preservesPartitioning=True))
 
     def tried(step: float) -> tuple[float, float, np.ndarray]:
         found = sorted(docs.map(_tried(step)).collect(), key=lambda v: v[0])
@@ -414,7 +463,7 @@ def _minimised(spark: SparkSession, x: RDD, parts: RDD, labels: np.ndarray, max_
 
     def update(step: float, direction: np.ndarray | None, total: np.ndarray, memory: int, cut: bool) -> list[np.ndarray]:
         nonlocal parts
-        sent = _sent(_over(_gradients(step), docs, x), pieces)
+        sent = _sent(_over(_gradients(step, columns), docs, x), pieces)
         old, parts = parts, _kept(_over(_updated(step, direction, total, n, penalty, memory), sent, parts))
         if cut:
             parts.checkpoint()
@@ -438,7 +487,7 @@ def _minimised(spark: SparkSession, x: RDD, parts: RDD, labels: np.ndarray, max_
         try:
             direction = _direction(both, history)
             old, along = docs, direction @ over
-            sent = _sent(parts.mapPartitions(_directed(direction)), blocks)
+            sent = _sent(parts.mapPartitions(_directed(direction)), tasks)
             docs = _kept(_over(_moved(step, along - direction @ shift), sent, docs, x))
             step, cut = 0.0, iteration % _CUT == _CUT - 1
             if cut:
@@ -511,15 +560,20 @@ def fit(df: DataFrame, text: str, label: str, n_classes: int, min_df: float, use
         return _model(text, sublinear, intercepts, table, [0.0])
     columns = n_classes - 1
     pieces = max(math.ceil(met / _PART_WORDS), math.ceil((size + 1) * columns / _PART_COEFFICIENTS))
-    tasks = min(blocks, 4 * spark.sparkContext.defaultParallelism)
-
-    parts = links.groupBy((F.col("place") % pieces).alias("part")).applyInArrow(lambda t: _linked(pieces, t), "part bigint, held binary")
-    matrix = coded.drop("words").groupBy("block").cogroup(links.groupBy("block")).applyInArrow(
-        lambda a, b: _matrix(pieces, sublinear, a, b), "block bigint, held binary"
+    tasks = min(blocks, max(spark.sparkContext.defaultParallelism, math.ceil(met / _GROUP_WORDS)))
+    # The task that made a block and the block's number there: neighbours go to different groups.
+    group = (F.shiftright("block", 32) + F.col("block").bitwiseAND((1 << 32) - 1)) % tasks
+    grouped = links.withColumn("group", group)
+
+    parts = grouped.groupBy((F.col("place") % pieces).alias("part")).applyInArrow(lambda t: _linked(pieces, t), "part bigint, held binary")
+    listed = grouped.groupBy("group").applyInArrow(lambda t: _listed(pieces, t), "group bigint, held binary")
+    matrix = coded.drop("words").withColumn("group", group).groupBy("block").cogroup(links.groupBy("block")).applyInArrow(
+        lambda a, b: _matrix(pieces, sublinear, a, b), "group bigint, held binary"
     )
-    x = _dealt(matrix, tasks)
-    sent = _sent(x.flatMap(lambda v: _to_parts(v[0], v[1][1], _moments(v[1][1]))), pieces)
-    scaled = _kept(_over(_scaled(n, columns), sent, _dealt(parts, pieces)))
+    x = _kept(_over(_placed(pieces), _dealt(listed, tasks, _SENT), _dealt(matrix, tasks, _HELD)))
+    moments = _sent(x.mapPartitions(lambda items: _summed(items, lambda v, _: _moments(v), _merge, 3)), pieces)
+    unpacked = _dealt(parts, pieces, _HELD).mapValues(lambda v: (_HELD, pickle.loads(v[1])))
+    scaled = _kept(_over(_scaled(n, columns), moments, unpacked))
     found = _minimised(spark, x, scaled, labels, max_iter, 1.0 / (c * n))
     held = spark.createDataFrame(found.parts.map(lambda v: (v[0], _coefficients(v[1][1]))), "part bigint, held binary")
     coefficients = held.mapInArrow(lambda b: _places(pieces, b), "place bigint, coefficients array<double>")
@@ -529,8 +583,8 @@ def fit(df: DataFrame, text: str, label: str, n_classes: int, min_df: float, use
     return model
 
 
-def _dealt(lines: DataFrame, tasks: int) -> RDD:
-    return _kept(lines.rdd.map(lambda r: (r[0], bytes(r[1]))).partitionBy(tasks).mapValues(lambda v: (_HELD, pickle.loads(v))))
+def _dealt(lines: DataFrame, tasks: int, kind: str) -> RDD:
+    return _sent(lines.rdd.map(lambda r: (r[0], (kind, bytes(r[1])))), tasks)
 
 
 def _coefficients(state: dict) -> bytes:
